@@ -44,7 +44,7 @@ class _Step:
         self.d, self.w, self.c = d, w, c
 
     def ends(self, suffix: str) -> str:
-        return f"right({self.w}, {len(suffix)}) = {self.d.lit(suffix)}"
+        return self.d.ends_with(self.w, suffix)
 
     def stem(self, k: int) -> str:  # word without its last k letters
         return f"left({self.w}, length({self.w}) - {k})"
@@ -118,10 +118,11 @@ def _step1b_tail(d: Dialect, v: str, cv: str) -> str:
             f"ELSE {v} END")
 
 
-def _step1b(s: _Step, v: str) -> str:
+def _step1b(s: _Step, ed: str, ing: str) -> str:
+    """``ed`` / ``ing`` name the word without -ed / -ing (bound by the caller)."""
     d, w = s.d, s.w
-    tail_ed = d.let(s.stem(2), v, _step1b_tail(d, v, f"left({s.c}, length({v}))"))
-    tail_ing = d.let(s.stem(3), v, _step1b_tail(d, v, f"left({s.c}, length({v}))"))
+    tail_ed = _step1b_tail(d, ed, f"left({s.c}, length({ed}))")
+    tail_ing = _step1b_tail(d, ing, f"left({s.c}, length({ing}))")
     return (f"CASE WHEN {s.ends('ied')} THEN "
             f"CASE WHEN length({w}) = 4 THEN {s.swap(3, 'ie')} ELSE {s.swap(3, 'i')} END "
             f"WHEN {s.ends('eed')} THEN "
@@ -194,24 +195,43 @@ _STEPS = [(_step1a, False), (_step1b, True), (_step1c, True), (_step2, True),
           (lambda s: s.rules(_STEP3), True), (_step4, True), (_step5a, True), (_step5b, True)]
 
 
-def stem_sql(d: Dialect, word: str, tag: str = "p") -> str:
-    """SQL expression stemming the single-word expression ``word``.
+def stem_steps(d: Dialect, word: str, tag: str = "p") -> list[tuple[str, str]]:
+    """The stemmer as a list of ``(name, expression)`` pairs, each reading earlier names.
 
-    ``tag`` prefixes the lambda variables so that the expression can be nested inside
-    another lambda (for example ``transform(tokens, t -> <stem of t>)``).
+    Binding each name to a column (``withColumn``) keeps every step inside whole-stage
+    code generation; ``stem_sql`` nests the same steps with let-bindings instead.
+    The last name holds the stem.
     """
-    # Built from the last step outwards: let w(i+1) = step_i(w(i)) in <rest>.
     n = len(_STEPS)
-    body = f"{tag}w{n}"
-    for i in range(n - 1, -1, -1):
+    out = [(f"{tag}w0", ascii_lower(d, word))]
+    for i in range(n):
         w, c = f"{tag}w{i}", f"{tag}c{i}"
         step, needs_pattern = _STEPS[i]
-        st = _Step(d, w, c)
-        expr = step(st, f"{tag}s") if step is _step1b else step(st)
         if needs_pattern:
-            expr = d.let(_pattern(d, w), c, expr)
-        body = d.let(expr, f"{tag}w{i + 1}", body)
+            out.append((c, _pattern(d, w)))
+        st = _Step(d, w, c)
+        if step is _step1b:
+            ed, ing = f"{tag}ed", f"{tag}ing"
+            out.append((ed, f"CASE WHEN length({w}) >= 2 THEN {st.stem(2)} ELSE '' END"))
+            out.append((ing, f"CASE WHEN length({w}) >= 3 THEN {st.stem(3)} ELSE '' END"))
+            out.append((f"{tag}w{i + 1}", step(st, ed, ing)))
+        else:
+            out.append((f"{tag}w{i + 1}", step(st)))
+    w0, last = f"{tag}w0", f"{tag}w{n}"
     irregular = " ".join(f"WHEN {d.lit(a)} THEN {d.lit(b)}" for a, b in IRREGULAR_FORMS)
-    full = (f"CASE {tag}w0 {irregular} ELSE "
-            f"CASE WHEN length({tag}w0) <= 2 THEN {tag}w0 ELSE {body} END END")
-    return d.let(ascii_lower(d, word), f"{tag}w0", full)
+    out.append((f"{tag}stem", f"CASE {w0} {irregular} ELSE "
+                              f"CASE WHEN length({w0}) <= 2 THEN {w0} ELSE {last} END END"))
+    return out
+
+
+def stem_sql(d: Dialect, word: str, tag: str = "p") -> str:
+    """SQL expression stemming the single-word expression ``word``.
+
+    ``tag`` prefixes the lambda variables so that the expression can be nested inside
+    another lambda (for example ``transform(tokens, t -> <stem of t>)``).
+    """
+    steps = stem_steps(d, word, tag)
+    body = steps[-1][1]
+    for name, expr in reversed(steps[:-1]):
+        body = d.let(expr, name, body)
+    return body

@@ -32,6 +32,10 @@ class Dialect:
             return f"regexp_replace({s}, {self.lit(pattern)}, {self.lit(repl)})"
         return f"regexp_replace({s}, {self.lit(pattern)}, {self.lit(repl.replace('$', chr(92)))}, 'g')"
 
+    def ends_with(self, s: str, suffix: str) -> str:
+        fn = "endswith" if self.name == "spark" else "ends_with"
+        return f"{fn}({s}, {self.lit(suffix)})"
+
     def in_list(self, s: str, values) -> str:
         return f"{s} IN ({', '.join(self.lit(v) for v in values)})"
 

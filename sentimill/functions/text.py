@@ -23,11 +23,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .lexicons import ACRONYMS, DEFAULT_STOP_WORDS, EMOTICONS, html_entities
-from .porter import stem_sql
+from .porter import stem_steps
 from .sqlgen import LOWER, SPARK, UPPER
 
 # Regular expressions (Java syntax). Classes are spelled out so that they mean the same
@@ -48,6 +48,15 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` (a function of one Column).
+
+    Binding through a one-element ``transform`` keeps an intermediate result from being
+    inlined (and recomputed) at every place the body reads it.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
 def _literal_map(pairs: Iterable[tuple[str, str]]) -> Column:
     flat = []
     for k, v in pairs:
@@ -88,14 +97,17 @@ def html_unescape(text: Column, entities: Sequence[tuple[str, str]] | None = Non
     ``&`` skip all of it.
     """
     emap = _literal_map(entities if entities is not None else html_entities())
-    parts = F.split(text, ENTITY_SPLIT_RE, -1)
-    names = F.regexp_extract_all(text, F.lit(ENTITY_RE), 1)
-    pieces = F.zip_with(
-        F.transform(names, lambda nm: _decode_entity(nm, emap)),
-        F.slice(parts, 2, F.size(parts)),
-        lambda rep, tail: F.concat(rep, tail))
-    rebuilt = F.concat(F.element_at(parts, 1), F.array_join(pieces, ""))
-    return F.when(F.instr(text, "&") > 0, rebuilt).otherwise(text)
+
+    def rebuild(s: Column) -> Column:
+        parts = F.split(s, ENTITY_SPLIT_RE, -1)
+        names = F.regexp_extract_all(s, F.lit(ENTITY_RE), 1)
+        pieces = F.zip_with(
+            F.transform(names, lambda nm: _decode_entity(nm, emap)),
+            F.slice(parts, 2, F.size(parts)),
+            lambda rep, tail: F.concat(rep, tail))
+        return F.concat(F.element_at(parts, 1), F.array_join(pieces, ""))
+
+    return let(text, lambda s: F.when(F.instr(s, "&") > 0, rebuild(s)).otherwise(s))
 
 
 # ---------------------------------------------------------------- C2-C6: lexicons
@@ -106,17 +118,13 @@ def split_space(text: Column) -> Column:
 
 
 def replace_first(tokens: Column, pairs: Sequence[tuple[str, str]]) -> Column:
-    """Replace the first occurrence of each lexicon key in ``tokens`` (exact match).
-
-    ``tokens`` must be a column reference (not an expression) because it is read inside
-    the lambda.
-    """
+    """Replace the first occurrence of each lexicon key in ``tokens`` (exact match)."""
     keys = [k for k, _ in pairs]
     lex = _literal_map(pairs)
-    return F.transform(
-        tokens,
-        lambda t, i: F.when(t.isin(keys) & (F.array_position(tokens, t) == i + 1),
-                            F.element_at(lex, t)).otherwise(t))
+    return let(tokens, lambda toks: F.transform(
+        toks,
+        lambda t, i: F.when(t.isin(keys) & (F.array_position(toks, t) == i + 1),
+                            F.element_at(lex, t)).otherwise(t)))
 
 
 def acronym_expand(upper_tokens: Column, pairs: Sequence[tuple[str, str]] | None = None) -> Column:
@@ -143,11 +151,27 @@ def remove_stop_words(tokens: Column, stop_words: Sequence[str] | None = None) -
     return F.filter(tokens, lambda t: ~t.isin(words))
 
 
-def stem_word(word_sql: str) -> Column:
-    """Porter stem of a single-word SQL expression."""
-    return F.expr(stem_sql(SPARK, word_sql, "p"))
+def explode_tokens(tokens: Column, pos_col: str = "pos", tok_col: str = "tok",
+                   outer: bool = False) -> Column:
+    """Generator: one row ``(pos, tok)`` per array element (``inline`` of structs).
+
+    Building the structs with ``transform`` first keeps the optimizer from rewriting
+    the generator input; a plain ``posexplode`` over the cleaning chain re-evaluated
+    the chain per element and ran several times slower.
+    """
+    items = F.transform(tokens, lambda x, i: F.struct(i.alias(pos_col), x.alias(tok_col)))
+    return F.inline_outer(items) if outer else F.inline(items)
+
 
+def with_stem(df: DataFrame, word_col: str, out_col: str) -> DataFrame:
+    """Add ``out_col``, the Porter stem of the single-word column ``word_col``.
 
-def stem_tokens(tokens_col: str) -> Column:
-    """Porter stem of every token of the array column named ``tokens_col``."""
-    return F.expr(f"transform({tokens_col}, tok -> {stem_sql(SPARK, 'tok', 'p')})")
+    Each step of the stemmer becomes one column, so the whole chain compiles into the
+    surrounding whole-stage-codegen stage (nesting it as lambdas instead runs
+    interpreted and is far slower).
+    """
+    steps = stem_steps(SPARK, word_col, "_st")
+    cols = [name for name, _ in steps]
+    for name, expr in steps:
+        df = df.withColumn(name, F.expr(expr))
+    return df.withColumn(out_col, F.col(cols[-1])).drop(*cols)

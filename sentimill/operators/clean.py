@@ -31,7 +31,7 @@ class CleanOptions:
 
 
 STAGES = ("unescaped", "emoticons", "preprocessed", "tokenized", "squeezed", "deduped",
-          "stopped", "terms")
+          "stopped")
 
 
 def load_stop_words(spark, path: str) -> list[str]:
@@ -57,7 +57,7 @@ def load_lexicon(spark, path: str, sep: str = "\t") -> list[tuple[str, str]]:
 
 
 def clean_stages(df: DataFrame, text_col: str = "text", opts: CleanOptions = CleanOptions(),
-                 upto: str = "terms") -> DataFrame:
+                 upto: str = "stopped") -> DataFrame:
     """Add the stage columns of the chain, up to and including ``upto``."""
     last = STAGES.index(upto)
     text = F.col(text_col)
@@ -65,11 +65,11 @@ def clean_stages(df: DataFrame, text_col: str = "text", opts: CleanOptions = Cle
         text = F.translate(text, "'", "")
     t = df.withColumn("unescaped", tx.html_unescape(text, opts.entities))
     if last >= 1:
-        t = t.withColumn("_tok", tx.split_space(F.col("unescaped")))
-        t = t.withColumn("emoticons", tx.replace_first(F.col("_tok"), opts.emoticons))
+        t = t.withColumn("emoticons", tx.replace_first(tx.split_space(F.col("unescaped")),
+                                                       opts.emoticons))
     if last >= 2:
-        t = t.withColumn("_up", F.transform("emoticons", tx.ascii_upper))
-        t = t.withColumn("preprocessed", tx.acronym_expand(F.col("_up"), opts.acronyms))
+        t = t.withColumn("preprocessed", tx.acronym_expand(
+            F.transform("emoticons", tx.ascii_upper), opts.acronyms))
     if last >= 3:
         t = t.withColumn("tokenized", tx.tokenize(F.col("preprocessed")))
     if last >= 4:
@@ -78,16 +78,42 @@ def clean_stages(df: DataFrame, text_col: str = "text", opts: CleanOptions = Cle
         t = t.withColumn("deduped", F.array_distinct(tx.split_space(F.col("squeezed"))))
     if last >= 6:
         t = t.withColumn("stopped", tx.remove_stop_words(F.col("deduped"), opts.stop_words))
-    if last >= 7:
-        t = t.withColumn("terms", tx.stem_tokens("stopped") if opts.stem else F.col("stopped"))
-        if opts.drop_empty:
-            t = t.withColumn("terms", F.filter("terms", lambda x: x != ""))
-    return t.drop("_tok", "_up")
-
-
-def clean_tweets(df: DataFrame, text_col: str = "text", out_col: str = "terms",
-                 opts: CleanOptions = CleanOptions()) -> DataFrame:
-    """``df`` plus ``out_col``: the cleaned, de-duplicated, stop-filtered, stemmed terms."""
-    t = clean_stages(df, text_col, opts)
-    keep = [c for c in df.columns if c != out_col]
-    return t.select(*keep, F.col("terms").alias(out_col))
+    return t
+
+
+def stem_token_lists(df: DataFrame, keys: Sequence[str], tokens_col: str = "stopped",
+                     out_col: str = "terms", drop_empty: bool = False) -> DataFrame:
+    """Stem every token of ``tokens_col``; one output row per distinct ``keys``.
+
+    The token lists are exploded with their positions, stemmed by the code-generated
+    step columns and gathered back in order. ``keys`` must identify the row (e.g. the
+    tweet id); the gather is one shuffle keyed on them with no skew beyond the size of a
+    single document, and a later join on the same keys reuses its partitioning.
+    Rows whose list is empty keep an empty list.
+    """
+    ex = df.select(*keys, tx.explode_tokens(F.col(tokens_col), "_pos", "_tok", outer=True))
+    ex = tx.with_stem(ex, "_tok", "_stem")
+    item = F.when(F.col("_pos").isNotNull(), F.struct("_pos", "_stem"))
+    g = ex.groupBy(*keys).agg(F.sort_array(F.collect_list(item)).alias("_s"))
+    terms = F.transform("_s", lambda s: s["_stem"])
+    if drop_empty:
+        terms = F.filter(terms, lambda x: x != "")
+    return g.select(*keys, terms.alias(out_col))
+
+
+def exploded_terms(df: DataFrame, keys: Sequence[str], tokens_col: str = "stopped",
+                   term_col: str = "term", stem: bool = True) -> DataFrame:
+    """One row per (keys, position, stemmed term): the input of term counting."""
+    ex = df.select(*keys, tx.explode_tokens(F.col(tokens_col), "pos", "_tok"))
+    if stem:
+        return tx.with_stem(ex, "_tok", term_col).drop("_tok")
+    return ex.withColumnRenamed("_tok", term_col)
+
+
+def clean_tweets(df: DataFrame, keys: Sequence[str], text_col: str = "text",
+                 out_col: str = "terms", opts: CleanOptions = CleanOptions()) -> DataFrame:
+    """``keys`` plus ``out_col``: the cleaned, de-duplicated, stop-filtered, stemmed terms."""
+    t = clean_stages(df.select(*keys, text_col), text_col, opts, upto="stopped")
+    if not opts.stem:
+        return t.select(*keys, F.col("stopped").alias(out_col))
+    return stem_token_lists(t, keys, "stopped", out_col, opts.drop_empty)

@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..operators.clean import CleanOptions, clean_stages
+from ..operators.clean import CleanOptions, clean_stages, clean_tweets
 from ..sources import tweets as tw
-from ..sources.tables import table
+from ..sources.tables import spread, table
 from . import evaluation as ev
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,7 +76,7 @@ def _stage(spark, sf_dir, stage: str, as_text: bool = False) -> DataFrame:
 
 @query("html_unescape")
 def q_html_unescape(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages")
+    pages = spread(table(spark, sf_dir, "pages"))
     return pages.select("page_id", tx.html_unescape(F.col("html")).alias("unescaped"))
 
 
@@ -118,13 +118,13 @@ def q_stem_vocab(spark, sf_dir):
     a third of all rows still moves once per task.
     """
     t = clean_stages(_marked_docs(spark, sf_dir), "text", CleanOptions(), upto="stopped")
-    vocab = t.select(F.explode("stopped").alias("term")).distinct()
-    return vocab.select("term", tx.stem_word("term").alias("stem"))
+    vocab = t.select(tx.explode_tokens(F.col("stopped"), "pos", "term")).select("term").distinct()
+    return tx.with_stem(vocab, "term", "stem")
 
 
 @query("process_tweet")
 def q_process_tweet(spark, sf_dir):
     """Flagship: full cleaning chain, then the label join (tokens move, not raw text)."""
-    t = clean_stages(_marked_docs(spark, sf_dir), "text", CleanOptions(), upto="terms")
+    t = clean_tweets(_marked_docs(spark, sf_dir), ["id"])
     terms = t.select("id", F.array_join("terms", " ").alias("terms"))
     return tw.with_polarity(spark, sf_dir, terms).select("id", "polarity", "terms")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tables import table
+from .tables import spread, table
 
 TWEET_SCHEMA = T.StructType([
     T.StructField("polarity", T.IntegerType()),
@@ -52,7 +52,7 @@ def tweet_date(doc_id: Column) -> Column:
 
 def documents_as_tweets(spark: SparkSession, sf_dir: str, markup: bool = False) -> DataFrame:
     """``documents`` viewed as unlabelled tweets (polarity added by ``with_polarity``)."""
-    d = table(spark, sf_dir, "documents")
+    d = spread(table(spark, sf_dir, "documents"))
     text = F.concat(F.col("text"), markup_suffix(F.col("doc_id"))) if markup else F.col("text")
     return d.select(F.col("doc_id").alias("id"), tweet_date(F.col("doc_id")).alias("date"),
                     F.col("lang").alias("query"), F.col("source").alias("sender"),
