@@ -195,43 +195,56 @@ _STEPS = [(_step1a, False), (_step1b, True), (_step1c, True), (_step2, True),
           (lambda s: s.rules(_STEP3), True), (_step4, True), (_step5a, True), (_step5b, True)]
 
 
-def stem_steps(d: Dialect, word: str, tag: str = "p") -> list[tuple[str, str]]:
-    """The stemmer as a list of ``(name, expression)`` pairs, each reading earlier names.
-
-    Binding each name to a column (``withColumn``) keeps every step inside whole-stage
-    code generation; ``stem_sql`` nests the same steps with let-bindings instead.
-    The last name holds the stem.
-    """
+def _step_groups(d: Dialect, word: str, tag: str):
+    """``(name, helpers, expr)`` per step; ``helpers`` are ``(name, expr)`` bindings the
+    step expression reads (the pattern of its input word, the -ed / -ing stems)."""
     n = len(_STEPS)
-    out = [(f"{tag}w0", ascii_lower(d, word))]
+    groups = [(f"{tag}w0", [], ascii_lower(d, word))]
     for i in range(n):
         w, c = f"{tag}w{i}", f"{tag}c{i}"
         step, needs_pattern = _STEPS[i]
-        if needs_pattern:
-            out.append((c, _pattern(d, w)))
+        helpers = [(c, _pattern(d, w))] if needs_pattern else []
         st = _Step(d, w, c)
         if step is _step1b:
             ed, ing = f"{tag}ed", f"{tag}ing"
-            out.append((ed, f"CASE WHEN length({w}) >= 2 THEN {st.stem(2)} ELSE '' END"))
-            out.append((ing, f"CASE WHEN length({w}) >= 3 THEN {st.stem(3)} ELSE '' END"))
-            out.append((f"{tag}w{i + 1}", step(st, ed, ing)))
+            helpers.append((ed, f"CASE WHEN length({w}) >= 2 THEN {st.stem(2)} ELSE '' END"))
+            helpers.append((ing, f"CASE WHEN length({w}) >= 3 THEN {st.stem(3)} ELSE '' END"))
+            expr = step(st, ed, ing)
         else:
-            out.append((f"{tag}w{i + 1}", step(st)))
+            expr = step(st)
+        groups.append((f"{tag}w{i + 1}", helpers, expr))
     w0, last = f"{tag}w0", f"{tag}w{n}"
     irregular = " ".join(f"WHEN {d.lit(a)} THEN {d.lit(b)}" for a, b in IRREGULAR_FORMS)
-    out.append((f"{tag}stem", f"CASE {w0} {irregular} ELSE "
-                              f"CASE WHEN length({w0}) <= 2 THEN {w0} ELSE {last} END END"))
+    groups.append((f"{tag}stem", [], f"CASE {w0} {irregular} ELSE "
+                                     f"CASE WHEN length({w0}) <= 2 THEN {w0} ELSE {last} END END"))
+    return groups
+
+
+def stem_steps(d: Dialect, word: str, tag: str = "p") -> list[tuple[str, str]]:
+    """The stemmer as a list of ``(name, expression)`` pairs, each reading earlier names.
+
+    Binding each name to a column (``withColumn``) keeps every step inside whole-stage
+    code generation. The last name holds the stem.
+    """
+    out = []
+    for name, helpers, expr in _step_groups(d, word, tag):
+        out += helpers
+        out.append((name, expr))
     return out
 
 
 def stem_sql(d: Dialect, word: str, tag: str = "p") -> str:
-    """SQL expression stemming the single-word expression ``word``.
+    """The stemmer as one SQL expression over the single-word expression ``word``.
 
-    ``tag`` prefixes the lambda variables so that the expression can be nested inside
-    another lambda (for example ``transform(tokens, t -> <stem of t>)``).
+    Steps are chained with let-bindings; a step's helper bindings are nested inside its
+    own value, which keeps the chain shallow (engines bind nested lambdas slowly).
+    ``tag`` prefixes the lambda variables so the expression can sit inside another
+    lambda (for example ``transform(tokens, t -> <stem of t>)``).
     """
-    steps = stem_steps(d, word, tag)
-    body = steps[-1][1]
-    for name, expr in reversed(steps[:-1]):
+    groups = _step_groups(d, word, tag)
+    body = groups[-1][2]
+    for name, helpers, expr in reversed(groups[:-1]):
+        for hname, hexpr in reversed(helpers):
+            expr = d.let(hexpr, hname, expr)
         body = d.let(expr, name, body)
     return body
