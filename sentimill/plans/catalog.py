@@ -12,8 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..operators.clean import CleanOptions, clean_stages, clean_tweets
+from ..operators import features as fx
+from ..operators import naive_bayes as nb
+from ..operators import sampling
+from ..operators.clean import CleanOptions, clean_stages, clean_tweets, exploded_terms
 from ..sources import tweets as tw
+from ..session import materialize, scratch_path
 from ..sources.tables import spread, table
 from . import evaluation as ev
 
@@ -128,3 +132,125 @@ def q_process_tweet(spark, sf_dir):
     t = clean_tweets(_marked_docs(spark, sf_dir), ["id"])
     terms = t.select("id", F.array_join("terms", " ").alias("terms"))
     return tw.with_polarity(spark, sf_dir, terms).select("id", "polarity", "terms")
+
+
+# ------------------------------------------------------------------ features and Naive Bayes
+
+NUM_FEATURES = 1024      # hashed feature dimension of the training job
+MIN_DOC_FREQ = 5         # rare-bucket cut of the serving jobs
+SMOOTHING = 1.0
+TRAIN_PERCENT = 70
+
+
+def _terms(spark, sf_dir) -> DataFrame:
+    """(id, pos, term): stemmed terms of every document, one row per kept token."""
+    t = clean_stages(_marked_docs(spark, sf_dir), "text", CleanOptions(), upto="stopped")
+    return exploded_terms(t.select("id", "stopped"), ["id"], "stopped", "term")
+
+
+def _hashed(spark, sf_dir) -> DataFrame:
+    """Hashed TF of the corpus, written once to the shared folder (it is read twice)."""
+    return materialize(fx.hashed_tf(_terms(spark, sf_dir), ["id"], NUM_FEATURES), "hashed-tf")
+
+
+def _split(spark, sf_dir) -> DataFrame:
+    """(id, polarity, is_train) for every document."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"))
+    return tw.with_polarity(spark, sf_dir, docs).select(
+        "id", "polarity", sampling.in_sample(F.col("id"), TRAIN_PERCENT).alias("is_train"))
+
+
+def _train_model(spark, sf_dir):
+    """IDF and Naive Bayes fitted on the training part; returns (idf, model, tf, split)."""
+    split = _split(spark, sf_dir)
+    tf = _hashed(spark, sf_dir)
+    train_ids = split.where("is_train")
+    m = train_ids.select(F.count("*")).scalar()
+    tf_train = tf.join(train_ids.select("id"), "id", "left_semi")
+    w = fx.idf(tf_train, m, MIN_DOC_FREQ)
+    x = fx.tfidf(tf_train, w, NUM_FEATURES).join(train_ids.select("id", "polarity"), "id")
+    empty = train_ids.select("id", "polarity", F.lit(None).cast("int").alias("bucket"),
+                             F.lit(0.0).alias("tfidf"))
+    rows = x.select("id", "polarity", "bucket", "tfidf").unionByName(empty)
+    model = nb.fit(rows, NUM_FEATURES, SMOOTHING, label_col="polarity")
+    # fitting ends in written tables: later steps read the model instead of refitting
+    path = scratch_path(spark, "nb-model")
+    model.save(path)
+    w.write.parquet(f"{path}/idf")
+    return spark.read.parquet(f"{path}/idf"), nb.NBModel.load(spark, path), tf, split
+
+
+@query("term_frequency")
+def q_term_frequency(spark, sf_dir):
+    return fx.term_frequency(_terms(spark, sf_dir), ["id"])
+
+
+@query("hashed_tf")
+def q_hashed_tf(spark, sf_dir):
+    return _hashed(spark, sf_dir)
+
+
+@query("idf_weights")
+def q_idf_weights(spark, sf_dir):
+    m = table(spark, sf_dir, "documents").select(F.count("*")).scalar()
+    w = fx.idf(_hashed(spark, sf_dir), m, MIN_DOC_FREQ)
+    return w.select("bucket", "df", F.round("idf", 6).alias("idf"))
+
+
+@query("tfidf")
+def q_tfidf(spark, sf_dir):
+    tf = _hashed(spark, sf_dir)
+    m = table(spark, sf_dir, "documents").select(F.count("*")).scalar()
+    x = fx.tfidf(tf, fx.idf(tf, m, MIN_DOC_FREQ), NUM_FEATURES)
+    return x.select("id", "bucket", "tf", F.round("tfidf", 6).alias("tfidf"))
+
+
+@query("split_70_30")
+def q_split(spark, sf_dir):
+    s = _split(spark, sf_dir)
+    return s.select("id", F.when(F.col("is_train"), "train").otherwise("test").alias("part"))
+
+
+@query("nb_priors")
+def q_nb_priors(spark, sf_dir):
+    _, model, _, _ = _train_model(spark, sf_dir)
+    return model.priors.select("label", "n", F.round("pi", 6).alias("pi"))
+
+
+@query("nb_loglik")
+def q_nb_loglik(spark, sf_dir):
+    _, model, _, _ = _train_model(spark, sf_dir)
+    return model.theta.select("label", "bucket", F.round("theta", 6).alias("theta"))
+
+
+@query("nb_predict")
+def q_nb_predict(spark, sf_dir):
+    w, model, tf, split = _train_model(spark, sf_dir)
+    test = split.where(~F.col("is_train")).select("id", F.col("polarity").alias("gt"))
+    x = fx.tfidf(tf.join(test.select("id"), "id", "left_semi"), w, NUM_FEATURES)
+    return nb.predict(model, x, test).select("id", "gt", "predicted")
+
+
+@query("tf_roundtrip")
+def q_tf_roundtrip(spark, sf_dir):
+    """Hashed TF written as parquet to the shared folder and read back."""
+    path = scratch_path(spark, "tf")
+    fx.hashed_tf(_terms(spark, sf_dir), ["id"], NUM_FEATURES).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@query("nb_ml_roundtrip")
+def q_nb_ml_roundtrip(spark, sf_dir):
+    """pyspark.ml pipeline (HashingTF, IDF, NaiveBayes): fit, save, load, predict."""
+    from pyspark.ml import PipelineModel
+
+    split = _split(spark, sf_dir)
+    terms = clean_tweets(_marked_docs(spark, sf_dir), ["id"])
+    data = terms.join(split, "id").withColumn("label_index", nb.label_index(F.col("polarity")))
+    model = nb.ml_pipeline(NUM_FEATURES, MIN_DOC_FREQ, SMOOTHING).fit(data.where("is_train"))
+    path = scratch_path(spark, "nb-pipeline")
+    model.write().save(path)
+    loaded = PipelineModel.load(path)
+    out = loaded.transform(data.where(~F.col("is_train")))
+    return out.select("id", F.col("polarity").alias("gt"),
+                      (F.col("prediction_index") * 2).cast("int").alias("predicted"))

@@ -54,3 +54,47 @@ ORACLE["stem_vocab"] = (_CHAIN + ", v AS (SELECT DISTINCT unnest(stopped) AS ter
 _POLARITY = ("CASE l.quality WHEN 1 THEN 4 WHEN 0 THEN 0 ELSE 2 END::INTEGER")
 ORACLE["process_tweet"] = (_CHAIN + f"SELECT f.id, {_POLARITY} AS polarity, array_to_string(terms, ' ') AS terms "
                            "FROM f LEFT JOIN labels l ON l.doc_id = f.id")
+
+# ------------------------------------------------------------------ features and Naive Bayes
+
+_BUCKET = "(('0x' || substr(md5(term), 1, 8))::UBIGINT % 1024)::INTEGER"
+_HASH_PCT = "(('0x' || substr(md5('0:' || d.doc_id::VARCHAR), 1, 8))::UBIGINT % 100)"
+_FEAT = _CHAIN + f""",
+terms AS (SELECT id, unnest(terms) AS term FROM f),
+htf AS (SELECT id, {_BUCKET} AS bucket, count(*) AS tf FROM terms GROUP BY ALL),
+split AS (SELECT d.doc_id AS id, CASE l.quality WHEN 1 THEN 4 WHEN 0 THEN 0 ELSE 2 END::INTEGER AS polarity,
+                 {_HASH_PCT} < 70 AS is_train
+          FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id),
+tr AS (SELECT * FROM split WHERE is_train),
+te AS (SELECT id, polarity AS gt FROM split WHERE NOT is_train),
+tf_tr AS (SELECT * FROM htf WHERE id IN (SELECT id FROM tr)),
+idf_tr AS (SELECT bucket, CASE WHEN count(*) >= 5 THEN ln(((SELECT count(*) FROM tr) + 1) / (count(*) + 1)) ELSE 0.0 END AS idf
+           FROM tf_tr GROUP BY bucket),
+x AS (SELECT t.id, tr.polarity AS label, t.bucket, t.tf * i.idf AS v FROM tf_tr t JOIN idf_tr i USING (bucket) JOIN tr USING (id)),
+cnt AS (SELECT polarity AS label, count(*) AS n FROM tr GROUP BY polarity),
+priors AS (SELECT label, n, ln(n + 1.0) - ln((SELECT sum(n) FROM cnt) + 1.0 * (SELECT count(*) FROM cnt)) AS pi FROM cnt),
+cells AS (SELECT label, bucket, sum(v) AS s FROM x GROUP BY label, bucket),
+tot AS (SELECT label, sum(s) AS total FROM cells GROUP BY label),
+theta AS (SELECT label, bucket, ln(s + 1.0) - ln(total + 1024.0) AS theta FROM cells JOIN tot USING (label))
+"""
+
+ORACLE["term_frequency"] = _FEAT + "SELECT id, term, count(*) AS tf FROM terms GROUP BY id, term"
+ORACLE["hashed_tf"] = _FEAT + "SELECT id, bucket, tf FROM htf"
+_IDF_ALL = ("(SELECT bucket, count(*) AS df, CASE WHEN count(*) >= 5 THEN "
+            "ln(((SELECT count(*) FROM documents) + 1) / (count(*) + 1)) ELSE 0.0 END AS idf FROM htf GROUP BY bucket)")
+ORACLE["idf_weights"] = _FEAT + f"SELECT bucket, df, round(idf, 6) AS idf FROM {_IDF_ALL}"
+ORACLE["tfidf"] = _FEAT + f"SELECT h.id, h.bucket, h.tf, round(h.tf * i.idf, 6) AS tfidf FROM htf h JOIN {_IDF_ALL} i USING (bucket)"
+ORACLE["split_70_30"] = _FEAT + "SELECT id, CASE WHEN is_train THEN 'train' ELSE 'test' END AS part FROM split"
+ORACLE["nb_priors"] = _FEAT + "SELECT label, n, round(pi, 6) AS pi FROM priors"
+ORACLE["nb_loglik"] = _FEAT + "SELECT label, bucket, round(theta, 6) AS theta FROM theta"
+ORACLE["nb_predict"] = _FEAT + """,
+xt AS (SELECT t.id, t.bucket, t.tf * i.idf AS v FROM htf t JOIN idf_tr i USING (bucket) WHERE t.id IN (SELECT id FROM te)),
+cls AS (SELECT p.label, p.pi, coalesce(ln(1.0) - ln(tot.total + 1024.0), ln(1.0) - ln(1024.0)) AS d
+        FROM priors p LEFT JOIN tot USING (label)),
+sc AS (SELECT te.id, te.gt, cls.label, cls.pi + coalesce(sum(xt.v * coalesce(th.theta, cls.d)), 0.0) AS score
+       FROM te CROSS JOIN cls LEFT JOIN xt ON xt.id = te.id
+       LEFT JOIN theta th ON th.label = cls.label AND th.bucket = xt.bucket
+       GROUP BY te.id, te.gt, cls.label, cls.pi)
+SELECT id, gt, first(label ORDER BY score DESC, label ASC)::INTEGER AS predicted FROM sc GROUP BY id, gt
+"""
+ORACLE["tf_roundtrip"] = ORACLE["hashed_tf"]

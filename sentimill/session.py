@@ -68,3 +68,15 @@ def local_path(path: str) -> str:
 
 def is_local(path: str) -> bool:
     return path.startswith("file:") or path.startswith("/") or os.path.isabs(path)
+
+
+def materialize(df, name: str):
+    """Write ``df`` as parquet under the shared folder and return the table read back.
+
+    Cuts the lineage of an expensive intermediate that is read more than once: later
+    stages (and retries after a lost executor) read the files instead of recomputing.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -37,7 +37,8 @@ def main():
     sf = args[0] if args and args[0].startswith("/") else "/root/testdata/sf0.01"
     names = [a for a in args if not a.startswith("/")]
     spark = get_spark(master="local[8]", shuffle_partitions=8,
-                      extra={"spark.ui.showConsoleProgress": "false"})
+                      extra={"spark.ui.showConsoleProgress": "false",
+                             "spark.driver.memory": "8g"})
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
