@@ -14,9 +14,12 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..operators import features as fx
 from ..operators import naive_bayes as nb
-from ..operators import sampling
+from ..operators import kmeans as km
+from ..operators import positional, sampling
 from ..operators.clean import CleanOptions, clean_stages, clean_tweets, exploded_terms
+from ..sources import sinks, wire
 from ..sources import tweets as tw
+from ..streaming import jobs
 from ..session import materialize, scratch_path
 from ..sources.tables import spread, table
 from . import evaluation as ev
@@ -254,3 +257,246 @@ def q_nb_ml_roundtrip(spark, sf_dir):
     out = loaded.transform(data.where(~F.col("is_train")))
     return out.select("id", F.col("polarity").alias("gt"),
                       (F.col("prediction_index") * 2).cast("int").alias("predicted"))
+
+
+# ------------------------------------------------------------------ k-means
+
+KMEANS_K = 2
+KMEANS_BATCHES = 4
+FILES_PER_BATCH = 2
+
+
+def _vectors(spark, sf_dir) -> DataFrame:
+    """Embedding vectors as the clustering input; class code gt = (label % 3) * 2."""
+    e = table(spark, sf_dir, "embeddings")
+    return e.select("vec_id", F.col("embedding").cast("array<double>").alias("features"),
+                    (F.pmod(F.col("label"), F.lit(3)) * 2).cast("int").alias("gt"))
+
+
+def _initial_centers(spark, sf_dir) -> DataFrame:
+    """The first k vectors, weight 1.0 each (a fixed, reproducible start)."""
+    v = _vectors(spark, sf_dir).where(F.col("vec_id") < KMEANS_K)
+    return v.select(F.col("vec_id").cast("int").alias("cluster"),
+                    F.col("features").alias("center"), F.lit(1.0).alias("weight"))
+
+
+def _kmeans_results(spark, sf_dir) -> DataFrame:
+    """Result rows (x, y, gt, predicted) without projection: x and y are NULL."""
+    a = km.assign(_vectors(spark, sf_dir), _initial_centers(spark, sf_dir))
+    return a.select(F.lit(None).cast("float").alias("x"), F.lit(None).cast("float").alias("y"),
+                    "gt", "predicted")
+
+
+@query("kmeans_assign")
+def q_kmeans_assign(spark, sf_dir):
+    a = km.assign(_vectors(spark, sf_dir), _initial_centers(spark, sf_dir))
+    return a.select("vec_id", "gt", "predicted")
+
+
+@query("kmeans_update")
+def q_kmeans_update(spark, sf_dir):
+    centers = _initial_centers(spark, sf_dir)
+    stats = km.batch_stats(km.assign(_vectors(spark, sf_dir), centers))
+    new = km.update(centers, stats, decay=1.0, time_unit="batches")
+    return new.select("cluster", F.posexplode("center").alias("idx", "value"), "weight").select(
+        "cluster", "idx", F.round("value", 6).alias("value"), "weight")
+
+
+@query("kmeans_output")
+def q_kmeans_output(spark, sf_dir):
+    return _kmeans_results(spark, sf_dir)
+
+
+@query("cluster_contingency")
+def q_cluster_contingency(spark, sf_dir):
+    return ev.contingency(spark, _kmeans_results(spark, sf_dir))
+
+
+@query("scan_results")
+def q_scan_results(spark, sf_dir):
+    """Create the k-means result table, append the results, scan it."""
+    path = scratch_path(spark, "test_kmeans")
+    sinks.create_table(spark, sinks.KMEANS_RESULT_SCHEMA, path=path)
+    sinks.append(_kmeans_results(spark, sf_dir), path=path)
+    return ev.run(spark, ev.SCAN_SQL, sinks.scan(spark, path=path))
+
+
+@query("pca_project")
+def q_pca_project(spark, sf_dir):
+    """2-D projection of the vectors on their first two principal components."""
+    from pyspark.ml.feature import PCA
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    v = _vectors(spark, sf_dir).withColumn("vec", array_to_vector("features"))
+    model = PCA(k=2, inputCol="vec", outputCol="pc").fit(v)
+    p = model.transform(v).withColumn("pc", vector_to_array("pc"))
+    return p.select("vec_id", F.col("pc")[0].cast("float").alias("x"),
+                    F.col("pc")[1].cast("float").alias("y"), "gt")
+
+
+@query("kmeans_stream")
+def q_kmeans_stream(spark, sf_dir):
+    """Vectors arrive in batches (vec_id % 4); each batch updates the model, then is
+    assigned with the updated model (T5, S14)."""
+    v = _vectors(spark, sf_dir)
+    src = scratch_path(spark, "vectors-in")
+    batches = [v.where(F.pmod("vec_id", F.lit(KMEANS_BATCHES)) == b) for b in range(KMEANS_BATCHES)]
+    jobs.write_batches(batches, src, FILES_PER_BATCH, fmt="parquet")
+    stream = (spark.readStream.schema(v.schema).option("maxFilesPerTrigger", FILES_PER_BATCH)
+              .parquet(src))
+    out, state = scratch_path(spark, "kmeans-out"), scratch_path(spark, "kmeans-state")
+    jobs.cluster_stream(spark, stream, _initial_centers(spark, sf_dir), state, out)
+    return spark.read.parquet(out).select("vec_id", "gt", "predicted")
+
+
+# ------------------------------------------------------------------ parsers, wire format, ids
+
+def _plain_tweets(spark, sf_dir) -> DataFrame:
+    return tw.tweets(spark, sf_dir, markup=False)
+
+
+@query("parse_lines")
+def q_parse_lines(spark, sf_dir):
+    """Tweets written as quoted text lines, scanned and split naively."""
+    path = scratch_path(spark, "raw-lines")
+    tw.to_raw_line(_plain_tweets(spark, sf_dir)).write.text(path)
+    return tw.read_raw_lines(spark, path)
+
+
+@query("parse_csv")
+def q_parse_csv(spark, sf_dir):
+    """Tweets written as CSV (quoted, doubled-quote escape) and read back."""
+    path = scratch_path(spark, "tweets-csv")
+    tw.write_csv(_plain_tweets(spark, sf_dir), path)
+    return tw.read_csv(spark, path)
+
+
+@query("wire_encode")
+def q_wire_encode(spark, sf_dir):
+    return _plain_tweets(spark, sf_dir).select("id", wire.message().alias("value"))
+
+
+@query("tweet_fields")
+def q_tweet_fields(spark, sf_dir):
+    """Field extraction and casts from wire messages."""
+    d = wire.decode(wire.encode(_plain_tweets(spark, sf_dir)))
+    return d.select("polarity", "id", "date", "query", "sender", "text")
+
+
+def _messages(spark, sf_dir) -> DataFrame:
+    """Wire messages of every tweet; every 50th is cut short (malformed JSON)."""
+    m = wire.encode(_plain_tweets(spark, sf_dir), key_col="id")
+    bad = F.pmod(F.col("key").cast("bigint"), F.lit(50)) == 0
+    v = F.when(bad, F.expr("substring(value, 1, length(value) - 1)")).otherwise(F.col("value"))
+    return m.select("key", v.alias("value"))
+
+
+def _decode_batch(batch: DataFrame):
+    d = wire.decode(batch)
+    return d.where("valid"), d.where("NOT valid")
+
+
+@query("stream_decode")
+def q_stream_decode(spark, sf_dir):
+    """Messages streamed from files in 4 batches, decoded per micro-batch; malformed
+    ones are kept with valid = false (T2, C19, S3 file form)."""
+    m = _messages(spark, sf_dir)
+    src, out = scratch_path(spark, "wire-in"), scratch_path(spark, "decoded")
+    batches = [m.where(F.pmod(F.col("key").cast("bigint"), F.lit(4)) == b).select("value")
+               for b in range(4)]
+    jobs.write_batches(batches, src, FILES_PER_BATCH)
+    stream = jobs.file_source(spark, src, FILES_PER_BATCH)
+    jobs.run(stream, lambda b, i: jobs.write_batch(wire.decode(b), out, i),
+             scratch_path(spark, "ckpt-decode"))
+    return spark.read.parquet(out).select("id", "polarity", "query", "sender", "text", "valid")
+
+
+@query("replay_order")
+def q_replay_order(spark, sf_dir):
+    """Seeded random order of the replay set (O1): a distributed sort on a hash key."""
+    t = _plain_tweets(spark, sf_dir)
+    return t.select("id", sampling.replay_key(F.col("id")).alias("replay_key")).orderBy("replay_key")
+
+
+@query("stream_replay")
+def q_stream_replay(spark, sf_dir):
+    """Replay: messages written in replay order (4 key ranges, one after the other),
+    streamed one range per micro-batch and decoded (T8, S4 file form)."""
+    m = wire.encode(_plain_tweets(spark, sf_dir), key_col="id")
+    m = m.withColumn("rk", sampling.replay_key(F.col("key")))
+    rng = F.conv(F.substring("rk", 1, 1), 16, 10).cast("int")
+    src, out = scratch_path(spark, "replay-in"), scratch_path(spark, "replayed")
+    batches = [m.where((rng >= 4 * b) & (rng < 4 * b + 4)).sortWithinPartitions("rk").select("value")
+               for b in range(4)]
+    jobs.write_batches(batches, src, FILES_PER_BATCH)
+    stream = jobs.file_source(spark, src, FILES_PER_BATCH)
+    jobs.run(stream, lambda b, i: jobs.write_batch(wire.decode(b), out, i),
+             scratch_path(spark, "ckpt-replay"))
+    return spark.read.parquet(out).select("id", "polarity", "query", "sender", "text", "valid")
+
+
+@query("stream_classify")
+def q_stream_classify(spark, sf_dir):
+    """Test tweets streamed as wire messages; each micro-batch is cleaned, turned into
+    TF-IDF with the training IDF and classified by the trained Naive Bayes model
+    (T1, T3, T6, S11)."""
+    w, model, _, split = _train_model(spark, sf_dir)
+    test = split.where(~F.col("is_train")).select("id")
+    msgs = wire.encode(tw.tweets(spark, sf_dir, markup=True).join(test, "id", "left_semi"),
+                       key_col="id")
+    src, out = scratch_path(spark, "classify-in"), scratch_path(spark, "classified")
+    jobs.write_batches([msgs.where(F.pmod(F.col("key").cast("bigint"), F.lit(4)) == b)
+                        .select("value") for b in range(4)], src, FILES_PER_BATCH)
+
+    def predict(good: DataFrame) -> DataFrame:
+        docs = good.select("id", F.col("polarity").alias("gt"), "text")
+        t = clean_stages(docs.select("id", "text"), "text", CleanOptions(), upto="stopped")
+        # the batch's term counts are written once: the joins below then plan over a
+        # small table instead of the whole cleaning expression chain
+        tf = materialize(fx.hashed_tf(exploded_terms(t.select("id", "stopped"), ["id"]), ["id"],
+                                      NUM_FEATURES), "batch-tf")
+        return nb.predict(model, fx.tfidf(tf, w, NUM_FEATURES), docs.select("id", "gt"))
+
+    jobs.classify_stream(spark, jobs.file_source(spark, src, FILES_PER_BATCH), _decode_batch,
+                         predict, out)
+    return spark.read.parquet(out).select("id", "gt", "predicted")
+
+
+@query("sink_roundtrip")
+def q_sink_roundtrip(spark, sf_dir):
+    """Result rows streamed in 3 batches and appended per micro-batch to a result table
+    created beforehand (fails if it exists); empty batches skipped; then read (S9-S12)."""
+    res = nb_results_from_labels(spark, sf_dir)
+    path = scratch_path(spark, "test_NBM")
+    sinks.create_table(spark, sinks.NB_RESULT_SCHEMA, path=path)
+    src = scratch_path(spark, "results-in")
+    lab = table(spark, sf_dir, "labels")
+    rows = lab.select("doc_id", (F.col("quality") * 4).cast("int").alias("gt"),
+                      ((1 - F.col("toxic")) * 4).cast("int").alias("predicted"))
+    jobs.write_batches([rows.where(F.pmod("doc_id", F.lit(3)) == b).drop("doc_id")
+                        for b in range(3)], src, FILES_PER_BATCH, fmt="parquet")
+    stream = (spark.readStream.schema(res.schema).option("maxFilesPerTrigger", FILES_PER_BATCH)
+              .parquet(src))
+    jobs.run(stream, lambda b, i: sinks.append(b, path=path), scratch_path(spark, "ckpt-sink"))
+    return sinks.scan(spark, path=path)
+
+
+@query("unique_ids")
+def q_unique_ids(spark, sf_dir):
+    return positional.unique_ids(_plain_tweets(spark, sf_dir).select("id"), "uid")
+
+
+@query("positional_join")
+def q_positional_join(spark, sf_dir):
+    """i-th label row paired with the i-th document row, both in id order."""
+    left = _plain_tweets(spark, sf_dir).select("id", "polarity")
+    right = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    return positional.positional_join(left, right, ["id"], ["doc_id"]).select(
+        "idx", "id", "polarity", "doc_id", "n_chars")
+
+
+@query("run_table_name")
+def q_run_table_name(spark, sf_dir):
+    """Result rows tagged with the time-stamped table name of the run."""
+    return nb_results_from_labels(spark, sf_dir).withColumn("table_name",
+                                                            sinks.run_table_name("test_NBM"))

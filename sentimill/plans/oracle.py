@@ -98,3 +98,7 @@ sc AS (SELECT te.id, te.gt, cls.label, cls.pi + coalesce(sum(xt.v * coalesce(th.
 SELECT id, gt, first(label ORDER BY score DESC, label ASC)::INTEGER AS predicted FROM sc GROUP BY id, gt
 """
 ORACLE["tf_roundtrip"] = ORACLE["hashed_tf"]
+
+from .oracle_more import register as _register_more  # noqa: E402
+
+_register_more(ORACLE)
