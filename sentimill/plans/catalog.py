@@ -500,3 +500,19 @@ def q_run_table_name(spark, sf_dir):
     """Result rows tagged with the time-stamped table name of the run."""
     return nb_results_from_labels(spark, sf_dir).withColumn("table_name",
                                                             sinks.run_table_name("test_NBM"))
+
+
+@query("sink_create")
+def q_sink_create(spark, sf_dir):
+    """Create the result table from its schema; a second create must fail; then the
+    results are appended and scanned (S9, S10)."""
+    path = scratch_path(spark, "test_NBM")
+    sinks.create_table(spark, sinks.NB_RESULT_SCHEMA, path=path)
+    try:
+        sinks.create_table(spark, sinks.NB_RESULT_SCHEMA, path=path)
+    except Exception:  # noqa: BLE001 - the expected "already exists" failure
+        pass
+    else:
+        raise RuntimeError("creating an existing result table did not fail")
+    sinks.append(nb_results_from_labels(spark, sf_dir), path=path)
+    return sinks.scan(spark, path=path)

@@ -110,3 +110,4 @@ def register(oracle: dict[str, str]) -> None:
     oracle["stream_classify"] = oracle["nb_predict"]
     oracle["sink_roundtrip"] = f"SELECT gt, predicted FROM {NB_RESULTS}"
     oracle["positional_join"] = POSITIONAL_JOIN
+    oracle["sink_create"] = oracle["sink_roundtrip"]

@@ -125,7 +125,9 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFra
     known to be one record per line: the scan is then split by byte ranges.
     """
     raw = (spark.read.schema(RAW_SCHEMA).option("quote", '"').option("escape", '"')
-           .option("multiLine", multi_line).option("mode", "PERMISSIVE").csv(path))
+           .option("multiLine", multi_line).option("mode", "PERMISSIVE")
+           # CSV has no NULL: an empty field is an empty string, as in Python's csv module
+           .option("nullValue", "\u0000\u0001").csv(path))
     return raw.select(F.col("polarity").try_cast("int").alias("polarity"),
                       F.col("id").try_cast("bigint").alias("id"),
                       "date", "query", "sender", "text")
