@@ -169,7 +169,8 @@ def _train_model(spark, sf_dir):
     tf = _hashed(spark, sf_dir)
     train_ids = split.where("is_train")
     m = train_ids.select(F.count("*")).scalar()
-    tf_train = tf.join(train_ids.select("id"), "id", "left_semi")
+    # the split is a function of the id: a filter, not a join
+    tf_train = tf.where(sampling.in_sample(F.col("id"), TRAIN_PERCENT))
     w = fx.idf(tf_train, m, MIN_DOC_FREQ)
     x = fx.tfidf(tf_train, w, NUM_FEATURES).join(train_ids.select("id", "polarity"), "id")
     empty = train_ids.select("id", "polarity", F.lit(None).cast("int").alias("bucket"),
@@ -230,7 +231,7 @@ def q_nb_loglik(spark, sf_dir):
 def q_nb_predict(spark, sf_dir):
     w, model, tf, split = _train_model(spark, sf_dir)
     test = split.where(~F.col("is_train")).select("id", F.col("polarity").alias("gt"))
-    x = fx.tfidf(tf.join(test.select("id"), "id", "left_semi"), w, NUM_FEATURES)
+    x = fx.tfidf(tf.where(~sampling.in_sample(F.col("id"), TRAIN_PERCENT)), w, NUM_FEATURES)
     return nb.predict(model, x, test).select("id", "gt", "predicted")
 
 
@@ -441,9 +442,9 @@ def q_stream_classify(spark, sf_dir):
     TF-IDF with the training IDF and classified by the trained Naive Bayes model
     (T1, T3, T6, S11)."""
     w, model, _, split = _train_model(spark, sf_dir)
-    test = split.where(~F.col("is_train")).select("id")
-    msgs = wire.encode(tw.tweets(spark, sf_dir, markup=True).join(test, "id", "left_semi"),
-                       key_col="id")
+    test_tweets = tw.tweets(spark, sf_dir, markup=True).where(
+        ~sampling.in_sample(F.col("id"), TRAIN_PERCENT))
+    msgs = wire.encode(test_tweets, key_col="id")
     src, out = scratch_path(spark, "classify-in"), scratch_path(spark, "classified")
     jobs.write_batches([msgs.where(F.pmod(F.col("key").cast("bigint"), F.lit(4)) == b)
                         .select("value") for b in range(4)], src, FILES_PER_BATCH)
