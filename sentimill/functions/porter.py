@@ -195,6 +195,19 @@ _STEPS = [(_step1a, False), (_step1b, True), (_step1c, True), (_step2, True),
           (lambda s: s.rules(_STEP3), True), (_step4, True), (_step5a, True), (_step5b, True)]
 
 
+# suffixes after which each step reads the pattern of its word (by step position)
+_PATTERN_SUFFIXES = {
+    1: ["eed", "ed", "ing"],
+    2: ["y"],
+    3: [x for x, _, _ in _STEP2] + ["logi"],
+    4: [x for x, _, _ in _STEP3],
+    5: ["al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ion",
+        "ou", "ism", "ate", "iti", "ous", "ive", "ize"],
+    6: ["e"],
+    7: ["ll"],
+}
+
+
 def _step_groups(d: Dialect, word: str, tag: str):
     """``(name, helpers, expr)`` per step; ``helpers`` are ``(name, expr)`` bindings the
     step expression reads (the pattern of its input word, the -ed / -ing stems)."""
@@ -203,8 +216,12 @@ def _step_groups(d: Dialect, word: str, tag: str):
     for i in range(n):
         w, c = f"{tag}w{i}", f"{tag}c{i}"
         step, needs_pattern = _STEPS[i]
-        helpers = [(c, _pattern(d, w))] if needs_pattern else []
         st = _Step(d, w, c)
+        helpers = []
+        if needs_pattern:
+            # the pattern is only read after a suffix of this step matched
+            guard = " OR ".join(st.ends(x) for x in _PATTERN_SUFFIXES[i])
+            helpers.append((c, f"CASE WHEN {guard} THEN {_pattern(d, w)} ELSE '' END"))
         if step is _step1b:
             ed, ing = f"{tag}ed", f"{tag}ing"
             helpers.append((ed, f"CASE WHEN length({w}) >= 2 THEN {st.stem(2)} ELSE '' END"))
