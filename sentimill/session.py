@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -46,8 +48,9 @@ def get_spark(app: str = "sentimill", master: str | None = None,
 def shared_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    Uses the cluster's ``spark.checkpoint.dir``; only when that is unset (local tests) a
-    fresh temporary folder is created and registered as the checkpoint directory.
+    Uses the cluster's ``spark.checkpoint.dir``. Only a session with a local master, whose
+    tasks all see the same disk, may leave it unset: then a temporary folder is made and
+    removed when Python ends.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -55,7 +58,10 @@ def shared_dir(spark: SparkSession) -> str:
         return d.rstrip("/")
     conf = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="sentimill-")
+        atexit.register(shutil.rmtree, conf, ignore_errors=True)
     sc.setCheckpointDir(conf)
     return (sc.getCheckpointDir() or conf).rstrip("/")
 
@@ -65,15 +71,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/sentimill/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme (for Python-side file access in local runs)."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def is_local(path: str) -> bool:
-    return path.startswith("file:") or path.startswith("/") or os.path.isabs(path)
-
-
 def materialize(df, name: str):
     """Write ``df`` as parquet under the shared folder and return the table read back.
 
