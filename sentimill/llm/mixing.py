@@ -75,16 +75,17 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", wei
     table = r.select(F.col("source").alias("_source"), "rate", parts.alias("_parts"),
                      _cumulative(F.col("rate") / parts).alias("_cdf"))
     side = F.broadcast(table) if r.count() <= BROADCAST_SOURCES else table
-    d = docs.drop(*[c for c in ("mix_rate", "mix_copy", "mix_key") if c in docs.columns])
-    kept = d.columns
-    j = d.join(side, F.col(f"`{source_col}`").eqNullSafe(F.col("_source")))
-    ident = F.col(f"`{id_col}`")
+    kept = [c for c in docs.columns if c not in ("mix_rate", "mix_copy", "mix_key")]
+    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row"))
+    j = d.join(side, F.col(f"_row.`{source_col}`").eqNullSafe(F.col("_source")))
+    ident = F.col(f"_row.`{id_col}`")
     count = F.aggregate(
         F.sequence(F.lit(1), F.col("_parts")), F.lit(0),
         lambda total, k: total + F.size(F.filter("_cdf", lambda c: c <= unit(F.lit(seed), ident, k))))
     j = j.withColumn("_n", count).where("_n > 0")
-    j = j.select(*[F.col(f"`{c}`") for c in kept], F.col("rate").alias("mix_rate"),
+    j = j.select("_row", F.col("rate").alias("mix_rate"),
                  F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("mix_copy"))
-    j = j.withColumn("mix_key", F.md5(F.concat_ws(":", F.lit(f"{seed}-order"), F.coalesce(ident.cast("string"), F.lit("")),
-                                                  F.col("mix_copy").cast("string"))))
+    key = F.md5(F.concat_ws(":", F.lit(f"{seed}-order"), F.coalesce(ident.cast("string"), F.lit("")),
+                            F.col("mix_copy").cast("string")))
+    j = j.select(*[F.col(f"_row.`{c}`").alias(c) for c in kept], "mix_rate", "mix_copy", key.alias("mix_key"))
     return j.repartition("mix_key").sortWithinPartitions("mix_key")

@@ -91,7 +91,7 @@ def word_hash(word: str) -> int:
     return int(h[0])
 
 
-def ranges(offsets: np.ndarray, size: int = PIECE) -> Iterator[tuple[int, int]]:
+def ranges(offsets: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
     """Runs of texts of about ``size`` bytes: (first, one past the last)."""
     n, i = len(offsets) - 1, 0
     while i < n:
@@ -106,7 +106,7 @@ def groups(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     The words of row ``first + k`` are ``hashes[offsets[k]:offsets[k + 1]]``.
     """
     raw, offsets = buffers(column)
-    for i, j in ranges(offsets):
+    for i, j in ranges(offsets, PIECE):
         lo, hi = int(offsets[i]), int(offsets[j])
         if hi - lo <= 2 * PIECE:
             h, start = _hash_words(raw[lo:hi], offsets[i:j] - lo)
