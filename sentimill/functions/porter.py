@@ -88,11 +88,21 @@ class _Step:
         return f"CASE {' '.join(parts)} ELSE {self.w} END"
 
 
-def _pattern(d: Dialect, w: str) -> str:
-    """Consonant/vowel pattern of ``w``: 'V' / 'C' per letter."""
-    p = f"translate({w}, {d.lit(_LETTERS)}, {d.lit(_CLASSES)})"
-    p = f"CASE WHEN left({p}, 1) = 'y' THEN concat('C', substr({p}, 2)) ELSE {p} END"
-    for _ in range(2):  # y after a consonant is a vowel and vice versa (runs up to 4)
+def _letters(d: Dialect, w: str) -> str:
+    """'V' / 'C' per letter of ``w``; a y after the first letter stays open."""
+    def classes(x: str) -> str:
+        return f"translate({x}, {d.lit(_LETTERS)}, {d.lit(_CLASSES)})"
+    return f"CASE WHEN left({w}, 1) = 'y' THEN concat('C', {classes(f'substr({w}, 2)')}) ELSE {classes(w)} END"
+
+
+def _pattern(d: Dialect, letters: str) -> str:
+    """Consonant/vowel pattern: y after a consonant is a vowel and vice versa."""
+    p = letters
+    if d.name == "spark":  # the classes of a longer run alternate: by pairs from its start on
+        for x, pair in (("C", "VC"), ("V", "CV")):
+            p = d.replace_all(p, f"(?:(?<={x})|(?!^)\\G)yy", pair)
+        p = f"CASE WHEN instr({letters}, 'yyy') > 0 THEN {p} ELSE {letters} END"
+    for _ in range(2):
         p = f"replace(replace({p}, 'Cy', 'CV'), 'Vy', 'VC')"
     return p
 
@@ -169,6 +179,11 @@ def _step2(s: _Step) -> str:
     return s.rules(_STEP2 + [logi])
 
 
+def _step2_alli(s: _Step) -> str:
+    # -alli becomes -al first, and the result goes through the other rules of step 2
+    return s.rules([("alli", "al", _gt0)])
+
+
 def _step4(s: _Step) -> str:
     ion = ("ion", "", lambda p, k: f"{_Step.m_gt1(p)} AND right({s.stem(3)}, 1) IN ('s', 't')")
     table = [(x, "", _gt1) for x in ("al", "ance", "ence", "er", "ic", "able", "ible", "ant",
@@ -191,7 +206,7 @@ def _step5b(s: _Step) -> str:
 
 
 # (step, needs the pattern of its input word)
-_STEPS = [(_step1a, False), (_step1b, True), (_step1c, True), (_step2, True),
+_STEPS = [(_step1a, False), (_step1b, True), (_step1c, True), (_step2_alli, True), (_step2, True),
           (lambda s: s.rules(_STEP3), True), (_step4, True), (_step5a, True), (_step5b, True)]
 
 
@@ -199,12 +214,13 @@ _STEPS = [(_step1a, False), (_step1b, True), (_step1c, True), (_step2, True),
 _PATTERN_SUFFIXES = {
     1: ["eed", "ed", "ing"],
     2: ["y"],
-    3: [x for x, _, _ in _STEP2] + ["logi"],
-    4: [x for x, _, _ in _STEP3],
-    5: ["al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ion",
+    3: ["alli"],
+    4: [x for x, _, _ in _STEP2] + ["logi"],
+    5: [x for x, _, _ in _STEP3],
+    6: ["al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ion",
         "ou", "ism", "ate", "iti", "ous", "ive", "ize"],
-    6: ["e"],
-    7: ["ll"],
+    7: ["e"],
+    8: ["ll"],
 }
 
 
@@ -221,7 +237,8 @@ def _step_groups(d: Dialect, word: str, tag: str):
         if needs_pattern:
             # the pattern is only read after a suffix of this step matched
             guard = " OR ".join(st.ends(x) for x in _PATTERN_SUFFIXES[i])
-            helpers.append((c, f"CASE WHEN {guard} THEN {_pattern(d, w)} ELSE '' END"))
+            helpers.append((f"{c}y", f"CASE WHEN {guard} THEN {_letters(d, w)} ELSE '' END"))
+            helpers.append((c, _pattern(d, f"{c}y")))
         if step is _step1b:
             ed, ing = f"{tag}ed", f"{tag}ing"
             helpers.append((ed, f"CASE WHEN length({w}) >= 2 THEN {st.stem(2)} ELSE '' END"))

@@ -77,16 +77,13 @@ def _code_point_char(n: Column) -> Column:
 def _decode_entity(name: Column, entities: Column) -> Column:
     """Replacement for ``&name;``; unknown or unparsable references stay as written."""
     as_written = F.concat(F.lit("&"), name, F.lit(";"))
-    hex_digits = F.substring(name, 3, 1 << 20)
-    dec_digits = F.substring(name, 2, 1 << 20)
-    hex_val = F.conv(hex_digits, 16, 10).cast("bigint")
-    dec_val = dec_digits.cast("decimal(38,0)")
-    is_hex = name.rlike("^#[xX][0-9a-fA-F]+$")
-    is_dec = name.rlike("^#[0-9]+$")
-    return (F.when(is_hex & (F.length(hex_digits) <= 8) & (hex_val <= MAX_CODE_POINT),
-                   _code_point_char(hex_val))
-            .when(is_dec & (F.length(dec_digits) <= 30) & (dec_val <= MAX_CODE_POINT),
-                  _code_point_char(dec_val.cast("bigint")))
+    # leading zeros do not count; nine digits left of either kind are out of range
+    hex_digits = F.regexp_replace(name, "^#[xX]0*", "")
+    dec_digits = F.regexp_replace(name, "^#0*", "")
+    hex_val = F.when(F.length(hex_digits) <= 8, F.conv(F.concat(F.lit("0"), hex_digits), 16, 10).cast("bigint"))
+    dec_val = F.when(F.length(dec_digits) <= 8, F.concat(F.lit("0"), dec_digits).cast("bigint"))
+    return (F.when(name.rlike("^#[xX][0-9a-fA-F]+$") & (hex_val <= MAX_CODE_POINT), _code_point_char(hex_val))
+            .when(name.rlike("^#[0-9]+$") & (dec_val <= MAX_CODE_POINT), _code_point_char(dec_val))
             .when(name.startswith("#"), as_written)
             .otherwise(F.coalesce(F.try_element_at(entities, name), as_written)))
 

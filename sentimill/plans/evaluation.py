@@ -3,99 +3,67 @@
 Result tables have the columns ``gt`` (actual class) and ``predicted``. Class codes are
 0 (negative) and 4 (positive); clustering tables also carry 2.
 
-The four ``*_sql`` statements are the published evaluation queries, run by Spark SQL
-over a DataFrame parameter. Two quirks are kept on purpose: the false-discovery-rate and
-fall-out rows are labelled by the *actual* class of the errors counted (the row ``gt=4``
-counts tweets predicted 0), and ``UNION`` removes duplicate rows. ``metrics_one_pass``
-computes all four per class from a single scan.
+Every metric of a class is one cell of the confusion table over the sum of two. The cells
+are counted in one scan (partial counts per task, one row shuffled per task), and the
+metrics are read off that row. A metric has no row for a class whose numerator is zero.
+Two quirks are kept on purpose: the false-discovery-rate and fall-out rows carry the
+*actual* class of the errors they count (the row ``gt = 4`` counts those predicted 0), and
+equal rows appear once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-PRECISION_SQL = """
-SELECT gt, COUNT(*) / (SELECT COUNT(*) FROM {t} WHERE (gt = predicted AND gt = 0) OR (gt = 4 AND predicted = 0)) AS precision
-FROM {t} WHERE gt = predicted AND gt = 0 GROUP BY gt
-UNION
-SELECT gt, COUNT(*) / (SELECT COUNT(*) FROM {t} WHERE (gt = predicted AND gt = 4) OR (gt = 0 AND predicted = 4)) AS precision
-FROM {t} WHERE gt = predicted AND gt = 4 GROUP BY gt
-"""
+CLASSES = (0, 4)
+CLUSTER_CLASSES = (0, 2, 4)
 
-RECALL_SQL = """
-SELECT gt, COUNT(*) / (SELECT COUNT(*) FROM {t} WHERE (gt = predicted AND gt = 0) OR (gt = 0 AND predicted = 4)) AS recall
-FROM {t} WHERE gt = predicted AND gt = 0 GROUP BY gt
-UNION
-SELECT gt, COUNT(*) / (SELECT COUNT(*) FROM {t} WHERE (gt = predicted AND gt = 4) OR (gt = 4 AND predicted = 0)) AS recall
-FROM {t} WHERE gt = predicted AND gt = 4 GROUP BY gt
-"""
+#: (counted cell, other cell of the denominator) for the row of a class; a cell is (actual,
+#: predicted), where True stands for the row's class and False for the other one
+METRICS = {
+    "precision": ((True, True), (False, True)),
+    "recall": ((True, True), (True, False)),
+    "false_discovery_rate": ((True, False), (False, False)),
+    "fall_out": ((True, False), (True, True)),
+}
 
-FDR_SQL = """
-SELECT gt, COUNT(*) / (SELECT COUNT(*) FROM {t} WHERE (gt = 4 AND predicted = 0) OR (gt = predicted AND gt = 0)) AS false_discovery_rate
-FROM {t} WHERE gt = 4 AND predicted = 0 GROUP BY gt
-UNION
-SELECT gt, COUNT(*) / (SELECT COUNT(*) FROM {t} WHERE (gt = 0 AND predicted = 4) OR (gt = predicted AND gt = 4)) AS false_discovery_rate
-FROM {t} WHERE gt = 0 AND predicted = 4 GROUP BY gt
-"""
+SCAN_SQL = "SELECT * FROM {t}"
 
-FALLOUT_SQL = """
-SELECT gt, COUNT(*) / (SELECT COUNT(*) FROM {t} WHERE (gt = 4 AND predicted = 0) OR (gt = predicted AND gt = 4)) AS fall_out
-FROM {t} WHERE gt = 4 AND predicted = 0 GROUP BY gt
-UNION
-SELECT gt, COUNT(*) / (SELECT COUNT(*) FROM {t} WHERE (gt = 0 AND predicted = 4) OR (gt = predicted AND gt = 0)) AS fall_out
-FROM {t} WHERE gt = 0 AND predicted = 4 GROUP BY gt
-"""
 
-# The published contingency query selects gt without grouping by it (accepted by MySQL
-# only); grouping by (gt, predicted) gives the intended table. The first branch names
-# the count column.
-CONTINGENCY_SQL = """
-SELECT gt, predicted, COUNT(*) AS C1 FROM {t} WHERE gt = 0 GROUP BY gt, predicted
-UNION
-SELECT gt, predicted, COUNT(*) AS C2 FROM {t} WHERE gt = 2 GROUP BY gt, predicted
-UNION
-SELECT gt, predicted, COUNT(*) AS C2 FROM {t} WHERE gt = 4 GROUP BY gt, predicted
-"""
+def run(spark: SparkSession, sql: str, results: DataFrame) -> DataFrame:
+    """Run a statement with ``{t}`` bound to ``results``."""
+    return spark.sql(sql, t=results)
 
-SCAN_SQL = "SELECT * FROM {t}"
 
-METRIC_SQL = {"precision": PRECISION_SQL, "recall": RECALL_SQL,
-              "false_discovery_rate": FDR_SQL, "fall_out": FALLOUT_SQL}
+def _cell(own: int, cell: tuple[bool, bool]) -> str:
+    other = next(c for c in CLASSES if c != own)
+    return "n{}{}".format(*(own if same else other for same in cell))
 
 
-def run(spark: SparkSession, sql: str, results: DataFrame) -> DataFrame:
-    """Run one of the statements above with ``{t}`` bound to ``results``."""
-    return spark.sql(sql, t=results)
+def confusion(results: DataFrame) -> DataFrame:
+    """One row with the counts n00, n04, n40, n44 (actual class, then predicted)."""
+    return results.agg(*[F.count_if((F.col("gt") == g) & (F.col("predicted") == p)).alias(f"n{g}{p}")
+                         for g in CLASSES for p in CLASSES])
+
+
+def _ratio(name: str, own: int) -> Column:
+    counted, rest = (F.col(_cell(own, c)) for c in METRICS[name])
+    return F.try_divide(counted.cast("double"), (counted + rest).cast("double"))
 
 
 def metric(spark: SparkSession, results: DataFrame, name: str) -> DataFrame:
-    return run(spark, METRIC_SQL[name], results)
+    """(gt, <name>) for the classes with something to count."""
+    rows = F.array(*[F.struct(F.lit(c).alias("gt"), _ratio(name, c).alias(name)) for c in CLASSES])
+    return confusion(results).select(F.inline(F.filter(rows, lambda r: r[name] > 0)))
 
 
 def contingency(spark: SparkSession, results: DataFrame) -> DataFrame:
-    return run(spark, CONTINGENCY_SQL, results)
+    """(gt, predicted, C1): sizes of the groups of actual class and cluster."""
+    return results.where(F.col("gt").isin(*CLUSTER_CLASSES)).groupBy("gt", "predicted").agg(F.count("*").alias("C1"))
 
 
 def metrics_one_pass(results: DataFrame) -> DataFrame:
-    """All four metrics for classes 0 and 4 from one scan and one tiny aggregate.
-
-    The four cell counts are a global aggregate (partial counts per task, one row
-    shuffled per task). Undefined ratios are NULL.
-    """
-    g, p = F.col("gt"), F.col("predicted")
-    cells = results.agg(
-        F.count_if((g == 0) & (p == 0)).alias("n00"), F.count_if((g == 0) & (p == 4)).alias("n04"),
-        F.count_if((g == 4) & (p == 0)).alias("n40"), F.count_if((g == 4) & (p == 4)).alias("n44"))
-
-    def ratio(a, b):
-        return F.try_divide(F.col(a).cast("double"), (F.col(a) + F.col(b)).cast("double"))
-
-    rows = F.array(
-        F.struct(F.lit(0).alias("gt"), ratio("n00", "n40").alias("precision"),
-                 ratio("n00", "n04").alias("recall"), ratio("n04", "n44").alias("false_discovery_rate"),
-                 ratio("n04", "n00").alias("fall_out")),
-        F.struct(F.lit(4).alias("gt"), ratio("n44", "n04").alias("precision"),
-                 ratio("n44", "n40").alias("recall"), ratio("n40", "n00").alias("false_discovery_rate"),
-                 ratio("n40", "n44").alias("fall_out")))
-    return cells.select(F.inline(rows))
+    """All metrics for classes 0 and 4; undefined ratios are NULL."""
+    rows = F.array(*[F.struct(F.lit(c).alias("gt"), *[_ratio(m, c).alias(m) for m in METRICS]) for c in CLASSES])
+    return confusion(results).select(F.inline(rows))

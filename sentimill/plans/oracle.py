@@ -2,24 +2,26 @@
 
 from __future__ import annotations
 
-from ..functions.porter import stem_sql
-from ..functions.sqlgen import DUCKDB
-from . import evaluation as ev
-from .oracle_text import chain_ctes, docs_source, unescape_sql
+from .oracle_text import chain_ctes, docs_source, plain_stem_ctes, unescape_sql
 
 ORACLE: dict[str, str] = {}
 
 NB_RESULTS = "(SELECT (quality * 4)::INTEGER AS gt, ((1 - toxic) * 4)::INTEGER AS predicted FROM labels)"
 
 
-def _sql(template: str, t: str) -> str:
-    return template.replace("{t}", t)
+# rows of two classes: a metric is the mean of a truth value over a row or column of the table
+_TWO = f"FROM {NB_RESULTS} WHERE gt IN (0, 4) AND predicted IN (0, 4)"
 
 
-ORACLE["eval_precision"] = _sql(ev.PRECISION_SQL, NB_RESULTS)
-ORACLE["eval_recall"] = _sql(ev.RECALL_SQL, NB_RESULTS)
-ORACLE["eval_fdr"] = _sql(ev.FDR_SQL, NB_RESULTS)
-ORACLE["eval_fallout"] = _sql(ev.FALLOUT_SQL, NB_RESULTS)
+def _share(row: str, test: str, name: str, by: str) -> str:
+    return (f"SELECT {row} AS gt, avg(CASE WHEN {test} THEN 1::DOUBLE ELSE 0::DOUBLE END) AS {name} {_TWO} "
+            f"GROUP BY {by} HAVING bool_or({test})")
+
+
+ORACLE["eval_precision"] = _share("predicted", "gt = predicted", "precision", "predicted")
+ORACLE["eval_recall"] = _share("gt", "gt = predicted", "recall", "gt")
+ORACLE["eval_fdr"] = _share("4 - predicted", "gt <> predicted", "false_discovery_rate", "predicted")
+ORACLE["eval_fallout"] = _share("gt", "gt <> predicted", "fall_out", "gt")
 
 ORACLE["eval_onepass"] = f"""
 WITH c AS (
@@ -47,9 +49,8 @@ ORACLE["squeeze_repeats"] = _CHAIN + "SELECT id, squeezed FROM q"
 ORACLE["dedupe_ordered"] = _CHAIN + "SELECT id, array_to_string(deduped, ' ') AS deduped FROM d"
 ORACLE["stop_filter"] = _CHAIN + "SELECT id, array_to_string(stopped, ' ') AS stopped FROM s"
 
-ORACLE["stem_vocab"] = (_CHAIN + ", v AS (SELECT DISTINCT unnest(stopped) AS term FROM s) "
-                        f"SELECT term, list_transform([term], lambda tok: {stem_sql(DUCKDB, 'tok', 'p')})[1] AS stem "
-                        "FROM v")
+ORACLE["stem_vocab"] = (_CHAIN + ", v AS (SELECT DISTINCT unnest(stopped) AS term FROM s), "
+                        + plain_stem_ctes("v", "term") + "SELECT word AS term, stem FROM t9")
 
 _POLARITY = ("CASE l.quality WHEN 1 THEN 4 WHEN 0 THEN 0 ELSE 2 END::INTEGER")
 ORACLE["process_tweet"] = (_CHAIN + f"SELECT f.id, {_POLARITY} AS polarity, array_to_string(terms, ' ') AS terms "

@@ -9,7 +9,7 @@ pairs in the unit tests instead.
 from __future__ import annotations
 
 from ..functions.lexicons import ACRONYMS, DEFAULT_STOP_WORDS, EMOTICONS, html_entities
-from ..functions.porter import stem_sql
+from ..functions.porter import IRREGULAR_FORMS, stem_sql
 from ..functions.sqlgen import DUCKDB as D
 from ..functions.sqlgen import ascii_lower, ascii_upper
 from ..sources.tweets import MARKUP_SUFFIXES
@@ -36,12 +36,12 @@ def _chr(x: str) -> str:
 
 
 def unescape_sql(t: str) -> str:
-    hx = "TRY_CAST('0x' || substr(n, 3) AS UBIGINT)"
-    dc = "TRY_CAST(substr(n, 2) AS DECIMAL(38,0))"
-    dec = (f"CASE WHEN regexp_full_match(n, '#[xX][0-9a-fA-F]+') AND length(n) <= 10 "
+    hx = "TRY_CAST('0x' || right('0' || ltrim(substr(n, 3), '0'), 12) AS UBIGINT)"
+    dc = "TRY_CAST(right('0' || ltrim(substr(n, 2), '0'), 18) AS BIGINT)"
+    dec = (f"CASE WHEN regexp_full_match(n, '#[xX][0-9a-fA-F]+') AND length(ltrim(substr(n, 3), '0')) < 12 "
            f"AND {hx} <= 1114111 THEN {_chr(hx)} "
-           f"WHEN regexp_full_match(n, '#[0-9]+') AND length(n) <= 31 AND {dc} <= 1114111 "
-           f"THEN {_chr(f'{dc}::BIGINT')} "
+           f"WHEN regexp_full_match(n, '#[0-9]+') AND length(ltrim(substr(n, 2), '0')) < 18 AND {dc} <= 1114111 "
+           f"THEN {_chr(dc)} "
            f"WHEN starts_with(n, '#') THEN '&' || n || ';' "
            f"ELSE coalesce({_map(html_entities())}[n], '&' || n || ';') END")
     parts = f"regexp_split_to_array({t}, {D.lit(ENTITY_SPLIT_RE)})"
@@ -83,6 +83,65 @@ f AS (SELECT *, {"list_transform(stopped, lambda tok: " + stem_expr + ")" if ste
 """
 
 
+_CC, _VV = "[^aeiou][^aeiouy]*", "[aeiouy][aeiou]*"
+_GT0 = f"^({_CC})?{_VV}{_CC}"
+_EQ1 = f"^({_CC})?{_VV}{_CC}({_VV})?$"
+_GT1 = f"^({_CC})?{_VV}{_CC}{_VV}{_CC}"
+_VOWEL = f"^({_CC})?[aeiouy]"
+_CVC = f"^{_CC}[aeiouy][^aeiouwxy]$|^[aeiou][^aeiou]$"
+
+
+def _suffixes(w: str, rules: list[tuple[str, str, str]], otherwise: str) -> str:
+    """The longest listed suffix decides: with its measure the ending is replaced, else the word stays."""
+    out = []
+    for end, put, need in sorted(rules, key=lambda r: -len(r[0])):
+        out.append(f"WHEN ends_with({w}, '{end}') THEN CASE WHEN regexp_matches({w}[:-{len(end) + 1}], '{need}') "
+                   f"THEN {w}[:-{len(end) + 1}] || '{put}' ELSE {w} END")
+    return f"CASE {' '.join(out)} ELSE {otherwise} END"
+
+
+def plain_stem_ctes(words: str, col: str) -> str:
+    """CTEs t0..t9 that stem the words of a table step by step, with the published measures as
+    regular expressions; written apart from the engine's stemmer. t9 has (word, stem)."""
+    two = [("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"), ("izer", "ize"), ("bli", "ble"),
+           ("alli", "al"), ("entli", "ent"), ("eli", "e"), ("ousli", "ous"), ("ization", "ize"), ("ation", "ate"),
+           ("ator", "ate"), ("alism", "al"), ("iveness", "ive"), ("fulness", "ful"), ("ousness", "ous"), ("aliti", "al"),
+           ("iviti", "ive"), ("biliti", "ble"), ("fulli", "ful")]
+    three = [("icate", "ic"), ("ative", ""), ("alize", "al"), ("iciti", "ic"), ("ical", "ic"), ("ful", ""), ("ness", "")]
+    four = ["al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ou", "ism", "ate", "iti",
+            "ous", "ive", "ize"]
+    rest = (f"CASE WHEN regexp_matches(r, '(at|bl|iz)$') THEN r || 'e' "
+            f"WHEN length(r) >= 2 AND r[-1] = r[-2] AND regexp_matches(r, '[^aeiou]$') THEN "
+            f"CASE WHEN r[-1] IN ('l', 's', 'z') THEN r ELSE r[:-2] END "
+            f"WHEN regexp_matches(r, '{_EQ1}') AND regexp_matches(r, '{_CVC}') THEN r || 'e' ELSE r END")
+    ion = ("WHEN ends_with(w, 'ion') THEN CASE WHEN regexp_matches(w[:-4], '" + _GT1 + "') AND w[-4] IN ('s', 't') "
+           "THEN w[:-4] ELSE w END")
+    step4 = _suffixes("w", [(e, "", _GT1) for e in four], "w").replace("CASE WHEN", f"CASE {ion} WHEN", 1)
+    logi = f"CASE WHEN ends_with(w, 'logi') THEN CASE WHEN regexp_matches(w[:-4], '{_GT0}') THEN w[:-2] ELSE w END ELSE w END"
+    odd = ", ".join(f"({D.lit(a)}, {D.lit(b)})" for a, b in IRREGULAR_FORMS)
+    return f"""
+t0 AS (SELECT DISTINCT {col} AS word, CASE WHEN starts_with({col}, 'y') THEN 'Y' || {col}[2:] ELSE {col} END AS w FROM {words}),
+t1 AS (SELECT word, CASE WHEN ends_with(w, 'sses') THEN w[:-3] WHEN ends_with(w, 'ies') THEN CASE WHEN length(w) = 4 THEN w[:-2] ELSE w[:-3] END
+       WHEN ends_with(w, 'ss') THEN w WHEN ends_with(w, 's') THEN w[:-2] ELSE w END AS w FROM t0),
+t2 AS (SELECT word, w, CASE WHEN ends_with(w, 'ied') OR ends_with(w, 'eed') THEN NULL
+       WHEN ends_with(w, 'ed') AND regexp_matches(w[:-3], '{_VOWEL}') THEN w[:-3]
+       WHEN ends_with(w, 'ing') AND regexp_matches(w[:-4], '{_VOWEL}') THEN w[:-4] END AS r FROM t1),
+t3 AS (SELECT word, CASE WHEN ends_with(w, 'ied') THEN CASE WHEN length(w) = 4 THEN w[:-2] ELSE w[:-3] END
+       WHEN ends_with(w, 'eed') THEN CASE WHEN regexp_matches(w[:-4], '{_GT0}') THEN w[:-2] ELSE w END
+       WHEN r IS NULL THEN w ELSE {rest} END AS w FROM t2),
+t4 AS (SELECT word, CASE WHEN length(w) > 2 AND regexp_matches(w, '([^aeiouy]|^y|[aeiou]yy)y$|[^aeiouy]yyy$|Yyy$') AND NOT regexp_matches(w, 'Yy$')
+       THEN w[:-2] || 'i' ELSE w END AS w FROM t3),
+t5 AS (SELECT word, CASE WHEN ends_with(w, 'alli') AND regexp_matches(w[:-5], '{_GT0}') THEN w[:-3] ELSE w END AS w FROM t4),
+t6 AS (SELECT word, {_suffixes("w", [(a, b, _GT0) for a, b in two], logi)} AS w FROM t5),
+t7 AS (SELECT word, {_suffixes("w", [(a, b, _GT0) for a, b in three], "w")} AS w FROM t6),
+t8 AS (SELECT word, {step4} AS w FROM t7),
+t9a AS (SELECT word, CASE WHEN ends_with(w, 'e') AND (regexp_matches(w[:-2], '{_GT1}') OR (regexp_matches(w[:-2], '{_EQ1}')
+        AND NOT regexp_matches(w[:-2], '{_CVC}'))) THEN w[:-2] ELSE w END AS w FROM t8),
+t9 AS (SELECT word, coalesce(o.b, CASE WHEN length(word) <= 2 THEN word WHEN ends_with(w, 'll') AND regexp_matches(w[:-2], '{_GT1}')
+       THEN lower(w[:-2]) ELSE lower(w) END) AS stem FROM t9a LEFT JOIN (VALUES {odd}) o(a, b) ON o.a = t9a.word)
+"""
+
+
 def docs_source(markup: bool = True) -> str:
     text = f"text || {suffix_sql('doc_id')}" if markup else "text"
     return f"(SELECT doc_id AS id, {text} AS text FROM documents)"

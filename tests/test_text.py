@@ -41,9 +41,9 @@ def test_first_occurrence_only(spark):
 def test_unescape(spark):
     df = spark.createDataFrame(
         [("&lt;3",), ("&amp;lt;",), ("&#8364;",), ("&#x41;",), ("&foo;",), ("&amp",), ("a&nbsp;b",),
-         ("&#xZZ;",), ("&#99999999;",), ("&AMP;",)], "t string")
+         ("&#xZZ;",), ("&#99999999;",), ("&AMP;",), ("&#x0000000041;",), ("&#" + "0" * 40 + "66;",), ("&#0;",)], "t string")
     got = [r[0] for r in df.select(tx.html_unescape(F.col("t"))).collect()]
-    assert got == ["<3", "&lt;", "€", "A", "&foo;", "&amp", "a b", "&#xZZ;", "&#99999999;", "&AMP;"]
+    assert got == ["<3", "&lt;", "€", "A", "&foo;", "&amp", "a b", "&#xZZ;", "&#99999999;", "&AMP;", "A", "B", "\ufffd"]
 
 
 def test_ascii_case_only(spark):
@@ -84,6 +84,8 @@ PORTER = {
     "bowdlerize": "bowdler", "probate": "probat", "rate": "rate", "cease": "ceas",
     "controll": "control", "roll": "roll", "generalizations": "gener", "oscillators": "oscil",
     "dying": "die", "dies": "die", "spied": "spi", "died": "die", "enjoy": "enjoy", "try": "tri",
+    "conditionally": "condit", "emotionally": "emot", "traditionally": "tradit", "rationally": "ration",
+    "radically": "radic", "say": "say", "syyyyy": "syyyyi", "ayyyyed": "ayyyi",
     "flies": "fli", "skies": "sky", "news": "news", "at": "at", "": "",
 }
 
