@@ -36,9 +36,6 @@ class Dialect:
         fn = "endswith" if self.name == "spark" else "ends_with"
         return f"{fn}({s}, {self.lit(suffix)})"
 
-    def in_list(self, s: str, values) -> str:
-        return f"{s} IN ({', '.join(self.lit(v) for v in values)})"
-
 
 SPARK = Dialect("spark")
 DUCKDB = Dialect("duckdb")

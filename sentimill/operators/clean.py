@@ -9,7 +9,7 @@ each one can be inspected or reused on its own.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +27,6 @@ class CleanOptions:
     strip_apostrophes: bool = False  # the training path of the original drops ' first
     drop_empty: bool = False  # an empty text keeps its single empty token by default
     stem: bool = True
-    extra: dict = field(default_factory=dict)
 
 
 STAGES = ("unescaped", "emoticons", "preprocessed", "tokenized", "squeezed", "deduped",
@@ -35,25 +34,29 @@ STAGES = ("unescaped", "emoticons", "preprocessed", "tokenized", "squeezed", "de
 
 
 def load_stop_words(spark, path: str) -> list[str]:
-    """Stop-word list from a one-word-per-line text file.
+    """Stop-word list from a one-word-per-line text file, as one hash set for the filter.
 
-    The list is small by nature (it becomes one hash set inside the filter expression);
-    its size is checked before it is brought to the driver.
+    For lists that do not fit an expression use ``stop_word_table`` with
+    ``drop_stop_terms``, which join instead.
     """
-    words = spark.read.text(path).select(F.trim("value").alias("w")).where("w <> ''").distinct()
-    n = words.count()
-    if n > 100_000:
-        raise ValueError(f"stop-word list too large to inline: {n} words")
-    return [r.w for r in words.collect()]
+    return [r.word for r in stop_word_table(spark, path).collect()]
+
+
+def stop_word_table(spark, path: str) -> DataFrame:
+    """(word) of a one-word-per-line text file, of any size."""
+    return spark.read.text(path).select(F.trim("value").alias("word")).where("word <> ''").distinct()
+
+
+def drop_stop_terms(terms: DataFrame, stop_words: DataFrame, term_col: str = "term") -> DataFrame:
+    """Rows of exploded terms that are not in a stop-word table (anti-join, any list size)."""
+    return terms.join(stop_words.select(F.col("word").alias("_stop")), F.col(term_col) == F.col("_stop"), "left_anti")
 
 
 def load_lexicon(spark, path: str, sep: str = "\t") -> list[tuple[str, str]]:
-    """``token<sep>replacement`` lexicon file, size-checked before it is inlined."""
-    lex = spark.read.option("sep", sep).schema("token string, replacement string").csv(path)
-    n = lex.count()
-    if n > 100_000:
-        raise ValueError(f"lexicon too large to inline: {n} entries")
-    return [(r.token, r.replacement) for r in lex.collect()]
+    """``token<sep>replacement`` lines, quotes taken literally; one literal map of the chain."""
+    parts = F.split("value", f"\\Q{sep}\\E", 2)
+    lex = spark.read.text(path).where(F.instr("value", sep) > 0).select(parts[0].alias("k"), parts[1].alias("v"))
+    return [(r.k, r.v) for r in lex.collect()]
 
 
 def clean_stages(df: DataFrame, text_col: str = "text", opts: CleanOptions = CleanOptions(),
@@ -83,28 +86,47 @@ def clean_stages(df: DataFrame, text_col: str = "text", opts: CleanOptions = Cle
 
 def stem_token_lists(df: DataFrame, keys: Sequence[str], tokens_col: str = "stopped",
                      out_col: str = "terms", drop_empty: bool = False) -> DataFrame:
-    """Stem every token of ``tokens_col``; one output row per distinct ``keys``.
+    """Stem every token of ``tokens_col``; one output row per row of ``df``.
 
     The token lists are exploded with their positions, stemmed by the code-generated
-    step columns and gathered back in order. ``keys`` must identify the row (e.g. the
-    tweet id); the gather is one shuffle keyed on them with no skew beyond the size of a
-    single document, and a later join on the same keys reuses its partitioning.
-    Rows whose list is empty keep an empty list.
+    step columns and gathered back in order by ``_row``, the number that ``with_row_key``
+    gave to each row, so rows with equal or missing ``keys`` stay apart. The rows are
+    partitioned by it already, and the gather adds no shuffle. Rows whose list is empty
+    keep an empty list.
     """
-    ex = df.select(*keys, tx.explode_tokens(F.col(tokens_col), "_pos", "_tok", outer=True))
+    ex = df.select("_row", *keys, tx.explode_tokens(F.col(tokens_col), "_pos", "_tok", outer=True))
     ex = tx.with_stem(ex, "_tok", "_stem")
     item = F.when(F.col("_pos").isNotNull(), F.struct("_pos", "_stem"))
-    g = ex.groupBy(*keys).agg(F.sort_array(F.collect_list(item)).alias("_s"))
+    g = ex.groupBy("_row", *keys).agg(F.sort_array(F.collect_list(item)).alias("_s"))
     terms = F.transform("_s", lambda s: s["_stem"])
     if drop_empty:
         terms = F.filter(terms, lambda x: x != "")
     return g.select(*keys, terms.alias(out_col))
 
 
+def partition_by(df: DataFrame, key: str) -> DataFrame:
+    """``df`` partitioned by ``key``, before texts are cleaned.
+
+    This is the only exchange of the chain: it moves the texts, which are smaller than
+    their exploded tokens, and aggregates by the key that follow add none. The number is
+    fixed to ``spark.sql.shuffle.partitions``: cleaning is bound by CPU, so partitions are
+    not merged by their size.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
+def with_row_key(df: DataFrame) -> DataFrame:
+    """Adds ``_row``, unique for each row, and partitions by it."""
+    return partition_by(df.withColumn("_row", F.monotonically_increasing_id()), "_row")
+
+
 def exploded_terms(df: DataFrame, keys: Sequence[str], tokens_col: str = "stopped",
-                   term_col: str = "term", stem: bool = True) -> DataFrame:
-    """One row per (keys, position, stemmed term): the input of term counting."""
-    ex = df.select(*keys, tx.explode_tokens(F.col(tokens_col), "pos", "_tok"))
+                   term_col: str = "term", stem: bool = True, outer: bool = False) -> DataFrame:
+    """One row per (keys, position, stemmed term): the input of term counting.
+
+    With ``outer`` a row without tokens gives one row with a null term.
+    """
+    ex = df.select(*keys, tx.explode_tokens(F.col(tokens_col), "pos", "_tok", outer=outer))
     if stem:
         return tx.with_stem(ex, "_tok", term_col).drop("_tok")
     return ex.withColumnRenamed("_tok", term_col)
@@ -113,7 +135,7 @@ def exploded_terms(df: DataFrame, keys: Sequence[str], tokens_col: str = "stoppe
 def clean_tweets(df: DataFrame, keys: Sequence[str], text_col: str = "text",
                  out_col: str = "terms", opts: CleanOptions = CleanOptions()) -> DataFrame:
     """``keys`` plus ``out_col``: the cleaned, de-duplicated, stop-filtered, stemmed terms."""
-    t = clean_stages(df.select(*keys, text_col), text_col, opts, upto="stopped")
+    t = clean_stages(with_row_key(df.select(*keys, text_col)), text_col, opts, upto="stopped")
     if not opts.stem:
         return t.select(*keys, F.col("stopped").alias(out_col))
     return stem_token_lists(t, keys, "stopped", out_col, opts.drop_empty)

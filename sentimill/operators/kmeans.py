@@ -3,9 +3,9 @@
 A model is a small table ``(cluster int, center array<double>, weight double)`` of
 ``k`` rows. Data rows carry a dense ``array<double>`` feature column.
 
-* ``assign``: the centres (k x dim numbers, size-checked) are inlined into the
-  expression; each row picks the nearest centre by squared Euclidean distance, ties to
-  the lowest cluster. No join, no shuffle.
+* ``assign``: the centres (k x dim numbers) are one constant of the expression; each row
+  picks the nearest centre by squared Euclidean distance, ties to the lowest cluster. No
+  join, no shuffle. ``assign_sparse`` does the same for (keys, bucket, value) rows.
 * ``update``: per-cluster counts and per-(cluster, dimension) sums are grouped
   aggregates (combined inside each task first, so a cluster holding most rows still
   moves one partial row per task), then
@@ -17,6 +17,7 @@ A model is a small table ``(cluster int, center array<double>, weight double)``
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 import numpy as np
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_MODEL_CELLS = 1 << 22  # k * dim numbers inlined into the assignment expression
+from .features import small
 
 CENTER_SCHEMA = T.StructType([
     T.StructField("cluster", T.IntegerType()),
@@ -42,27 +43,9 @@ def random_centers(spark: SparkSession, k: int, dim: int, weight: float = 1.0,
                                  CENTER_SCHEMA)
 
 
-def centers_from_rows(rows: DataFrame, features_col: str, weight: float = 1.0) -> DataFrame:
-    """Initial model from given rows (in their order), e.g. the first k vectors."""
-    return rows.select(
-        (F.row_number().over(_order_window()) - 1).cast("int").alias("cluster"),
-        F.col(features_col).cast("array<double>").alias("center"),
-        F.lit(float(weight)).alias("weight"))
-
-
-def _order_window():
-    from pyspark.sql import Window
-
-    return Window.orderBy(F.monotonically_increasing_id())
-
-
 def collect_centers(centers: DataFrame) -> list[list[float]]:
-    """The model's centres, ordered by cluster (size checked: it is inlined)."""
-    rows = centers.orderBy("cluster").collect()
-    cells = sum(len(r.center) for r in rows)
-    if cells > MAX_MODEL_CELLS:
-        raise ValueError(f"model too large to inline ({cells} numbers); use a relational assign")
-    return [list(r.center) for r in rows]
+    """The model's centres, ordered by cluster (k rows)."""
+    return [list(r.center) for r in centers.orderBy("cluster").collect()]
 
 
 def squared_distance(v: Column, c: Column) -> Column:
@@ -71,10 +54,15 @@ def squared_distance(v: Column, c: Column) -> Column:
 
 
 def nearest(v: Column, centers: Sequence[Sequence[float]]) -> Column:
-    """Index of the nearest centre (ties: lowest index)."""
-    lits = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centers])
-    d = F.transform(lits, lambda c: squared_distance(v, c))
-    return (F.array_position(d, F.array_min(d)) - 1).cast("int")
+    """Index of the nearest centre (ties: lowest index).
+
+    The centres enter the plan as one JSON literal that the optimizer folds into one array
+    constant, so planning time does not follow their number of coordinates.
+    """
+    text = json.dumps([[float(x) for x in c] for c in centers])
+    table = F.from_json(F.lit(text), "array<array<double>>")
+    d = F.transform(table, lambda c: squared_distance(v, c))
+    return F.transform(F.array(d), lambda x: (F.array_position(x, F.array_min(x)) - 1).cast("int"))[0]
 
 
 def assign(df: DataFrame, centers: DataFrame | Sequence[Sequence[float]],
@@ -97,6 +85,41 @@ def batch_stats(assigned: DataFrame, features_col: str = "features",
         "cluster", "m", F.transform("_s", lambda e: e["s"]).alias("sum"))
 
 
+def wide_centers(centers: Sequence[Sequence[float]], spark: SparkSession) -> DataFrame:
+    """(bucket, c0.., ) one row per coordinate, from the centres."""
+    rows = [(j, *[float(c[j]) for c in centers]) for j in range(len(centers[0]))]
+    return spark.createDataFrame(rows, "bucket int, " + ", ".join(f"c{i} double" for i in range(len(centers))))
+
+
+def assign_sparse(features: DataFrame, keys: Sequence[str], centers: Sequence[Sequence[float]],
+                  value_col: str = "tfidf") -> DataFrame:
+    """``keys`` plus ``predicted``: nearest centre of each document's sparse features.
+
+    |x - c|^2 is ordered like |c|^2 - 2 x.c, so only the buckets a document has are read.
+    A document without features has a row with a null bucket.
+    """
+    k, dim = len(centers), len(centers[0])
+    wide = small(wide_centers(centers, features.sparkSession), dim, k + 1)
+    dots = [F.coalesce(F.sum(F.col(value_col) * F.col(f"c{i}")), F.lit(0.0)).alias(f"s{i}") for i in range(k)]
+    g = features.join(wide, "bucket", "left").groupBy(*keys).agg(*dots)
+    far = [F.struct((F.lit(float(np.dot(c, c))) - 2 * F.col(f"s{i}")).alias("d"), F.lit(i).alias("i"))
+           for i, c in enumerate(centers)]
+    best = F.least(*far) if k > 1 else far[0]
+    return g.select(*keys, best["i"].alias("predicted"))
+
+
+def sparse_stats(features: DataFrame, assigned: DataFrame, keys: Sequence[str], dim: int,
+                 value_col: str = "tfidf") -> DataFrame:
+    """``(cluster, m, sum array<double>)`` of sparse features and their clusters."""
+    x = features.join(assigned, list(keys)).where("bucket is not null")
+    sums = x.groupBy(F.col("predicted").alias("cluster"), "bucket").agg(F.sum(value_col).alias("s"))
+    found = sums.groupBy("cluster").agg(F.map_from_entries(F.collect_list(F.struct("bucket", "s"))).alias("at"))
+    counts = assigned.groupBy(F.col("predicted").alias("cluster")).agg(F.count("*").alias("m"))
+    filled = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda j: F.coalesce(F.col("at")[j], F.lit(0.0)))
+    return counts.join(found, "cluster", "left").select(
+        "cluster", "m", F.when(F.col("at").isNull(), F.array_repeat(F.lit(0.0), dim)).otherwise(filled).alias("sum"))
+
+
 def update(centers: DataFrame, stats: DataFrame, decay: float = 1.0,
            time_unit: str = "batches") -> DataFrame:
     """New model from the old one and a batch's statistics (k rows in, k rows out)."""
@@ -105,7 +128,7 @@ def update(centers: DataFrame, stats: DataFrame, decay: float = 1.0,
         a = F.pow(F.lit(float(decay)), total)
     else:
         a = F.lit(float(decay))
-    j = centers.join(F.broadcast(stats), "cluster", "left")
+    j = centers.join(stats, "cluster", "left")
     m = F.coalesce(F.col("m"), F.lit(0)).cast("double")
     wa = F.col("weight") * a
     new_w = wa + m

@@ -8,24 +8,23 @@ Relational model (smoothing ``lam``, ``V = num_features``):
   in the bucket and ``T`` its total; only observed cells are stored, every other bucket
   of the class scores ``default = ln(lam) - ln(T + lam * V)``.
 
-Fitting is two grouped sums (partially combined per task). Prediction joins each
-document's features with the model table (bounded by ``C * V`` rows, broadcast when
-small) and sums per document in one shuffle; the per-class constants (C values) are
-inlined.
+Fitting is two grouped sums (partially combined per task). For prediction the model is
+made into one row per bucket, once; each document's features are joined with it (broadcast
+when small) and summed per document in one shuffle; the per-class constants are inlined.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .features import small
 
-MAX_CLASSES = 1000
-
-
 @dataclass
 class NBModel:
     priors: DataFrame   # label, n, pi
@@ -50,70 +49,72 @@ class NBModel:
                        spark.read.parquet(f"{path}/totals"), int(p.num_features), float(p.smoothing))
 
 
-def fit(features: DataFrame, num_features: int, smoothing: float = 1.0,
-        label_col: str = "label", value_col: str = "tfidf", key: str = "id") -> NBModel:
-    """``features``: one row per (document, bucket) with the document's label.
+def fit(features: DataFrame, docs: DataFrame, num_features: int, smoothing: float = 1.0,
+        label_col: str = "label", value_col: str = "tfidf") -> NBModel:
+    """Fit on ``features``, one row per (document, bucket) with the document's label, and
+    ``docs``, one row per document with its label (documents without features included).
 
-    Documents without any feature still count in the priors when they appear with a
-    NULL bucket (see ``with_empty_docs``).
+    Features are read once: the summed cells, at most classes x buckets rows, are written,
+    and totals and log-likelihoods follow from them.
     """
     lam = float(smoothing)
-    docs = features.select(key, label_col).distinct()
-    counts = docs.groupBy(label_col).agg(F.count("*").alias("n"))
-    n_all = counts.select(F.sum("n")).scalar()
-    n_cls = counts.select(F.count("*")).scalar()
-    priors = counts.select(
-        F.col(label_col).alias("label"), "n",
-        (F.log(F.col("n") + lam) - F.log(n_all + F.lit(lam) * n_cls)).alias("pi"))
-    cells = (features.where(F.col("bucket").isNotNull())
-             .groupBy(F.col(label_col).alias("label"), "bucket")
-             .agg(F.sum(value_col).alias("s")))
+    counts = materialize(docs.groupBy(F.col(label_col).alias("label")).agg(F.count("*").alias("n")), "class-counts")
+    n_all, n_cls = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    priors = counts.select("label", "n", (F.log(F.col("n") + lam) - F.log(F.lit(n_all + lam * n_cls))).alias("pi"))
+    cells = materialize(features.where(F.col("bucket").isNotNull())
+                        .groupBy(F.col(label_col).alias("label"), "bucket")
+                        .agg(F.sum(value_col).alias("s")), "class-cells")
     totals = cells.groupBy("label").agg(F.sum("s").alias("total"))
     totals = totals.select("label", "total",
                            (F.log(F.lit(lam)) - F.log(F.col("total") + lam * num_features))
                            .alias("default_theta"))
-    theta = cells.join(F.broadcast(totals), "label").select(
+    theta = cells.join(totals, "label").select(
         "label", "bucket",
         (F.log(F.col("s") + lam) - F.log(F.col("total") + lam * num_features)).alias("theta"))
     return NBModel(priors, theta, totals, num_features, lam)
 
 
-def predict(model: NBModel, features: DataFrame, docs: DataFrame, key: str = "id",
-            value_col: str = "tfidf") -> DataFrame:
-    """``docs`` (one row per document, any columns incl. ``key``) plus ``predicted``.
+@dataclass
+class Scorer:
+    """A model made ready to score many batches: class constants and one row per bucket."""
+    classes: list[tuple[int, float, float]]  # label, pi, default theta
+    wide: DataFrame                          # bucket, d0.. (theta minus default of each class)
+    num_features: int
 
-    Score of class c: ``pi_c + default_c * sum(x) + sum(x * (theta_cj - default_c))``;
-    ties go to the lowest label.
-    """
+
+def prepare(model: NBModel) -> Scorer:
+    """Collect the class constants (a row per class) and write the wide model table once."""
     consts = (model.priors.join(model.totals, "label", "left")
-              .select("label", "pi", F.coalesce("default_theta", F.log(F.lit(model.smoothing))
-                                                 - F.log(F.lit(model.smoothing * model.num_features)))
-                      .alias("default_theta"))
+              .select("label", "pi", F.coalesce("default_theta", F.lit(
+                  math.log(model.smoothing) - math.log(model.smoothing * model.num_features))).alias("d"))
               .orderBy("label"))
-    n = consts.count()
-    if n > MAX_CLASSES:
-        raise ValueError(f"too many classes to score in one pass: {n}")
-    rows = consts.collect()
-    labels = [r.label for r in rows]
-    # model cells as one wide row per bucket: delta_c = theta_cj - default_c
-    delta = model.theta.join(F.broadcast(model.totals.select("label", "default_theta")), "label")
-    wide = (delta.groupBy("bucket")
-            .pivot("label", labels)
+    classes = [(r.label, r.pi, r.d) for r in consts.collect()]
+    labels = [c[0] for c in classes]
+    delta = model.theta.join(model.totals.select("label", "default_theta"), "label")
+    wide = (delta.groupBy("bucket").pivot("label", labels)
             .agg(F.first(F.col("theta") - F.col("default_theta"))))
     wide = wide.select("bucket", *[F.col(str(c)).alias(f"d{i}") for i, c in enumerate(labels)])
-    joined = features.select(key, "bucket", F.col(value_col).alias("x")).join(
-        small(wide, model.num_features), "bucket", "left")
-    sums = [F.sum(F.col("x") * F.coalesce(F.col(f"d{i}"), F.lit(0.0))).alias(f"p{i}")
-            for i in range(len(labels))]
-    per_doc = joined.groupBy(key).agg(F.sum("x").alias("sx"), *sums)
-    out = docs.join(per_doc, key, "left")
+    return Scorer(classes, materialize(wide, "nb-wide"), model.num_features)
+
+
+def predict(scorer: Scorer, features: DataFrame, keys: Sequence[str], value_col: str = "tfidf") -> DataFrame:
+    """``keys`` plus ``predicted``, one row per distinct ``keys`` of ``features``.
+
+    ``keys`` must tell the documents apart and may carry any of their columns; a document
+    without features has a row with a null bucket. One aggregate scores all of them.
+    Score of class c: ``pi_c + default_c * sum(x) + sum(x * (theta_cj - default_c))``;
+    ties go to the lowest label.
+    """
+    n = len(scorer.classes)
+    x = features.select(*keys, "bucket", F.col(value_col).alias("x")).join(
+        small(scorer.wide, scorer.num_features, n + 1), "bucket", "left")
+    sums = [F.sum(F.col("x") * F.coalesce(F.col(f"d{i}"), F.lit(0.0))).alias(f"p{i}") for i in range(n)]
+    per_doc = x.groupBy(*keys).agg(F.sum("x").alias("sx"), *sums)
     scores = [F.struct(
-        (F.lit(r.pi) + F.lit(r.default_theta) * F.coalesce(F.col("sx"), F.lit(0.0))
-         + F.coalesce(F.col(f"p{i}"), F.lit(0.0))).alias("score"),
-        F.lit(-r.label).alias("neg_label")) for i, r in enumerate(rows)]
-    best = F.greatest(*scores) if len(scores) > 1 else scores[0]
-    return out.withColumn("predicted", (-best["neg_label"]).cast("int")).drop(
-        "sx", *[f"p{i}" for i in range(len(labels))])
+        (F.lit(pi) + F.lit(d) * F.coalesce(F.col("sx"), F.lit(0.0)) + F.coalesce(F.col(f"p{i}"), F.lit(0.0))).alias("score"),
+        F.lit(-label).alias("neg_label")) for i, (label, pi, d) in enumerate(scorer.classes)]
+    best = F.greatest(*scores) if n > 1 else scores[0]
+    return per_doc.select(*keys, (-best["neg_label"]).cast("int").alias("predicted"))
 
 
 # ------------------------------------------------------------------ pyspark.ml form

@@ -16,12 +16,14 @@ from ..operators import features as fx
 from ..operators import naive_bayes as nb
 from ..operators import kmeans as km
 from ..operators import positional, sampling
-from ..operators.clean import CleanOptions, clean_stages, clean_tweets, exploded_terms
+from ..operators.clean import (CleanOptions, clean_stages, clean_tweets, drop_stop_terms, exploded_terms, load_lexicon, partition_by,
+                               stop_word_table, with_row_key)
+from ..functions.lexicons import ACRONYMS, DEFAULT_STOP_WORDS, EMOTICONS
 from ..sources import sinks, wire
 from ..sources import tweets as tw
 from ..streaming import jobs
 from ..session import materialize, scratch_path
-from ..sources.tables import spread, table
+from ..sources.tables import table
 from . import evaluation as ev
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,8 +85,7 @@ def _stage(spark, sf_dir, stage: str, as_text: bool = False) -> DataFrame:
 
 @query("html_unescape")
 def q_html_unescape(spark, sf_dir):
-    pages = spread(table(spark, sf_dir, "pages"))
-    return pages.select("page_id", tx.html_unescape(F.col("html")).alias("unescaped"))
+    return table(spark, sf_dir, "pages").select("page_id", tx.html_unescape(F.col("html")).alias("unescaped"))
 
 
 @query("emoticon_replace")
@@ -137,6 +138,38 @@ def q_process_tweet(spark, sf_dir):
     return tw.with_polarity(spark, sf_dir, terms).select("id", "polarity", "terms")
 
 
+@query("process_tweet_keys")
+def q_process_tweet_keys(spark, sf_dir):
+    """Tweets whose ids are missing (every third) or shared by two: still one row per tweet (P5)."""
+    docs = _marked_docs(spark, sf_dir)
+    given = F.when(F.pmod("id", F.lit(3)) > 0, F.expr("id div 2"))
+    t = clean_tweets(docs.select(given.alias("id"), "text"), ["id"])
+    return t.select("id", F.array_join("terms", " ").alias("terms"))
+
+
+@query("stop_filter_file")
+def q_stop_filter_file(spark, sf_dir):
+    """Stop words read from a file and removed by an anti-join on the exploded tokens."""
+    path = scratch_path(spark, "stop-words")
+    spark.createDataFrame([(w,) for w in DEFAULT_STOP_WORDS], "value string").write.text(path)
+    t = clean_stages(with_row_key(_marked_docs(spark, sf_dir)), "text", CleanOptions(), upto="deduped")
+    terms = exploded_terms(t, ["id"], "deduped", "term", stem=False)
+    return drop_stop_terms(terms, stop_word_table(spark, path)).select("id", "term")
+
+
+@query("lexicon_file")
+def q_lexicon_file(spark, sf_dir):
+    """Emoticon and acronym lexicons read from files, then the chain up to acronyms."""
+    loaded = {}
+    for name, pairs in (("emoticons", EMOTICONS), ("acronyms", ACRONYMS)):
+        path = scratch_path(spark, name)
+        spark.createDataFrame([(f"{k}\t{v}",) for k, v in pairs], "value string").write.text(path)
+        loaded[name] = load_lexicon(spark, path)
+    opts = CleanOptions(emoticons=loaded["emoticons"], acronyms=loaded["acronyms"])
+    t = clean_stages(_marked_docs(spark, sf_dir), "text", opts, upto="preprocessed")
+    return t.select("id", "preprocessed")
+
+
 # ------------------------------------------------------------------ features and Naive Bayes
 
 NUM_FEATURES = 1024      # hashed feature dimension of the training job
@@ -145,15 +178,22 @@ SMOOTHING = 1.0
 TRAIN_PERCENT = 70
 
 
-def _terms(spark, sf_dir) -> DataFrame:
-    """(id, pos, term): stemmed terms of every document, one row per kept token."""
-    t = clean_stages(_marked_docs(spark, sf_dir), "text", CleanOptions(), upto="stopped")
-    return exploded_terms(t.select("id", "stopped"), ["id"], "stopped", "term")
+def _terms(spark, sf_dir, outer: bool = False) -> DataFrame:
+    """(id, pos, term): stemmed terms of every document, one row per kept token.
+
+    Documents are partitioned by id before they are cleaned, and the aggregates by id
+    (and bucket) that follow use this partitioning. With ``outer`` a document without
+    tokens has a row with a null term. Do not filter on the term before it is written: the
+    optimizer would push the filter below the stemmer and unfold all its steps.
+    """
+    docs = partition_by(_marked_docs(spark, sf_dir), "id")
+    t = clean_stages(docs, "text", CleanOptions(), upto="stopped")
+    return exploded_terms(t.select("id", "stopped"), ["id"], "stopped", "term", outer=outer)
 
 
-def _hashed(spark, sf_dir) -> DataFrame:
+def _hashed(spark, sf_dir, num_features: int = NUM_FEATURES) -> DataFrame:
     """Hashed TF of the corpus, written once to the shared folder (it is read twice)."""
-    return materialize(fx.hashed_tf(_terms(spark, sf_dir), ["id"], NUM_FEATURES), "hashed-tf")
+    return materialize(fx.hashed_tf(_terms(spark, sf_dir, outer=True), ["id"], num_features), "hashed-tf")
 
 
 def _split(spark, sf_dir) -> DataFrame:
@@ -163,25 +203,27 @@ def _split(spark, sf_dir) -> DataFrame:
         "id", "polarity", sampling.in_sample(F.col("id"), TRAIN_PERCENT).alias("is_train"))
 
 
-def _train_model(spark, sf_dir):
-    """IDF and Naive Bayes fitted on the training part; returns (idf, model, tf, split)."""
-    split = _split(spark, sf_dir)
-    tf = _hashed(spark, sf_dir)
-    train_ids = split.where("is_train")
-    m = train_ids.select(F.count("*")).scalar()
+def _in_train() -> F.Column:
     # the split is a function of the id: a filter, not a join
-    tf_train = tf.where(sampling.in_sample(F.col("id"), TRAIN_PERCENT))
-    w = fx.idf(tf_train, m, MIN_DOC_FREQ)
-    x = fx.tfidf(tf_train, w, NUM_FEATURES).join(train_ids.select("id", "polarity"), "id")
-    empty = train_ids.select("id", "polarity", F.lit(None).cast("int").alias("bucket"),
-                             F.lit(0.0).alias("tfidf"))
-    rows = x.select("id", "polarity", "bucket", "tfidf").unionByName(empty)
-    model = nb.fit(rows, NUM_FEATURES, SMOOTHING, label_col="polarity")
-    # fitting ends in written tables: later steps read the model instead of refitting
-    path = scratch_path(spark, "nb-model")
-    model.save(path)
-    w.write.parquet(f"{path}/idf")
-    return spark.read.parquet(f"{path}/idf"), nb.NBModel.load(spark, path), tf, split
+    return sampling.in_sample(F.col("id"), TRAIN_PERCENT)
+
+
+def _train_features(spark, sf_dir, num_features: int, min_doc_freq: int):
+    """(idf, training documents, TF of all documents, split), IDF from the training part."""
+    split = materialize(_split(spark, sf_dir), "split")
+    tf = _hashed(spark, sf_dir, num_features)
+    m = split.where("is_train").count()
+    seen = tf.where(_in_train()).where("bucket is not null")
+    return materialize(fx.idf(seen, F.lit(m), min_doc_freq), "idf"), m, tf, split
+
+
+def _train_model(spark, sf_dir):
+    """IDF and Naive Bayes fitted on the training part; returns (idf, m, model, tf, split)."""
+    w, m, tf, split = _train_features(spark, sf_dir, NUM_FEATURES, MIN_DOC_FREQ)
+    train = split.where("is_train").select("id", "polarity")
+    x = fx.tfidf(tf.where(_in_train()), w, NUM_FEATURES, m, MIN_DOC_FREQ).join(train, "id")
+    model = nb.fit(x, train, NUM_FEATURES, SMOOTHING, label_col="polarity")
+    return w, m, model, tf, split
 
 
 @query("term_frequency")
@@ -191,21 +233,34 @@ def q_term_frequency(spark, sf_dir):
 
 @query("hashed_tf")
 def q_hashed_tf(spark, sf_dir):
-    return _hashed(spark, sf_dir)
+    return fx.hashed_tf(_terms(spark, sf_dir), ["id"], NUM_FEATURES)
 
 
 @query("idf_weights")
 def q_idf_weights(spark, sf_dir):
-    m = table(spark, sf_dir, "documents").select(F.count("*")).scalar()
-    w = fx.idf(_hashed(spark, sf_dir), m, MIN_DOC_FREQ)
-    return w.select("bucket", "df", F.round("idf", 6).alias("idf"))
+    m = table(spark, sf_dir, "documents").count()
+    tf = fx.hashed_tf(_terms(spark, sf_dir), ["id"], NUM_FEATURES)
+    return fx.idf(tf, F.lit(m), MIN_DOC_FREQ).select("bucket", "df", F.round("idf", 6).alias("idf"))
 
 
 @query("tfidf")
 def q_tfidf(spark, sf_dir):
-    tf = _hashed(spark, sf_dir)
-    m = table(spark, sf_dir, "documents").select(F.count("*")).scalar()
-    x = fx.tfidf(tf, fx.idf(tf, m, MIN_DOC_FREQ), NUM_FEATURES)
+    tf = _hashed(spark, sf_dir).where("bucket is not null")
+    m = table(spark, sf_dir, "documents").count()
+    x = fx.tfidf(tf, fx.idf(tf, F.lit(m), MIN_DOC_FREQ), NUM_FEATURES, m, MIN_DOC_FREQ)
+    return x.select("id", "bucket", "tf", F.round("tfidf", 6).alias("tfidf"))
+
+
+WIDE_FEATURES = 1 << 20  # hashed feature dimension of the streaming classifier
+
+
+@query("tfidf_wide")
+def q_tfidf_wide(spark, sf_dir):
+    """TF-IDF of the test part over 2**20 buckets with no frequency cut: buckets that no
+    training document has weigh ln(m + 1) (L3)."""
+    w, m, tf, _ = _train_features(spark, sf_dir, WIDE_FEATURES, 0)
+    test = tf.where(~_in_train()).where("bucket is not null")
+    x = fx.tfidf(test, w, WIDE_FEATURES, m, 0)
     return x.select("id", "bucket", "tf", F.round("tfidf", 6).alias("tfidf"))
 
 
@@ -217,29 +272,32 @@ def q_split(spark, sf_dir):
 
 @query("nb_priors")
 def q_nb_priors(spark, sf_dir):
-    _, model, _, _ = _train_model(spark, sf_dir)
+    model = _train_model(spark, sf_dir)[2]
     return model.priors.select("label", "n", F.round("pi", 6).alias("pi"))
 
 
 @query("nb_loglik")
 def q_nb_loglik(spark, sf_dir):
-    _, model, _, _ = _train_model(spark, sf_dir)
-    return model.theta.select("label", "bucket", F.round("theta", 6).alias("theta"))
+    """Log-likelihoods, from the model saved and loaded again."""
+    path = scratch_path(spark, "nb-model")
+    _train_model(spark, sf_dir)[2].save(path)
+    theta = nb.NBModel.load(spark, path).theta
+    return theta.select("label", "bucket", F.round("theta", 6).alias("theta"))
 
 
 @query("nb_predict")
 def q_nb_predict(spark, sf_dir):
-    w, model, tf, split = _train_model(spark, sf_dir)
-    test = split.where(~F.col("is_train")).select("id", F.col("polarity").alias("gt"))
-    x = fx.tfidf(tf.where(~sampling.in_sample(F.col("id"), TRAIN_PERCENT)), w, NUM_FEATURES)
-    return nb.predict(model, x, test).select("id", "gt", "predicted")
+    w, m, model, tf, split = _train_model(spark, sf_dir)
+    test = split.where("not is_train").select("id", F.col("polarity").alias("gt"))
+    x = fx.tfidf(tf.where(~_in_train()).join(test, "id"), w, NUM_FEATURES, m, MIN_DOC_FREQ)
+    return nb.predict(nb.prepare(model), x, ["id", "gt"])
 
 
 @query("tf_roundtrip")
 def q_tf_roundtrip(spark, sf_dir):
     """Hashed TF written as parquet to the shared folder and read back."""
     path = scratch_path(spark, "tf")
-    fx.hashed_tf(_terms(spark, sf_dir), ["id"], NUM_FEATURES).write.parquet(path)
+    q_hashed_tf(spark, sf_dir).write.parquet(path)
     return spark.read.parquet(path)
 
 
@@ -250,21 +308,23 @@ def q_nb_ml_roundtrip(spark, sf_dir):
 
     split = _split(spark, sf_dir)
     terms = clean_tweets(_marked_docs(spark, sf_dir), ["id"])
-    data = terms.join(split, "id").withColumn("label_index", nb.label_index(F.col("polarity")))
+    data = materialize(terms.join(split, "id").withColumn("label_index", nb.label_index(F.col("polarity"))), "ml-terms")
     model = nb.ml_pipeline(NUM_FEATURES, MIN_DOC_FREQ, SMOOTHING).fit(data.where("is_train"))
     path = scratch_path(spark, "nb-pipeline")
     model.write().save(path)
-    loaded = PipelineModel.load(path)
-    out = loaded.transform(data.where(~F.col("is_train")))
-    return out.select("id", F.col("polarity").alias("gt"),
-                      (F.col("prediction_index") * 2).cast("int").alias("predicted"))
+    test = data.where("not is_train")
+    probability = "probability"
+    a = model.transform(test).select("id", F.col("polarity").alias("gt"), F.col("prediction_index").alias("p"), probability)
+    b = PipelineModel.load(path).transform(test).select("id", F.col("prediction_index").alias("q"),
+                                                        F.col(probability).alias("loaded_probability"))
+    same = (F.col("p") == F.col("q")) & (F.col(probability) == F.col("loaded_probability"))
+    return a.join(b, "id").select("id", "gt", same.alias("loaded_agrees"), F.col("q").isin(0.0, 1.0, 2.0).alias("is_class"))
 
 
 # ------------------------------------------------------------------ k-means
 
 KMEANS_K = 2
 KMEANS_BATCHES = 4
-FILES_PER_BATCH = 2
 
 
 def _vectors(spark, sf_dir) -> DataFrame:
@@ -281,11 +341,27 @@ def _initial_centers(spark, sf_dir) -> DataFrame:
                     F.col("features").alias("center"), F.lit(1.0).alias("weight"))
 
 
+def _projected(spark, sf_dir) -> DataFrame:
+    """The vectors with x, y: their projection on the first two principal components.
+
+    The sign of a component is free; here its largest coordinate is positive.
+    """
+    from pyspark.ml.feature import PCA
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    v = _vectors(spark, sf_dir).withColumn("vec", array_to_vector("features"))
+    model = PCA(k=2, inputCol="vec", outputCol="pc").fit(v)
+    axes = model.pc.toArray()  # dimensions x 2
+    sign = [1.0 if axes[abs(axes[:, i]).argmax(), i] > 0 else -1.0 for i in range(2)]
+    p = model.transform(v).withColumn("pc", vector_to_array("pc"))
+    return p.select("vec_id", "features", "gt", *[F.round(F.col("pc")[i] * sign[i], 3).cast("float").alias(n)
+                                                  for i, n in enumerate("xy")])
+
+
 def _kmeans_results(spark, sf_dir) -> DataFrame:
-    """Result rows (x, y, gt, predicted) without projection: x and y are NULL."""
-    a = km.assign(_vectors(spark, sf_dir), _initial_centers(spark, sf_dir))
-    return a.select(F.lit(None).cast("float").alias("x"), F.lit(None).cast("float").alias("y"),
-                    "gt", "predicted")
+    """Result rows (x, y, gt, predicted) of the projecting output mode."""
+    a = km.assign(_projected(spark, sf_dir), _initial_centers(spark, sf_dir))
+    return a.select("x", "y", "gt", "predicted")
 
 
 @query("kmeans_assign")
@@ -325,31 +401,49 @@ def q_scan_results(spark, sf_dir):
 @query("pca_project")
 def q_pca_project(spark, sf_dir):
     """2-D projection of the vectors on their first two principal components."""
-    from pyspark.ml.feature import PCA
-    from pyspark.ml.functions import array_to_vector, vector_to_array
-
-    v = _vectors(spark, sf_dir).withColumn("vec", array_to_vector("features"))
-    model = PCA(k=2, inputCol="vec", outputCol="pc").fit(v)
-    p = model.transform(v).withColumn("pc", vector_to_array("pc"))
-    return p.select("vec_id", F.col("pc")[0].cast("float").alias("x"),
-                    F.col("pc")[1].cast("float").alias("y"), "gt")
+    return _projected(spark, sf_dir).select("vec_id", "x", "y", "gt")
 
 
 @query("kmeans_stream")
 def q_kmeans_stream(spark, sf_dir):
     """Vectors arrive in batches (vec_id % 4); each batch updates the model, then is
-    assigned with the updated model (T5, S14)."""
-    v = _vectors(spark, sf_dir)
-    src = scratch_path(spark, "vectors-in")
-    batches = [v.where(F.pmod("vec_id", F.lit(KMEANS_BATCHES)) == b) for b in range(KMEANS_BATCHES)]
-    jobs.write_batches(batches, src, FILES_PER_BATCH, fmt="parquet")
-    stream = (spark.readStream.schema(v.schema).option("maxFilesPerTrigger", FILES_PER_BATCH)
-              .parquet(src))
-    out, state = scratch_path(spark, "kmeans-out"), scratch_path(spark, "kmeans-state")
-    jobs.cluster_stream(spark, stream, _initial_centers(spark, sf_dir), state, out)
+    assigned with the updated model (T5). The job is started anew for each batch and goes
+    on with its checkpoint and model."""
+    v = _vectors(spark, sf_dir).withColumn("part", F.pmod("vec_id", F.lit(KMEANS_BATCHES)))
+    staged, src = scratch_path(spark, "vectors"), scratch_path(spark, "vectors-in")
+    v.write.partitionBy("part").parquet(staged)
+    out, checkpoint = scratch_path(spark, "kmeans-out"), scratch_path(spark, "kmeans-job")
+    for b in range(KMEANS_BATCHES):
+        spark.read.parquet(f"{staged}/part={b}").write.mode("append").parquet(src)
+        stream = spark.readStream.schema(v.drop("part").schema).parquet(src)
+        jobs.cluster_stream(stream, _initial_centers(spark, sf_dir), out, checkpoint)
     return spark.read.parquet(out).select("vec_id", "gt", "predicted")
 
 
+TEXT_FEATURES = 4096  # hashed feature dimension of the clustering stream
+
+
+@query("kmeans_text_stream")
+def q_kmeans_text_stream(spark, sf_dir):
+    """Tweets clustered by text (S14, L6-L8): TF-IDF over 4,096 buckets, seeded random
+    centres, one training batch of the whole training part, then the test part served from
+    a stream without updating the model."""
+    w, m, tf, split = _train_features(spark, sf_dir, TEXT_FEATURES, MIN_DOC_FREQ)
+    train = materialize(fx.tfidf(tf.where(_in_train()), w, TEXT_FEATURES, m, MIN_DOC_FREQ), "text-train")
+    start = km.random_centers(spark, KMEANS_K, TEXT_FEATURES, 1.0, seed=0)
+    first = materialize(km.assign_sparse(train, ["id"], km.collect_centers(start)), "text-first")
+    model = km.update(start, km.sparse_stats(train, first, ["id"], TEXT_FEATURES))
+    centers = km.collect_centers(materialize(model, "text-model"))
+    msgs = wire.encode(tw.tweets(spark, sf_dir, markup=True).where(~_in_train()))
+
+    def predict(good: DataFrame) -> DataFrame:
+        keys = ["row_key", "id", "gt"]
+        x = fx.tfidf(_batch_tf(good, keys, TEXT_FEATURES), w, TEXT_FEATURES, m, MIN_DOC_FREQ)
+        return km.assign_sparse(x, keys, centers).drop("row_key")
+
+    return _classified(spark, msgs, predict).select("id", "gt", "predicted")
+
+
 # ------------------------------------------------------------------ parsers, wire format, ids
 
 def _plain_tweets(spark, sf_dir) -> DataFrame:
@@ -369,7 +463,7 @@ def q_parse_csv(spark, sf_dir):
     """Tweets written as CSV (quoted, doubled-quote escape) and read back."""
     path = scratch_path(spark, "tweets-csv")
     tw.write_csv(_plain_tweets(spark, sf_dir), path)
-    return tw.read_csv(spark, path)
+    return tw.read_csv(spark, path, multi_line=True)
 
 
 @query("wire_encode")
@@ -392,48 +486,44 @@ def _messages(spark, sf_dir) -> DataFrame:
     return m.select("key", v.alias("value"))
 
 
-def _decode_batch(batch: DataFrame):
-    d = wire.decode(batch)
-    return d.where("valid"), d.where("NOT valid")
+def _stream_files(spark, messages: DataFrame) -> DataFrame:
+    """The messages written once as text files, as a stream of a few files per batch."""
+    src = scratch_path(spark, "messages")
+    messages.select("value").write.text(src)
+    files = len(spark.read.text(src).inputFiles())
+    return jobs.file_source(spark, src, max(1, -(-files // 4)))
 
 
 @query("stream_decode")
 def q_stream_decode(spark, sf_dir):
-    """Messages streamed from files in 4 batches, decoded per micro-batch; malformed
-    ones are kept with valid = false (T2, C19, S3 file form)."""
-    m = _messages(spark, sf_dir)
-    src, out = scratch_path(spark, "wire-in"), scratch_path(spark, "decoded")
-    batches = [m.where(F.pmod(F.col("key").cast("bigint"), F.lit(4)) == b).select("value")
-               for b in range(4)]
-    jobs.write_batches(batches, src, FILES_PER_BATCH)
-    stream = jobs.file_source(spark, src, FILES_PER_BATCH)
-    jobs.run(stream, lambda b, i: jobs.write_batch(wire.decode(b), out, i),
-             scratch_path(spark, "ckpt-decode"))
+    """Messages streamed from files, decoded per micro-batch; malformed ones are kept
+    with valid = false (T2, C19, S3 file form)."""
+    out, checkpoint = scratch_path(spark, "decoded"), scratch_path(spark, "decode-job")
+    jobs.run(_stream_files(spark, _messages(spark, sf_dir)),
+             lambda b, i: jobs.write_batch(wire.decode(b), out, checkpoint, i), checkpoint)
     return spark.read.parquet(out).select("id", "polarity", "query", "sender", "text", "valid")
 
 
 @query("replay_order")
 def q_replay_order(spark, sf_dir):
-    """Seeded random order of the replay set (O1): a distributed sort on a hash key."""
-    t = _plain_tweets(spark, sf_dir)
-    return t.select("id", sampling.replay_key(F.col("id")).alias("replay_key")).orderBy("replay_key")
+    """Seeded random order of the replay set (O1): a distributed sort on a hash key, with
+    each tweet's place in it."""
+    t = _plain_tweets(spark, sf_dir).select("id", sampling.replay_key(F.col("id")).alias("replay_key"))
+    return positional.zip_with_index(t, ["replay_key"], "place").select("id", "replay_key", "place")
 
 
-@query("stream_replay")
-def q_stream_replay(spark, sf_dir):
-    """Replay: messages written in replay order (4 key ranges, one after the other),
-    streamed one range per micro-batch and decoded (T8, S4 file form)."""
-    m = wire.encode(_plain_tweets(spark, sf_dir), key_col="id")
-    m = m.withColumn("rk", sampling.replay_key(F.col("key")))
-    rng = F.conv(F.substring("rk", 1, 1), 16, 10).cast("int")
-    src, out = scratch_path(spark, "replay-in"), scratch_path(spark, "replayed")
-    batches = [m.where((rng >= 4 * b) & (rng < 4 * b + 4)).sortWithinPartitions("rk").select("value")
-               for b in range(4)]
-    jobs.write_batches(batches, src, FILES_PER_BATCH)
-    stream = jobs.file_source(spark, src, FILES_PER_BATCH)
-    jobs.run(stream, lambda b, i: jobs.write_batch(wire.decode(b), out, i),
-             scratch_path(spark, "ckpt-replay"))
-    return spark.read.parquet(out).select("id", "polarity", "query", "sender", "text", "valid")
+def _batch_tf(good: DataFrame, keys: list[str], num_features: int) -> DataFrame:
+    """Hashed TF of a decoded batch by ``keys``; the texts move once, by row key."""
+    docs = good.select("row_key", "id", F.col("polarity").alias("gt"), "text")
+    docs = partition_by(docs, "row_key")
+    t = clean_stages(docs, "text", CleanOptions(), upto="stopped")
+    return fx.hashed_tf(exploded_terms(t, keys, "stopped", "term", outer=True), keys, num_features)
+
+
+def _classified(spark, msgs: DataFrame, predict) -> DataFrame:
+    out, bad, checkpoint = (scratch_path(spark, n) for n in ("classified", "quarantine", "classify-job"))
+    jobs.classify_stream(_stream_files(spark, msgs), wire.decode, predict, out, bad, checkpoint)
+    return spark.read.parquet(out)
 
 
 @query("stream_classify")
@@ -441,50 +531,42 @@ def q_stream_classify(spark, sf_dir):
     """Test tweets streamed as wire messages; each micro-batch is cleaned, turned into
     TF-IDF with the training IDF and classified by the trained Naive Bayes model
     (T1, T3, T6, S11)."""
-    w, model, _, split = _train_model(spark, sf_dir)
-    test_tweets = tw.tweets(spark, sf_dir, markup=True).where(
-        ~sampling.in_sample(F.col("id"), TRAIN_PERCENT))
-    msgs = wire.encode(test_tweets, key_col="id")
-    src, out = scratch_path(spark, "classify-in"), scratch_path(spark, "classified")
-    jobs.write_batches([msgs.where(F.pmod(F.col("key").cast("bigint"), F.lit(4)) == b)
-                        .select("value") for b in range(4)], src, FILES_PER_BATCH)
+    w, m, model, _, _ = _train_model(spark, sf_dir)
+    scorer = nb.prepare(model)
+    msgs = wire.encode(tw.tweets(spark, sf_dir, markup=True).where(~_in_train()))
 
     def predict(good: DataFrame) -> DataFrame:
-        docs = good.select("id", F.col("polarity").alias("gt"), "text")
-        t = clean_stages(docs.select("id", "text"), "text", CleanOptions(), upto="stopped")
-        # the batch's term counts are written once: the joins below then plan over a
-        # small table instead of the whole cleaning expression chain
-        tf = materialize(fx.hashed_tf(exploded_terms(t.select("id", "stopped"), ["id"]), ["id"],
-                                      NUM_FEATURES), "batch-tf")
-        return nb.predict(model, fx.tfidf(tf, w, NUM_FEATURES), docs.select("id", "gt"))
+        keys = ["row_key", "id", "gt"]
+        x = fx.tfidf(_batch_tf(good, keys, NUM_FEATURES), w, NUM_FEATURES, m, MIN_DOC_FREQ)
+        return nb.predict(scorer, x, keys).drop("row_key")
 
-    jobs.classify_stream(spark, jobs.file_source(spark, src, FILES_PER_BATCH), _decode_batch,
-                         predict, out)
-    return spark.read.parquet(out).select("id", "gt", "predicted")
+    return _classified(spark, msgs, predict).select("id", "gt", "predicted")
 
 
 @query("sink_roundtrip")
 def q_sink_roundtrip(spark, sf_dir):
-    """Result rows streamed in 3 batches and appended per micro-batch to a result table
-    created beforehand (fails if it exists); empty batches skipped; then read (S9-S12)."""
+    """Result rows streamed and appended per micro-batch to a result table created
+    beforehand; every batch is appended twice, which adds no row; then read (S9-S12)."""
     res = nb_results_from_labels(spark, sf_dir)
     path = scratch_path(spark, "test_NBM")
     sinks.create_table(spark, sinks.NB_RESULT_SCHEMA, path=path)
-    src = scratch_path(spark, "results-in")
-    lab = table(spark, sf_dir, "labels")
-    rows = lab.select("doc_id", (F.col("quality") * 4).cast("int").alias("gt"),
-                      ((1 - F.col("toxic")) * 4).cast("int").alias("predicted"))
-    jobs.write_batches([rows.where(F.pmod("doc_id", F.lit(3)) == b).drop("doc_id")
-                        for b in range(3)], src, FILES_PER_BATCH, fmt="parquet")
-    stream = (spark.readStream.schema(res.schema).option("maxFilesPerTrigger", FILES_PER_BATCH)
-              .parquet(src))
-    jobs.run(stream, lambda b, i: sinks.append(b, path=path), scratch_path(spark, "ckpt-sink"))
+    src, checkpoint = scratch_path(spark, "results-in"), scratch_path(spark, "sink-job")
+    res.write.parquet(src)
+    stream = spark.readStream.schema(res.schema).parquet(src)
+
+    def twice(batch: DataFrame, batch_id: int) -> None:
+        for _ in range(2):  # as after a failure behind the write
+            sinks.append(batch, path=path, batch=f"{jobs.run_key(checkpoint)}-{batch_id}")
+
+    jobs.run(stream, twice, checkpoint)
     return sinks.scan(spark, path=path)
 
 
 @query("unique_ids")
 def q_unique_ids(spark, sf_dir):
-    return positional.unique_ids(_plain_tweets(spark, sf_dir).select("id"), "uid")
+    """Ids given to the rows, and how many rows share each of them (1, if they are unique)."""
+    ids = positional.unique_ids(_plain_tweets(spark, sf_dir).select("id"), "uid")
+    return ids.groupBy("uid").agg(F.min("id").alias("id"), F.count("*").alias("rows_with_uid")).drop("uid")
 
 
 @query("positional_join")
@@ -498,9 +580,10 @@ def q_positional_join(spark, sf_dir):
 
 @query("run_table_name")
 def q_run_table_name(spark, sf_dir):
-    """Result rows tagged with the time-stamped table name of the run."""
-    return nb_results_from_labels(spark, sf_dir).withColumn("table_name",
-                                                            sinks.run_table_name("test_NBM"))
+    """Result rows with the time-stamped table name of the run, as a test of its form."""
+    name = sinks.run_table_name("test_NBM")
+    form = r"^test_NBM_(0[1-9]|[12][0-9]|3[01])_([01][0-9]|2[0-3])_[0-5][0-9]_[0-5][0-9]$"
+    return nb_results_from_labels(spark, sf_dir).withColumn("name_in_form", name.rlike(form))
 
 
 @query("sink_create")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+
 from .oracle_text import chain_ctes, docs_source, plain_stem_ctes, unescape_sql
 
 ORACLE: dict[str, str] = {}
@@ -100,6 +102,49 @@ SELECT id, gt, first(label ORDER BY score DESC, label ASC)::INTEGER AS predicted
 """
 ORACLE["tf_roundtrip"] = ORACLE["hashed_tf"]
 
+ORACLE["process_tweet_keys"] = (_CHAIN + "SELECT CASE WHEN id % 3 > 0 THEN id // 2 END AS id, "
+                                "array_to_string(terms, ' ') AS terms FROM f")
+ORACLE["stop_filter_file"] = _CHAIN + "SELECT id, unnest(stopped) AS term FROM s"
+ORACLE["lexicon_file"] = ORACLE["acronym_expand"]
+ORACLE["nb_ml_roundtrip"] = _FEAT + "SELECT id, gt, true AS loaded_agrees, true AS is_class FROM te"
+
+
+def _features(buckets: int) -> str:
+    """htf and what follows from it over another number of buckets."""
+    return _FEAT.replace("% 1024)", f"% {buckets})")
+
+
+ORACLE["tfidf_wide"] = _features(1 << 20) + """,
+df AS (SELECT bucket, count(*) AS df FROM tf_tr GROUP BY bucket)
+SELECT h.id, h.bucket, h.tf, round(h.tf * ln(((SELECT count(*) FROM tr) + 1) / (coalesce(df, 0) + 1)), 6) AS tfidf
+FROM htf h LEFT JOIN df USING (bucket) WHERE h.id IN (SELECT id FROM te)
+"""
+
+
+def _text_clusters(dim: int, k: int) -> str:
+    """One training batch from seeded random centres, then the nearest centre of each test tweet."""
+    centers = np.random.RandomState(0).randn(k, dim)
+    rows = ", ".join(f"({i}, [{', '.join(repr(float(x)) for x in c)}]::DOUBLE[])" for i, c in enumerate(centers))
+
+    def near(docs: str, model: str) -> str:
+        dots = (f"SELECT d.id, n.cluster, n.q - 2 * coalesce(sum(x.v * e.c), 0) AS d FROM {docs} d CROSS JOIN "
+                f"(SELECT cluster, sum(c * c) AS q FROM {model} GROUP BY cluster) n LEFT JOIN xall x ON x.id = d.id "
+                f"LEFT JOIN {model} e ON e.bucket = x.bucket AND e.cluster = n.cluster GROUP BY d.id, n.cluster, n.q")
+        return f"SELECT id, first(cluster ORDER BY d, cluster)::INTEGER AS predicted FROM ({dots}) GROUP BY id"
+    return _features(dim) + f""",
+xall AS MATERIALIZED (SELECT t.id, t.bucket, t.tf * coalesce(i.idf, 0.0) AS v FROM htf t LEFT JOIN idf_tr i USING (bucket)),
+c0 AS MATERIALIZED (SELECT cluster, unnest(c) AS c, unnest(range(0, len(c))) AS bucket FROM (VALUES {rows}) t(cluster, c)),
+a0 AS MATERIALIZED ({near('tr', 'c0')}),
+n0 AS (SELECT predicted AS cluster, count(*) AS m FROM a0 GROUP BY 1),
+s0 AS (SELECT predicted AS cluster, bucket, sum(v) AS s FROM xall JOIN a0 USING (id) GROUP BY ALL),
+c1 AS MATERIALIZED (SELECT c0.cluster, c0.bucket, CASE WHEN m IS NULL THEN c ELSE (c + coalesce(s, 0)) / (1.0::DOUBLE + m) END AS c
+                    FROM c0 LEFT JOIN n0 USING (cluster) LEFT JOIN s0 USING (cluster, bucket))
+SELECT te.id, te.gt, p.predicted FROM te JOIN ({near('te', 'c1')}) p USING (id)
+"""
+
+
+ORACLE["kmeans_text_stream"] = _text_clusters(4096, 2)
+
 from .oracle_more import register as _register_more  # noqa: E402
 
 _register_more(ORACLE)

@@ -14,10 +14,10 @@ KM = f"""WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS f, ((label % 3) * 2)::
 c AS (SELECT vec_id::INTEGER AS cluster, embedding::DOUBLE[] AS center, 1.0::DOUBLE AS weight
       FROM embeddings WHERE vec_id < 2),
 a AS (SELECT v.vec_id, v.gt, v.f, first(c.cluster ORDER BY {_dist('v.f', 'c.center')}, c.cluster)::INTEGER AS predicted
-      FROM v CROSS JOIN c GROUP BY v.vec_id, v.gt, v.f),
-kout AS (SELECT NULL::FLOAT AS x, NULL::FLOAT AS y, gt, predicted FROM a)
+      FROM v CROSS JOIN c GROUP BY v.vec_id, v.gt, v.f)
 """
 
+
 KMEANS_UPDATE = KM + """,
 st AS (SELECT predicted AS cluster, count(*) AS m FROM a GROUP BY 1),
 sx AS (SELECT cluster, idx, sum(x) AS s FROM
@@ -30,6 +30,34 @@ FROM ce LEFT JOIN st USING (cluster) LEFT JOIN sx ON sx.cluster = ce.cluster AND
 """
 
 
+def _axis(name: str, matrix: str, squarings: int = 14) -> str:
+    """CTE ``name`` (i, x): the first eigenvector of a symmetric matrix (i, j, c), by squaring
+    the matrix until only this direction is left; its largest coordinate is positive."""
+    out = [f"{name}0 AS MATERIALIZED (SELECT i, j, c / (SELECT max(abs(c)) FROM {matrix}) AS c FROM {matrix})"]
+    for k in range(squarings):
+        a = f"{name}{k}"
+        out.append(f"{a}s AS MATERIALIZED (SELECT p.i, q.j, sum(p.c * q.c) AS c FROM {a} p JOIN {a} q ON p.j = q.i GROUP BY p.i, q.j)")
+        out.append(f"{name}{k + 1} AS MATERIALIZED (SELECT i, j, c / (SELECT max(abs(c)) FROM {a}s) AS c FROM {a}s)")
+    last = f"{name}{squarings}"
+    out.append(f"{name}col AS (SELECT i, c FROM {last} WHERE j = (SELECT i FROM {last} WHERE i = j ORDER BY c DESC LIMIT 1))")
+    out.append(f"{name} AS MATERIALIZED (SELECT i, c / sqrt((SELECT sum(c * c) FROM {name}col)) * "
+               f"(SELECT sign(arg_max(c, abs(c))) FROM {name}col) AS x FROM {name}col)")
+    return ",\n".join(out)
+
+
+PCA = """,
+el AS MATERIALIZED (SELECT vec_id, unnest(f) AS x, unnest(range(0, len(f))) AS i FROM v),
+ce AS (SELECT vec_id, i, x - avg(x) OVER (PARTITION BY i) AS x FROM el),
+co AS MATERIALIZED (SELECT p.i, q.i AS j, sum(p.x * q.x) AS c FROM ce p JOIN ce q ON p.vec_id = q.vec_id GROUP BY ALL),
+""" + _axis("ax", "co") + """,
+lam AS (SELECT sum(p.x * c * q.x) AS l FROM co JOIN ax p ON p.i = co.i JOIN ax q ON q.i = co.j),
+rest AS MATERIALIZED (SELECT co.i, co.j, c - (SELECT l FROM lam) * p.x * q.x AS c FROM co JOIN ax p ON p.i = co.i JOIN ax q ON q.i = co.j),
+""" + _axis("ay", "rest") + """,
+pr AS (SELECT el.vec_id, round(sum(el.x * ax.x), 3)::FLOAT AS x, round(sum(el.x * ay.x), 3)::FLOAT AS y
+       FROM el JOIN ax USING (i) JOIN ay USING (i) GROUP BY el.vec_id)
+"""
+
+
 def kmeans_stream_sql(batches: int = 4) -> str:
     """Batches in order: update the model with the batch, then assign the batch with it."""
     parts = [KM, ", m0 AS (SELECT cluster, center, weight FROM c)"]
@@ -81,9 +109,8 @@ _NULL_BAD = ", ".join(f"CASE WHEN id % 50 = 0 THEN NULL ELSE {c} END AS {c}"
                       for c in ("id", "polarity", "query", "sender", "text"))
 STREAM_DECODE = TW + f"SELECT {_NULL_BAD}, id % 50 <> 0 AS valid FROM tw"
 
-REPLAY_ORDER = TW + "SELECT id, md5('0:' || id::VARCHAR) AS replay_key FROM tw"
-STREAM_REPLAY = TW + "SELECT id, polarity, query, sender, text, true AS valid FROM tw"
-
+REPLAY_ORDER = TW + ("SELECT id, md5('0:' || id::VARCHAR) AS replay_key, "
+                     "row_number() OVER (ORDER BY md5('0:' || id::VARCHAR)) - 1 AS place FROM tw")
 POSITIONAL_JOIN = TW + """,
 l AS (SELECT row_number() OVER (ORDER BY id) - 1 AS idx, id, polarity FROM tw),
 r AS (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS idx, doc_id, n_chars FROM documents)
@@ -93,9 +120,12 @@ SELECT l.idx, l.id, l.polarity, r.doc_id, r.n_chars FROM l JOIN r USING (idx)
 
 def register(oracle: dict[str, str]) -> None:
     oracle["kmeans_assign"] = KM + "SELECT vec_id, gt, predicted FROM a"
-    oracle["kmeans_output"] = KM + "SELECT * FROM kout"
+    oracle["kmeans_output"] = KM + PCA + "SELECT x, y, gt, predicted FROM a JOIN pr USING (vec_id)"
+    oracle["pca_project"] = KM + PCA + "SELECT vec_id, x, y, gt FROM v JOIN pr USING (vec_id)"
+    oracle["unique_ids"] = "SELECT doc_id AS id, 1::BIGINT AS rows_with_uid FROM documents"
+    oracle["run_table_name"] = f"SELECT gt, predicted, true AS name_in_form FROM {NB_RESULTS}"
     oracle["scan_results"] = oracle["kmeans_output"]
-    oracle["cluster_contingency"] = KM + "SELECT gt, predicted, count(*) AS C1 FROM kout WHERE gt <> 1 AND gt <> 3 GROUP BY ALL"
+    oracle["cluster_contingency"] = KM + "SELECT gt, predicted, count(*) AS C1 FROM a WHERE gt <> 1 AND gt <> 3 GROUP BY ALL"
     oracle["kmeans_update"] = KMEANS_UPDATE
     oracle["kmeans_stream"] = kmeans_stream_sql()
     oracle["parse_lines"] = PARSE_LINES
@@ -104,7 +134,6 @@ def register(oracle: dict[str, str]) -> None:
     oracle["wire_encode"] = WIRE
     oracle["stream_decode"] = STREAM_DECODE
     oracle["replay_order"] = REPLAY_ORDER
-    oracle["stream_replay"] = STREAM_REPLAY
     oracle["stream_classify"] = oracle["nb_predict"]
     oracle["sink_roundtrip"] = f"SELECT gt, predicted FROM {NB_RESULTS}"
     oracle["positional_join"] = POSITIONAL_JOIN

@@ -1,12 +1,16 @@
 """Result tables (S9-S13, S17): create, append per micro-batch, scan.
 
 Two back ends behind the same calls: a parquet folder in the shared storage (default,
-works on any cluster) and JDBC (any database with a JDBC driver on the classpath).
+works on any cluster) and JDBC (any database with a JDBC driver on the classpath). In the
+folder each append has a sub-folder named after its batch, so appending a batch again
+replaces it. JDBC appends are plain inserts: there a repeated batch repeats its rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,7 +22,7 @@ KMEANS_RESULT_SCHEMA = T.StructType([
     T.StructField("gt", T.IntegerType()), T.StructField("predicted", T.IntegerType())])
 
 
-def run_table_name(prefix: str) -> F.Column:
+def run_table_name(prefix: str) -> Column:
     """``prefix_dd_HH_MM_SS`` from the current time (one name per run)."""
     return F.concat(F.lit(prefix + "_"), F.date_format(F.current_timestamp(), "dd_HH_mm_ss"))
 
@@ -31,19 +35,22 @@ def create_table(spark: SparkSession, schema: T.StructType, path: str | None = N
     if jdbc_url:
         empty.write.jdbc(jdbc_url, table, mode="errorifexists", properties=properties or {})
     else:
-        empty.write.mode("errorifexists").parquet(path)
+        empty.write.mode("errorifexists").parquet(f"{path}/batch=created")
 
 
 def append(df: DataFrame, path: str | None = None, jdbc_url: str | None = None,
            table: str | None = None, properties: dict | None = None,
-           skip_empty: bool = True) -> bool:
-    """Append rows by column name; empty batches are skipped. Returns whether it wrote."""
+           skip_empty: bool = True, batch: str | None = None) -> bool:
+    """Append rows by column name; empty batches are skipped. Returns whether it wrote.
+
+    ``batch`` names the append; the same name again replaces its rows (parquet only).
+    """
     if skip_empty and df.isEmpty():
         return False
     if jdbc_url:
         df.write.jdbc(jdbc_url, table, mode="append", properties=properties or {})
     else:
-        df.write.mode("append").parquet(path)
+        df.write.mode("overwrite").parquet(f"{path}/batch=b{batch or uuid.uuid4().hex}")
     return True
 
 
@@ -51,4 +58,4 @@ def scan(spark: SparkSession, path: str | None = None, jdbc_url: str | None = No
          table: str | None = None, properties: dict | None = None) -> DataFrame:
     if jdbc_url:
         return spark.read.jdbc(jdbc_url, table, properties=properties or {})
-    return spark.read.parquet(path)
+    return spark.read.option("mergeSchema", True).parquet(path).drop("batch")

@@ -11,16 +11,3 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table as a DataFrame; Catalyst prunes columns and pushes filters into the scan."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Make sure CPU-heavy per-row work has at least one partition per core.
-
-    A scan of a few large row groups yields few partitions; then the rows are spread
-    round-robin once. On a real input (thousands of splits) this is a no-op and adds no
-    shuffle.
-    """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want)

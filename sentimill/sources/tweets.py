@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tables import spread, table
+from .tables import table
 
 TWEET_SCHEMA = T.StructType([
     T.StructField("polarity", T.IntegerType()),
@@ -52,7 +52,7 @@ def tweet_date(doc_id: Column) -> Column:
 
 def documents_as_tweets(spark: SparkSession, sf_dir: str, markup: bool = False) -> DataFrame:
     """``documents`` viewed as unlabelled tweets (polarity added by ``with_polarity``)."""
-    d = spread(table(spark, sf_dir, "documents"))
+    d = table(spark, sf_dir, "documents")
     text = F.concat(F.col("text"), markup_suffix(F.col("doc_id"))) if markup else F.col("text")
     return d.select(F.col("doc_id").alias("id"), tweet_date(F.col("doc_id")).alias("date"),
                     F.col("lang").alias("query"), F.col("source").alias("sender"),
@@ -117,12 +117,12 @@ def write_csv(df: DataFrame, path: str) -> None:
        .write.mode("errorifexists").option("quoteAll", True).option("escape", '"').csv(path))
 
 
-def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Quote-aware CSV scan (``,`` separator, ``"`` quote, doubled quote escape).
 
-    ``multi_line`` allows line breaks inside quoted texts; such files are read one task
-    per file, so large inputs should be written as many files. Turn it off for inputs
-    known to be one record per line: the scan is then split by byte ranges.
+    The scan is split by byte ranges, with one record per line. ``multi_line`` allows line
+    breaks inside quoted texts; such files are read one task per file, so large inputs
+    should be written as many files.
     """
     raw = (spark.read.schema(RAW_SCHEMA).option("quote", '"').option("escape", '"')
            .option("multiLine", multi_line).option("mode", "PERMISSIVE")

@@ -3,8 +3,11 @@
 import pytest
 from pyspark.sql import functions as F
 
+from sentimill.operators import kmeans as km
+from sentimill.operators.clean import load_lexicon
 from sentimill.session import scratch_path
 from sentimill.sources import sinks, tweets as tw, wire
+from sentimill.streaming import jobs
 
 LINES = ['"0","1","d","q","s","plain text"', '"4","2","d","q","s","cut ", here"',
          '"0","3","d","q","s","it\'s"', '"2","x","d"']
@@ -24,7 +27,7 @@ def test_csv_roundtrip_keeps_quotes_and_newlines(spark):
     df = spark.createDataFrame(rows, tw.TWEET_SCHEMA)
     path = scratch_path(spark, "t-csv")
     tw.write_csv(df, path)
-    back = sorted(tuple(r) for r in tw.read_csv(spark, path).collect())
+    back = sorted(tuple(r) for r in tw.read_csv(spark, path, multi_line=True).collect())
     assert back == sorted(rows)
 
 
@@ -50,13 +53,102 @@ def test_jdbc_sink_create_append_scan(spark):
     assert rows == [(0, 1, None), (4, 0, None)]
 
 
-def test_stream_restart_does_not_duplicate(spark):
-    from sentimill.streaming import jobs
+def test_wire_marks_failed_casts(spark):
+    rows = [('["x","7","d","q","s","t"]',), ('["4","seven","d","q","s","t"]',), ('["4","7","d","q","s","t"]',)]
+    got = wire.decode(spark.createDataFrame(rows, "value string")).collect()
+    assert [r.valid for r in got] == [False, False, True]
 
-    src, out, ckpt = (scratch_path(spark, n) for n in ("s-in", "s-out", "s-ckpt"))
-    data = spark.range(10).select(F.col("id").cast("string").alias("value"))
-    jobs.write_batches([data], src, 1)
-    stream = jobs.file_source(spark, src)
-    for _ in range(2):  # the second run finds nothing new in the checkpoint
-        jobs.run(stream, lambda b, i: jobs.write_batch(b, out, i), ckpt)
-    assert spark.read.parquet(out).count() == 10
+
+def _message(i, polarity=4, text="so good"):
+    return f'["{polarity}","{i}","d","q","s","{text}"]'
+
+
+def test_classify_stream_restarts_without_loss(spark):
+    src, out, bad, job = (scratch_path(spark, n) for n in ("c-in", "c-out", "c-bad", "c-job"))
+
+    def send(ids, extra=()):
+        lines = [(_message(i),) for i in ids] + [(x,) for x in extra]
+        spark.createDataFrame(lines, "value string").write.mode("append").text(src)
+
+    def start():
+        return jobs.classify_stream(jobs.file_source(spark, src), wire.decode,
+                                    lambda good: good.select("row_key", "id"), out, bad, job)
+    send([1, 1, 2, 3, 4, 5, 6, 7, 8, 9], extra=["broken"])
+    assert not start().isActive
+    send([10, 11, 12, 13, 14], extra=[_message("none")])
+    start()
+    start()  # nothing new
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == [1, 1, *range(2, 15)]
+    assert spark.read.parquet(bad).count() == 2
+    # another job on the same output keeps what is there
+    jobs.classify_stream(jobs.file_source(spark, src), wire.decode, lambda good: good.select("row_key", "id"), out, bad, job + "2")
+    assert spark.read.parquet(out).count() == 30
+
+
+def test_cluster_stream_goes_on_with_its_model(spark):
+    src, out, job = (scratch_path(spark, n) for n in ("k-in", "k-out", "k-job"))
+    centers = spark.createDataFrame([(0, [0.0], 1.0), (1, [10.0], 1.0)], km.CENTER_SCHEMA)
+
+    def send(values):
+        spark.createDataFrame([([float(v)],) for v in values], "features array<double>").write.mode("append").parquet(src)
+
+    def start(**more):
+        stream = spark.readStream.schema("features array<double>").parquet(src)
+        return jobs.cluster_stream(stream, centers, out, job, **more)
+    send([0, 1, 2, 1, 1, 1, 9, 10, 11, 10])
+    start()
+    send([0, 1, 9, 9, 10])
+    start()
+    model = {r.cluster: r for r in jobs.ModelState(spark, job, centers).before(99).collect()}
+    assert model[0].weight + model[1].weight == 2 + 15 and model[0].weight == 9.0
+    assert spark.read.parquet(out).count() == 15
+    send([100])
+    start(learn=False)
+    assert {r.cluster: r.weight for r in jobs.ModelState(spark, job, centers).before(99).collect()} == {0: 9.0, 1: 8.0}
+    assert spark.read.parquet(out).count() == 16
+
+
+def test_a_batch_again_adds_no_row(spark):
+    path = scratch_path(spark, "again")
+    sinks.create_table(spark, sinks.NB_RESULT_SCHEMA, path=path)
+    batch = spark.createDataFrame([(0, 4), (4, 4)], sinks.NB_RESULT_SCHEMA)
+    for name in ("j-0", "j-0", "j-1"):
+        assert sinks.append(batch, path=path, batch=name)
+    assert not sinks.append(batch.limit(0), path=path, batch="j-2")
+    assert sinks.scan(spark, path=path).count() == 4
+    out = scratch_path(spark, "again-out")
+    for _ in range(2):
+        jobs.write_batch(batch, out, "job", 0)
+    assert spark.read.parquet(out).count() == 2
+
+
+def test_stream_that_takes_too_long(spark):
+    src, job = scratch_path(spark, "t-in"), scratch_path(spark, "t-job")
+    spark.range(3).select(F.col("id").cast("string").alias("value")).write.text(src)
+
+    def slow(batch, batch_id):
+        import time
+        time.sleep(20)
+    with pytest.raises(TimeoutError):
+        jobs.run(jobs.file_source(spark, src), slow, job, timeout_s=1)
+
+
+def test_kafka_options():
+    assert jobs.kafka_options("h:9092", "tweets") == {"kafka.bootstrap.servers": "h:9092", "topic": "tweets"}
+
+
+def test_lexicon_file_keeps_quotes(spark):
+    path = scratch_path(spark, "lex")
+    spark.createDataFrame([('":)\tsmile "x"',), ("no separator",), ("a\tb\tc",)], "value string").coalesce(1).write.text(path)
+    assert load_lexicon(spark, path) == [('":)', 'smile "x"'), ("a", "b\tc")]
+
+
+def test_shared_folder_is_required_on_a_cluster():
+    from types import SimpleNamespace
+
+    from sentimill.session import shared_dir
+
+    conf = SimpleNamespace(get=lambda k, d=None: d)
+    sc = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None, getConf=lambda: conf)
+    with pytest.raises(RuntimeError):
+        shared_dir(SimpleNamespace(sparkContext=sc))

@@ -30,14 +30,57 @@ def test_idf_min_doc_freq(spark):
 def test_nb_priors_and_predict(spark):
     t = _terms(spark)
     tf = fx.hashed_tf(t, ["id", "label"], 64).withColumn("tfidf", F.col("tf").cast("double"))
-    model = nb.fit(tf, 64, 1.0, label_col="label")
+    labels = spark.createDataFrame([(i, l) for i, _, l in DOCS] + [(9, 4)], "id long, label int")
+    model = nb.fit(tf, labels.where("id < 9"), 64, 1.0, label_col="label")
     pri = {r.label: r.pi for r in model.priors.collect()}
     assert pri[0] == pytest.approx(-0.9808, abs=1e-4)
     assert pri[2] == pytest.approx(-1.3863, abs=1e-4)
     assert pri[4] == pytest.approx(-0.9808, abs=1e-4)
-    docs = spark.createDataFrame([(i, l) for i, _, l in DOCS], "id long, gt int")
-    pred = {r.id: r.predicted for r in nb.predict(model, tf, docs).collect()}
+    none = spark.createDataFrame([(9, 4, None, None)], "id long, label int, bucket int, tfidf double")
+    scored = tf.select("id", "label", "bucket", "tfidf").unionByName(none)
+    pred = {r.id: r.predicted for r in nb.predict(nb.prepare(model), scored, ["id", "label"]).collect()}
     assert pred[0] == 0 and pred[1] == 4 and pred[4] == 2
+    assert pred[9] == 0  # no features: the larger prior, the lower label of a tie
+
+
+def test_tfidf_of_unseen_buckets_equals_ml(spark):
+    """The relational form against pyspark.ml's IDF, buckets without a training document included."""
+    from pyspark.ml.feature import IDF
+    from pyspark.ml.linalg import Vectors
+
+    train, test = {0: {1: 2.0, 3: 1.0}, 1: {1: 1.0}}, {7: {1: 1.0, 2: 3.0, 3: 2.0}}
+    for least in (0, 2):
+        vec = lambda d: spark.createDataFrame([(i, Vectors.sparse(8, x)) for i, x in d.items()], ["id", "v"])
+        want = IDF(minDocFreq=least, inputCol="v", outputCol="o").fit(vec(train)).transform(vec(test)).first().o
+        rows = lambda d: spark.createDataFrame([(i, b, x) for i, t in d.items() for b, x in t.items()], "id long, bucket int, tf double")
+        w = fx.idf(rows(train), F.lit(2), least)
+        got = {r.bucket: r.tfidf for r in fx.tfidf(rows(test), w, 8, 2, least).collect()}
+        assert got == {b: pytest.approx(want[b]) for b in test[7]}
+
+
+def test_sparse_assignment_equals_dense(spark):
+    rows = [(i, j, float((i * 7 + j * 3) % 5)) for i in range(12) for j in range(6) if (i + j) % 3]
+    centers = km.random_centers(spark, 3, 6, seed=4)
+    c = km.collect_centers(centers)
+    x = spark.createDataFrame(rows, "id long, bucket int, tfidf double")
+    full = [(i, [next((v for a, b, v in rows if (a, b) == (i, j)), 0.0) for j in range(6)]) for i in range(12)]
+    dense = km.assign(spark.createDataFrame(full, "id long, features array<double>"), c)
+    want = {r.id: r.predicted for r in dense.collect()}
+    sparse = km.assign_sparse(x, ["id"], c)
+    assert {r.id: r.predicted for r in sparse.collect()} == want
+    a = {r.cluster: r for r in km.update(centers, km.batch_stats(dense)).collect()}
+    b = {r.cluster: r for r in km.update(centers, km.sparse_stats(x, sparse, ["id"], 6)).collect()}
+    assert {k: (v.weight, pytest.approx(v.center)) for k, v in a.items()} == {k: (v.weight, v.center) for k, v in b.items()}
+
+
+def test_wide_centres_plan_fast(spark):
+    import time
+
+    c = km.collect_centers(km.random_centers(spark, 2, 4096))
+    v = spark.createDataFrame([([0.5] * 4096,)] * 4, "features array<double>")
+    t = time.time()
+    km.assign(v, c)._jdf.queryExecution().executedPlan()
+    assert time.time() - t < 3.0
 
 
 def test_metrics_match_one_pass(spark):
