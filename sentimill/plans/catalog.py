@@ -354,7 +354,7 @@ def _projected(spark, sf_dir) -> DataFrame:
     axes = model.pc.toArray()  # dimensions x 2
     sign = [1.0 if axes[abs(axes[:, i]).argmax(), i] > 0 else -1.0 for i in range(2)]
     p = model.transform(v).withColumn("pc", vector_to_array("pc"))
-    return p.select("vec_id", "features", "gt", *[F.round(F.col("pc")[i] * sign[i], 3).cast("float").alias(n)
+    return p.select("vec_id", "features", "gt", *[(F.round(F.col("pc")[i] * sign[i], 3) + 0.0).cast("float").alias(n)
                                                   for i, n in enumerate("xy")])
 
 
@@ -436,12 +436,11 @@ def q_kmeans_text_stream(spark, sf_dir):
     centers = km.collect_centers(materialize(model, "text-model"))
     msgs = wire.encode(tw.tweets(spark, sf_dir, markup=True).where(~_in_train()))
 
-    def predict(good: DataFrame) -> DataFrame:
-        keys = ["row_key", "id", "gt"]
-        x = fx.tfidf(_batch_tf(good, keys, TEXT_FEATURES), w, TEXT_FEATURES, m, MIN_DOC_FREQ)
-        return km.assign_sparse(x, keys, centers).drop("row_key")
+    def predict(batch_tf: DataFrame) -> DataFrame:
+        x = fx.tfidf(batch_tf, w, TEXT_FEATURES, m, MIN_DOC_FREQ)
+        return km.assign_sparse(x, BATCH_KEYS, centers).drop("row_key")
 
-    return _classified(spark, msgs, predict).select("id", "gt", "predicted")
+    return _classified(spark, msgs, predict, TEXT_FEATURES).select("id", "gt", "predicted")
 
 
 # ------------------------------------------------------------------ parsers, wire format, ids
@@ -512,17 +511,21 @@ def q_replay_order(spark, sf_dir):
     return positional.zip_with_index(t, ["replay_key"], "place").select("id", "replay_key", "place")
 
 
-def _batch_tf(good: DataFrame, keys: list[str], num_features: int) -> DataFrame:
-    """Hashed TF of a decoded batch by ``keys``; the texts move once, by row key."""
+BATCH_KEYS = ["row_key", "id", "gt"]
+
+
+def _batch_tf(good: DataFrame, num_features: int) -> DataFrame:
+    """Hashed TF of a decoded batch by row; the texts move once, by row key."""
     docs = good.select("row_key", "id", F.col("polarity").alias("gt"), "text")
     docs = partition_by(docs, "row_key")
     t = clean_stages(docs, "text", CleanOptions(), upto="stopped")
-    return fx.hashed_tf(exploded_terms(t, keys, "stopped", "term", outer=True), keys, num_features)
+    return fx.hashed_tf(exploded_terms(t, BATCH_KEYS, "stopped", "term", outer=True), BATCH_KEYS, num_features)
 
 
-def _classified(spark, msgs: DataFrame, predict) -> DataFrame:
+def _classified(spark, msgs: DataFrame, predict, num_features: int) -> DataFrame:
     out, bad, checkpoint = (scratch_path(spark, n) for n in ("classified", "quarantine", "classify-job"))
-    jobs.classify_stream(_stream_files(spark, msgs), wire.decode, predict, out, bad, checkpoint)
+    jobs.classify_stream(_stream_files(spark, msgs), wire.decode, predict, out, bad, checkpoint,
+                         featurize=lambda good: _batch_tf(good, num_features))
     return spark.read.parquet(out)
 
 
@@ -535,12 +538,11 @@ def q_stream_classify(spark, sf_dir):
     scorer = nb.prepare(model)
     msgs = wire.encode(tw.tweets(spark, sf_dir, markup=True).where(~_in_train()))
 
-    def predict(good: DataFrame) -> DataFrame:
-        keys = ["row_key", "id", "gt"]
-        x = fx.tfidf(_batch_tf(good, keys, NUM_FEATURES), w, NUM_FEATURES, m, MIN_DOC_FREQ)
-        return nb.predict(scorer, x, keys).drop("row_key")
+    def predict(batch_tf: DataFrame) -> DataFrame:
+        x = fx.tfidf(batch_tf, w, NUM_FEATURES, m, MIN_DOC_FREQ)
+        return nb.predict(scorer, x, BATCH_KEYS).drop("row_key")
 
-    return _classified(spark, msgs, predict).select("id", "gt", "predicted")
+    return _classified(spark, msgs, predict, NUM_FEATURES).select("id", "gt", "predicted")
 
 
 @query("sink_roundtrip")

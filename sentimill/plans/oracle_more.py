@@ -53,7 +53,7 @@ co AS MATERIALIZED (SELECT p.i, q.i AS j, sum(p.x * q.x) AS c FROM ce p JOIN ce
 lam AS (SELECT sum(p.x * c * q.x) AS l FROM co JOIN ax p ON p.i = co.i JOIN ax q ON q.i = co.j),
 rest AS MATERIALIZED (SELECT co.i, co.j, c - (SELECT l FROM lam) * p.x * q.x AS c FROM co JOIN ax p ON p.i = co.i JOIN ax q ON q.i = co.j),
 """ + _axis("ay", "rest") + """,
-pr AS (SELECT el.vec_id, round(sum(el.x * ax.x), 3)::FLOAT AS x, round(sum(el.x * ay.x), 3)::FLOAT AS y
+pr AS (SELECT el.vec_id, (round(sum(el.x * ax.x), 3) + 0.0)::FLOAT AS x, (round(sum(el.x * ay.x), 3) + 0.0)::FLOAT AS y
        FROM el JOIN ax USING (i) JOIN ay USING (i) GROUP BY el.vec_id)
 """
 
