@@ -79,9 +79,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", wei
     d = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row"))
     j = d.join(side, F.col(f"_row.`{source_col}`").eqNullSafe(F.col("_source")))
     ident = F.col(f"_row.`{id_col}`")
-    count = F.aggregate(
-        F.sequence(F.lit(1), F.col("_parts")), F.lit(0),
-        lambda total, k: total + F.size(F.filter("_cdf", lambda c: c <= unit(F.lit(seed), ident, k))))
+    draws = F.transform(F.sequence(F.lit(1), F.col("_parts")), lambda k: unit(F.lit(seed), ident, k))
+    count = F.aggregate(draws, F.lit(0), lambda total, u: total + F.size(F.filter("_cdf", lambda c: c <= u)))
     j = j.withColumn("_n", count).where("_n > 0")
     j = j.select("_row", F.col("rate").alias("mix_rate"),
                  F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("mix_copy"))
