@@ -83,8 +83,10 @@ def dedup_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "id", F.col("id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"),
         F.lit(True).alias("kept"), "sha")
     maybe = flagged.where("_maybe").select("id", "sha", "row")
-    first = maybe.groupBy("sha").agg(
-        F.min(F.struct(F.isnull("id").alias("no_id"), "id", "row")).alias("first"), F.count("*").alias("group_size"))
+    # written, so that both sides of the join have exchanges of their own, which the
+    # adaptive skew join can split for a hot group
+    first = materialize(maybe.groupBy("sha").agg(
+        F.min(F.struct(F.isnull("id").alias("no_id"), "id", "row")).alias("first"), F.count("*").alias("group_size")), "groups")
     grouped = maybe.join(first, "sha").select(
         "id", F.col("first.id").alias("keep_id"), "group_size",
         (F.col("row") == F.col("first.row")).alias("kept"), "sha")
