@@ -93,7 +93,8 @@ def shard(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text_col: str
         (F.octet_length(text) + 1).cast("bigint").alias("size"), F.crc32(text).alias("crc"),
         F.xxhash64(text).alias("text_key"))
     base = materialize(base, "shard-rows")
-    first = base.groupBy("text_key").agg(F.min(F.struct("id", "source", "lang")).alias("first"))
+    # written, so that the adaptive skew join can split a hot group of equal texts
+    first = materialize(base.groupBy("text_key").agg(F.min(F.struct("id", "source", "lang")).alias("first")), "shard-groups")
     rows = base.drop("source", "lang").join(first, "text_key")
     n_cells = 1 << BITS
 
