@@ -238,7 +238,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
               .join(texts.select("key", "rep"), "key"))
     least = linked.groupBy("component").agg(F.min("rep").alias("class_id"))
     classes = linked.join(least, "component").select("key", "class_id").join(counts, "key")
-    per_text = texts.select("key", "rep", "copies").join(classes, "key", "left")
+    # written, so that the adaptive skew join can split the rows of a hot group of copies
+    per_text = materialize(texts.select("key", "rep", "copies").join(classes, "key", "left"), "per-text")
     out = keyed.select("id", "key").join(per_text, "key", "left")
     return out.select(
         F.col("id").alias(id_col), F.coalesce("rep", "id").alias("copy_id"),
