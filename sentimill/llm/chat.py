@@ -57,23 +57,24 @@ def branch_paths(nodes: DataFrame, branches: int | None = 1) -> DataFrame:
     reach = materialize(n, "reach")
     parents = reach.where("anc is not null").select("tree", F.col("anc").alias("node")).distinct()
     leaves = reach.join(parents, ["tree", "node"], "left_anti").select("tree", "node")
-    levels, seen = [], -1
+    total = reach.count()
+    levels, ended = [], reach.where("anc is null")
+    open_ = reach.where("anc is not null")
     while True:
-        open_ = reach.where("anc is not null").agg(F.count("*"), F.max("hops")).first()
-        # a pointer that is still open after as many hops as there are messages goes round in a cycle
-        if not open_[0]:
+        left = open_.agg(F.count("*"), F.max("hops")).first()
+        # a pointer that is open after as many hops as there are messages goes round in a cycle
+        if not left[0] or left[1] > total:
             break
-        if seen < 0:
-            seen = reach.count()
-        if open_[1] > seen:
-            break
-        levels.append(reach.where("anc is not null").select("tree", "node", "anc"))
-        far = reach.select(F.col("tree").alias("t"), F.col("node").alias("at"), F.col("anc").alias("next"),
-                           F.col("score").alias("more"), F.col("hops").alias("further"))
-        reach = materialize(reach.join(far, (reach["tree"] == F.col("t")) & (reach["anc"] == F.col("at")), "left").select(
+        levels.append(open_.select("tree", "node", "anc"))
+        far = ended.unionByName(open_).select(
+            F.col("tree").alias("t"), F.col("node").alias("at"), F.col("anc").alias("next"),
+            F.col("score").alias("more"), F.col("hops").alias("further"))
+        # only pointers that have not passed the root go on
+        step = materialize(open_.join(far, (open_["tree"] == F.col("t")) & (open_["anc"] == F.col("at")), "left").select(
             "tree", "node", F.col("next").alias("anc"), (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score"),
             (F.col("hops") + F.coalesce("further", F.lit(0))).alias("hops")), "reach")
-    done = reach.where("anc is null").drop("anc")
+        ended, open_ = ended.unionByName(step.where("anc is null")), step.where("anc is not null")
+    done = ended.drop("anc")
     ends = leaves.join(done, ["tree", "node"])
     if branches == 1:
         best = ends.groupBy("tree").agg(F.min(F.struct(-F.col("score"), -F.col("hops"), F.col("node"))).alias("b"))
@@ -84,7 +85,9 @@ def branch_paths(nodes: DataFrame, branches: int | None = 1) -> DataFrame:
         chosen = (ranked if branches is None else ranked.where(F.col("rank") <= branches)).select(
             "tree", F.col("node").alias("leaf"), "rank")
     path = chosen.withColumn("node", F.col("leaf"))
-    for level in levels:  # distances to ancestors have one sum of powers of two each
+    # each distance to an ancestor is one sum of powers of two; the longest jumps come first, so
+    # that a level adds about as many rows as all levels before it
+    for level in reversed(levels):
         up = level.select(F.col("tree").alias("t"), F.col("node").alias("at"), "anc")
         path = path.join(up, (F.col("tree") == F.col("t")) & (F.col("node") == F.col("at")), "left").select(
             "tree", "leaf", "rank", F.explode(F.filter(F.array("node", "anc"), lambda x: x.isNotNull())).alias("node"))
