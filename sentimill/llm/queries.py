@@ -68,20 +68,19 @@ WITH n AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
 t AS (SELECT sum(sqrt(n::DOUBLE)) AS w, sum(n) AS n FROM n),
 r AS (SELECT source, sqrt(n.n::DOUBLE) * (t.n / t.w) / n.n AS rate FROM n, t),
 p AS (SELECT source, rate, greatest(ceil(rate / 32.0), 1)::INT AS parts FROM r),
-draws AS (SELECT d.doc_id, d.source, p.rate, p.rate / p.parts AS lam,
+draws AS (SELECT d.*, p.rate, p.rate / p.parts AS lam,
             ('0x' || substr(md5('17:' || d.doc_id || ':' || k.k), 1, 13))::BIGINT / 4503599627370496.0 AS u
           FROM documents d JOIN p ON d.source IS NOT DISTINCT FROM p.source, LATERAL (SELECT unnest(range(1, p.parts + 1)) AS k) k),
 pmf AS (SELECT lam, list_transform(range(0, 161), lambda k: exp(k * ln(lam) - lam - lgamma(k + 1.0))) AS f
         FROM (SELECT DISTINCT lam FROM draws)),
 cum AS (SELECT lam, list_transform(range(1, 162), lambda j: list_sum(f[1:j])) AS c FROM pmf),
-counts AS (SELECT doc_id, source, rate, sum(len(list_filter(c, lambda x: x <= u))) AS n
+counts AS (SELECT doc_id, text, lang, source, n_chars, rate, sum(len(list_filter(c, lambda x: x <= u))) AS n
            FROM draws JOIN cum USING (lam) GROUP BY ALL)
-SELECT doc_id, source, rate AS mix_rate, k.k::INT AS mix_copy, md5('17-order:' || doc_id || ':' || k.k) AS mix_key
+SELECT doc_id, text, lang, source, n_chars, rate AS mix_rate, k.k::INT AS mix_copy, md5('17-order:' || doc_id || ':' || k.k) AS mix_key
 FROM counts, LATERAL (SELECT unnest(range(0, n::BIGINT)) AS k) k
 """)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
-    return mixing.mix(docs)
+    return mixing.mix(table(spark, sf_dir, "documents"))
 
 
 @query("op8_hilbert_sharding")

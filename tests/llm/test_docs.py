@@ -14,7 +14,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from sentimill.llm import dedup, fingerprint, jaccard, langid, license, mixing, packing, pii, sharding
+from sentimill.llm import dedup, fingerprint, jaccard, langid, license, mixing, packing, pii, queries, sharding
 from sentimill.llm import words as W
 
 from .conftest import LONG, ROWS
@@ -344,6 +344,14 @@ def test_poisson_mixing(spark, docs, messy, empty):
     assert mixing.mix(empty).count() == 0
 
 
+def test_mixing_query_keeps_whole_documents(spark, docs):
+    got = queries.QUERIES["op7_poisson_mixing"](spark, DOCS.rsplit("/", 1)[0])
+    assert got.columns == docs.columns + ["mix_rate", "mix_copy", "mix_key"]
+    rows = {r.doc_id: tuple(r) for r in docs.collect()}
+    got = got.collect()
+    assert got and all(tuple(r)[:len(docs.columns)] == rows[r.doc_id] for r in got)
+
+
 # ------------------------------------------------------------------ op8
 
 def test_hilbert_curve_is_continuous(spark):
