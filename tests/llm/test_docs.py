@@ -153,6 +153,34 @@ def test_language_messy(messy, empty):
     assert kept.columns == messy.columns and {r.doc_id for r in kept.collect()}.isdisjoint({3, 4, 5, 8})
 
 
+@pytest.mark.parametrize("known", [("en", "de"), ("de", "en", "es", "fr")])
+def test_gibberish_and_unlearnt_languages_are_rejected(spark, known):
+    docs = spark.read.parquet(DOCS.replace("sf0.001", "sf0.01"))
+    own = docs.where(F.col("lang").isin(*known))
+    model = langid.fit(own.where(~langid.held_out(F.col("doc_id"))))
+    rng = np.random.RandomState(1)
+    gibberish = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz    "), 400)) for _ in range(40)]
+    polish = ["Wszyscy ludzie rodzą się wolni i równi pod względem swojej godności i swych praw. Są oni obdarzeni rozumem",
+              "i sumieniem i powinni postępować wobec innych w duchu braterstwa. Każdy człowiek posiada wszystkie prawa",
+              "Nikogo nie wolno czynić niewolnikiem ani nakładać na nikogo służebności; nie wolno stosować tortur"]
+    strange = spark.createDataFrame(list(enumerate(gibberish + polish)), "doc_id long, text string").withColumn("lang", F.lit("en"))
+    got = [r.rejected for r in langid.identify(strange, model=model).orderBy("doc_id").collect()]
+    assert sum(got[:40]) >= 38 and sum(got[40:]) >= 2
+    if len(known) == 2:
+        other = langid.identify(docs.where("lang in ('fr', 'es') and length(text) > 300"), model=model).collect()
+        assert sum(r.rejected for r in other) >= 0.8 * len(other)
+    clean = langid.identify(own, model=model).where("held_out").collect()
+    assert sum(r.rejected for r in clean) <= 0.03 * len(clean)
+
+
+def test_thresholds_rise_with_the_subwords():
+    score, count = np.tile(np.linspace(0.5, 1, 10_001), 2), np.repeat([20, 300], 10_001)
+    score[10_001:] += 0.3 * (1 - score[10_001:])
+    got = langid.thresholds(score, count)
+    assert got[:4].tolist() == [0] * 4 and np.allclose(got[4:8], 0.5005) and np.allclose(got[8:], 0.65035)
+    assert np.allclose(langid.thresholds(score, count[::-1])[4:], (0.5005 + 0.65035) / 2, rtol=1e-3)
+
+
 # ------------------------------------------------------------------ op4
 
 def test_fingerprints_by_brute_force(spark, docs, texts):
