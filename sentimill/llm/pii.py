@@ -2,7 +2,8 @@
 
 1. High-recall generators propose spans, which may overlap: every match of the four base
    patterns, and looser ones for phone numbers without a plus sign, national numbers,
-   bank accounts and secrets (access tokens, keys).
+   bank accounts and secrets (access tokens, keys, and the value of an assignment by
+   itself).
 2. Boosted trees (numpy, logistic loss, binned features) score each candidate by its
    format (lengths, character classes, groups, checksums, entropy) and its context (the
    words and marks before it, the characters around it).
@@ -142,6 +143,9 @@ def added_candidates(text: str) -> list[tuple[str, int, int]]:
         for m in _SECRET.finditer(text):
             if _HAS_DIGIT.search(text, m.start(), m.end()):
                 out.append(("secret", m.start(), m.end()))
+                value = m.start() + m.group().rstrip("=").rfind("=") + 1
+                if m.start() < value <= m.end() - 16 and _HAS_DIGIT.search(text, value, m.end()):
+                    out.append(("secret", value, m.end()))
     return out
 
 
@@ -167,7 +171,7 @@ def features(kind: str, text: str, start: int, end: int) -> list[float]:
             float(s[:1] in "+("), float(kind == "iban" and valid("iban", s)),
             float(bool(_ASSIGNED.search(before))), *[float(bool(p.search(before))) for p in _SPEAKS.values()],
             float(before[-1:].isalnum()), float(after[:1].isalnum()),
-            float("=" in before[-4:] or ":" in before[-4:] or '"' in before[-2:])]
+            float("=" in before[-4:] or ":" in before[-4:] or '"' in before[-2:]), s.rstrip("=").count("=")]
 
 
 @dataclass
@@ -246,7 +250,11 @@ class Model:
 
 
 def synthetic(n: int = SYNTHETIC, seed: int = 11) -> list[tuple[str, str, int, int, int]]:
-    """(kind, text, start, end, label): candidates from seeded rules, with hard negatives."""
+    """(kind, text, start, end, label): candidates from seeded rules, with hard negatives.
+
+    The generators run over each text: a candidate is positive where the rules put an item of
+    its kind, and negative where it overlaps one otherwise or stands for a hard negative.
+    """
     rng = np.random.RandomState(seed)
     pick = lambda *x: x[rng.randint(len(x))]
     number = lambda k: "".join(map(str, rng.randint(0, 10, k)))
@@ -298,19 +306,26 @@ def synthetic(n: int = SYNTHETIC, seed: int = 11) -> list[tuple[str, str, int, i
         else:
             if label:
                 s = pick(hexa(40), hexa(32), hexa(64), mixed(rng.randint(20, 44)))
-                lead += pick(' token = "', " api_key=", " secret: ", ' password = "', " auth token ", ' key="')
+                lead += pick(' token = "', " api_key=", " secret: ", ' password = "', " auth token ", ' key="',
+                             " SECRET_KEY=", f" {word().upper()}_TOKEN=", f" https://{word()}.example.com/{word()}?access_token=",
+                             " export API_TOKEN=", f" {word()}_password=")
             else:
                 s = pick(f"{word()}{word()}{word()}_{word()}{number(1)}", "-" * 14 + number(2), hexa(40), "a" * 10 + number(8),
                          f"{word()}/{word()}/{word()}{number(1)}", f"{word()}-{word()}-{word()}-{number(4)}", number(20), hexa(32))
-                lead += pick("", " commit ", " sha256 ", " md5 ", " build ", " see ")
+                lead += pick("", " commit ", " sha256 ", " md5 ", " build ", " see ", " commit=", " sha256=", f" {word()}=")
         lead = lead + ("" if lead[-1:] in "\" =" else " ")
-        out.append((kind, lead + s + pick(" ", ". ", '" ', ", ") + word(), len(lead), len(lead) + len(s), label))
+        text, item = lead + s + pick(" ", ". ", '" ', ", ") + word(), (kind, len(lead), len(lead) + len(s))
+        for k, a, b in dict.fromkeys([c[:3] for c in base_spans(text)] + added_candidates(text)):
+            if a < item[2] and item[1] < b:
+                out.append((k, text, a, b, int(label and (k, a, b) == item)))
     return out
 
 
 def weak_label(kind: str, text: str, start: int, end: int) -> int | None:
     """Label of a corpus candidate where a checksum or an assignment gives one, else None."""
     s = text[start:end]
+    if kind == "secret" and "=" in s.rstrip("="):  # the name of the key is not secret
+        return 0 if _ASSIGNED.search(s[:s.rstrip("=").rfind("=") + 1]) else None
     if kind in ("ip", "card", "iban"):
         return int(valid(kind, s))
     if kind == "email":

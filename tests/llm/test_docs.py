@@ -117,6 +117,17 @@ def test_model_separates_hard_negatives_and_redacts():
     assert pii.redact(t, pii.find([t], model)[0]) == 'password = "[secret]" and [ip]'
 
 
+@pytest.fixture(scope="module")
+def pii_model():
+    return pii.train([(pii.features(k, t, a, b), y) for k, t, a, b, y in pii.synthetic()])
+
+
+@pytest.mark.parametrize("lead", ["api_key=", "see https://x.example.com/a?access_token=", "export SECRET_KEY=", "A=1\nDB_PASSWORD="])
+def test_value_of_an_assignment(pii_model, lead):
+    t = lead + "0a1b2c3d4e5f60718293a4b5c6d7e8f901234567"
+    assert pii.redact(t, pii.find([t], pii_model)[0]) == lead + "[secret]"
+
+
 # ------------------------------------------------------------------ op2
 
 def test_language_of_held_out_texts(docs):
