@@ -13,7 +13,7 @@
    reaches its threshold and overlaps neither a base span nor a better added one.
 
 Training uses ``SYNTHETIC`` candidates drawn from seeded rules, plus the candidates of at
-most about ``SAMPLE_DOCS`` documents, chosen by a hash of the id and labelled by checksums
+most about ``SAMPLE_DOCS`` documents, chosen by a hash of id and text and labelled by checksums
 and assignments. Texts are scanned whole; every pattern is linear in the text.
 """
 
@@ -376,8 +376,11 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_
     """Train on the synthetic candidates and those of about ``sample_docs`` documents."""
     n = docs.count()
     share = min(1.0, sample_docs / max(n, 1))
-    drawn = F.pmod(F.xxhash64(F.col(f"`{id_col}`"), F.lit(3)), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)))
-    got = docs.where(drawn).select(F.col(f"`{text_col}`").alias("text")).mapInArrow(
+    rows = docs.select(F.col(f"`{text_col}`").alias("text"),
+                       F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), F.lit(3)).alias("h"))
+    drawn = F.pmod(F.col("h"), F.lit(1 << 40)) < F.lit(int(share * (1 << 40)))
+    # equal ids with equal texts would come all or none
+    got = rows.where(drawn).dropDuplicates(["h"]).select("text").mapInArrow(
         _examples, "x array<double>, label int").toArrow()
     corpus = sorted(zip(got.column(0).to_pylist(), got.column(1).to_pylist()))
     return train([(features(k, t, a, b), y) for k, t, a, b, y in synthetic()] + corpus)

@@ -184,6 +184,21 @@ def test_gibberish_and_unlearnt_languages_are_rejected(spark, known):
     assert sum(r.rejected for r in clean) <= 0.03 * len(clean)
 
 
+def test_sample_is_bounded_for_null_and_repeated_ids(spark, monkeypatch):
+    n = spark.range(6_000)
+    docs = n.select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.lit("en").alias("lang"),
+                    F.concat_ws(" ", F.lit("mail a.b@example.com text"), F.when(F.col("id") % 2 > 0, F.col("id"))).alias("text"))
+    seen = []
+    monkeypatch.setattr(langid, "train", lambda rows: seen.append(len(rows)) or langid.Model(
+        ["en"], np.zeros((langid.BINS + 1, 1), np.float32), np.zeros(1), 1.0, np.zeros(langid.LEVELS), np.zeros((0, 2))))
+    for ids in (docs, docs.withColumn("doc_id", F.lit(None).cast("long"))):
+        langid.fit(ids, per_language=100)
+    assert seen[0] == 100 and 60 <= seen[1] <= 100
+    monkeypatch.setattr(pii, "train", lambda examples: seen.append(len(examples)))
+    pii.fit(docs.withColumn("doc_id", F.lit(None).cast("long")), sample_docs=300)
+    assert seen[2] - len(pii.synthetic()) <= 400
+
+
 def test_thresholds_rise_with_the_subwords():
     score, count = np.tile(np.linspace(0.5, 1, 10_001), 2), np.repeat([20, 300], 10_001)
     score[10_001:] += 0.3 * (1 - score[10_001:])
