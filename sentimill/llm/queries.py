@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, scratch_path
 from ..sources.tables import table
-from . import chat, dedup, fingerprint, jaccard, langid, license, mixing, packing, pii, sharding
+from . import chat, dedup, fingerprint, jaccard, langid, license, mixing, packing, pii, sharding, tokenbin
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -140,3 +140,12 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_license_templates")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license.scan_licenses(table(spark, sf_dir, "documents")).drop("matches")
+
+
+@query("op13_simple8b_token_files")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = scratch_path(spark, "token-files")
+    tokenbin.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return tokenbin.read_sums(spark, path)
