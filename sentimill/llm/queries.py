@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..session import materialize, scratch_path
 from ..sources.tables import table
-from . import chat, dedup, fingerprint, jaccard, langid, license, mixing, packing, pii, sharding, tokenbin
+from . import (chat, collocation, dedup, fingerprint, jaccard, langid, license, mixing, packing, pii, sharding, strata,
+               tokenbin)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -55,9 +56,6 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
-_WORDS = "coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)"
-
-
 @query("op6_optimal_length_buckets")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
@@ -142,6 +140,53 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license.scan_licenses(table(spark, sf_dir, "documents")).drop("matches")
 
 
+_ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query("op11_rabin_karp_collocations", f"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_ASCII_LOWER}, '[.,;:!?\\x0A-\\x0D]')) AS p
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(p, '[^\\x20\\x09]+') AS w FROM pieces),
+g AS ({' UNION ALL '.join(f"SELECT lang, {k} AS k, unnest(list_transform(range(1, len(w) - {k - 2}), lambda i: array_to_string(w[i:i + {k - 1}], ' '))) AS phrase FROM w WHERE len(w) >= {k}" for k in (1, 2, 3))}),
+f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS MATERIALIZED (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 10),
+parts AS MATERIALIZED (SELECT lang, phrase, k, a, 1 AS cut, w[1] AS head, array_to_string(w[2:], ' ') AS rest FROM c
+  UNION ALL SELECT lang, phrase, k, a, 2, array_to_string(w[1:2], ' '), w[3] FROM c WHERE k = 3),
+cuts AS (SELECT p.lang, p.phrase, p.k, p.a, p.cut, x.f AS l, y.f AS r, (1000000::HUGEINT * p.a * p.a) // (x.f::HUGEINT * y.f) AS score
+         FROM parts p JOIN f x ON x.lang = p.lang AND x.phrase = p.head JOIN f y ON y.lang = p.lang AND y.phrase = p.rest),
+low AS (SELECT lang, phrase, k, a, first(l ORDER BY score, cut) AS l, first(r ORDER BY score, cut) AS r, min(score) AS score
+        FROM cuts GROUP BY ALL),
+big AS (SELECT lang, phrase, max(a) AS a FROM (
+          SELECT lang, array_to_string(w[1:2], ' ') AS phrase, a FROM c WHERE k = 3
+          UNION ALL SELECT lang, array_to_string(w[2:3], ' '), a FROM c WHERE k = 3) GROUP BY lang, phrase),
+kept AS (SELECT low.* FROM low LEFT JOIN big USING (lang, phrase) WHERE low.k = 3 OR big.a IS NULL OR 100 * big.a < 50 * low.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocation.collocations(table(spark, sf_dir, "documents")).drop("first_doc")
+
+
+_TERMS = f"regexp_extract_all({_ASCII_LOWER}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+
+@query("op12_length_stratified_search", f"""
+WITH d AS (SELECT doc_id, {_TERMS} AS t FROM documents),
+s AS (SELECT count(*) AS n_docs, sum(len(t))::BIGINT AS n_terms FROM d WHERE len(t) > 0),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(t) AS term FROM d) GROUP BY ALL),
+m AS (SELECT doc_id, 100 - 25 + (25 * len(t) * n_docs) // n_terms AS m FROM d, s WHERE len(t) > 0),
+w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tf, s GROUP BY term, n_docs),
+q AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+x AS (SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+      FROM q JOIN w USING (term) JOIN tf USING (term) JOIN m USING (doc_id) GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank FROM x WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 20
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return strata.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op13_simple8b_token_files")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
