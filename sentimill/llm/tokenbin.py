@@ -37,8 +37,8 @@ from . import simple8b
 from .words import buffers, ranges
 
 END_ID = 0
-RUN = 1 << 20        # bytes of text in a segment (a longer text is a segment of its own)
-KNOWN = 600_000      # distinct pieces whose ids a worker remembers
+RUN = 4 << 20        # bytes of text in a segment (a longer text is a segment of its own)
+KNOWN = 600_000      # distinct pieces whose ids a worker remembers, and as many older ones
 ROW_GROUP = 16 << 20
 
 _LETTER = np.zeros(256, bool)
@@ -66,11 +66,14 @@ class Encoder:
         self.cuts = (pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
                      and not kind.get("normalizer") and kind["model"].get("type") == "BPE")
         self.added = [t["content"].encode() for t in kind.get("added_tokens") or []]
+        self.known = {}
         self._forget()
 
     def _forget(self) -> None:
+        """The pieces known so far become the older ones; what was older is forgotten."""
+        self.older = (self.known, self.begin, self.flat) if self.known else ({}, array("q", [0]), array("I"))
         self.known: dict[str, int] = {}
-        self.begin = [0]            # of the ids of each known piece in flat; and the end
+        self.begin = array("q", [0])  # of the ids of each known piece in flat; and the end
         self.flat = array("I")
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
@@ -81,11 +84,18 @@ class Encoder:
         if whole or len(self.known) + len(pieces) > KNOWN:
             self._forget()
         known, begin, flat = self.known, self.begin, self.flat
-        new = [p for p in pieces if p not in known]
-        words, rest = [], new
-        if not whole:
-            words, rest = [p for p in new if _WORD.fullmatch(p)], [p for p in new if not _WORD.fullmatch(p)]
+        old, old_begin, old_flat = self.older
+        words, rest = [], []
+        for p in [p for p in pieces if p not in known]:
+            i = -1 if whole else old.get(p, -1)
+            if i >= 0:
+                known[p] = len(begin) - 1
+                flat.extend(old_flat[old_begin[i]:old_begin[i + 1]])
+                begin.append(len(flat))
+            else:
+                (words if not whole and _WORD.fullmatch(p) else rest).append(p)
         tokenize = self.tokenizer.model.tokenize if words else None
+        # a word is one unit of the model, which writes the space before it as a letter
         found = ([t.id for t in tokenize(w.replace(" ", "\u0120") if w.isascii() else
                                          w.encode().decode("latin-1").translate(_AS_CHARACTER))] for w in words)
         for piece, ids in chain(zip(words, found), zip(rest, self._encode(rest))):
@@ -114,11 +124,16 @@ class Encoder:
         pieces = pa.LargeStringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(held))
         distinct = pieces.dictionary_encode()
         place = self._places(distinct.dictionary.to_pylist(), whole)[distinct.indices.to_numpy()]
-        begin, flat = np.array(self.begin), np.frombuffer(self.flat, np.uint32)
+        begin, flat = np.array(self.begin, np.int32), np.array(self.flat)
         first, size = begin[place], begin[place + 1] - begin[place]
-        ends = np.concatenate([[0], np.cumsum(size)])
-        out = flat[np.repeat(first - ends[:-1], size) + np.arange(ends[-1])]
-        return out, ends[np.searchsorted(bounds, own[1:])]
+        ends = np.zeros(len(size) + 1, np.int64)
+        np.cumsum(size, out=ends[1:])
+        # the ids of a piece lie together: from one id to the next it is one step, or a jump to the next piece
+        step = np.ones(ends[-1], np.int32)
+        some = size > 0
+        first, size = first[some], size[some]
+        step[ends[:-1][some]] = first - np.concatenate([[1], first + size])[:-1] + 1
+        return flat[np.cumsum(step, dtype=np.int32)], ends[np.searchsorted(bounds, own[1:])]
 
 
 def with_end(ids: np.ndarray, ends: np.ndarray, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:

@@ -65,6 +65,15 @@ def test_pieces_have_the_ids_of_the_whole_text(texts):
     assert ids_of(texts, encoder) == [e.ids for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_forgotten_pieces_are_tokenised_again(monkeypatch):
+    monkeypatch.setattr(tokenbin, "KNOWN", 8)
+    with open(MODEL, encoding="utf-8") as f:
+        encoder = tokenbin.Encoder(f.read())
+    for i in range(30):
+        texts = [f"some words {'abcdefghij'[i % 10]}x come back {i % 3} times", "ñandú come back"]
+        assert ids_of(texts, encoder) == [e.ids for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
 _made = []
 
 
@@ -79,7 +88,7 @@ def test_other_tokenizers_get_whole_texts():
     path = public_tokenizers.path("word_bpe_49k.json")
     with open(path, encoding="utf-8") as f:
         encoder = tokenbin.Encoder(f.read())
-    texts = ["Hello  World", "", "one two  three."]
+    texts = ["Hello  World", "", "one two  three.", "  "]
     assert ids_of(texts, encoder) == [e.ids for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
