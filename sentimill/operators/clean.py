@@ -1,21 +1,27 @@
 """The tweet cleaning chain over a DataFrame.
 
-Every stage is a native column expression evaluated row by row in the executors: the
-chain adds no shuffle, no Python worker and nothing collected to the driver, so it scales
+Every stage up to the stop words is a native column expression evaluated row by row in the
+executors: no shuffle, no Python worker and nothing collected to the driver, so it scales
 with the number of input partitions. Intermediate stages are exposed as columns so that
-each one can be inspected or reused on its own.
+each one can be inspected or reused on its own. Stems come from a dictionary, a table in
+which each distinct word is stemmed once.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions.lexicons import ACRONYMS, DEFAULT_STOP_WORDS, EMOTICONS
+from ..session import materialize, scratch_path
+
+BROADCAST_WORDS = 500_000  # rows of a table of words that are broadcast (some 40 MB)
 
 
 @dataclass(frozen=True)
@@ -84,18 +90,70 @@ def clean_stages(df: DataFrame, text_col: str = "text", opts: CleanOptions = Cle
     return t
 
 
+class StemDictionary:
+    """Stems of all words met so far: a table (word, stem) in the shared folder.
+
+    ``add`` stems the distinct words that the table does not have yet and appends them, so a
+    word is stemmed once, however often it occurs, and over all batches that share the
+    dictionary. Being read from files, the stem is a plain column for the optimizer: a filter
+    or join on stemmed terms is planned like any other and never reaches into the stemmer.
+    With ``path`` the table outlives the job. One job at a time may add words.
+    """
+
+    def __init__(self, spark: SparkSession, path: str | None = None):
+        self.spark, self.path = spark, path or scratch_path(spark, "stems")
+        self.parts = 0 if path is None else len(self._known_parts())
+
+    def _known_parts(self) -> list:
+        try:
+            return self.spark.read.parquet(self.path).select("part").distinct().collect()
+        except AnalysisException as e:
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            return []
+
+    def table(self) -> DataFrame:
+        t = self.spark.read.parquet(self.path).select("word", "stem")
+        # a word may stand in two parts if a job ended between writing and reading
+        return t if self.parts < 2 else t.dropDuplicates(["word"])
+
+    def add(self, words: DataFrame, word_col: str) -> DataFrame:
+        """The table, with all words of the column in it. ``words`` is read once."""
+        new = words.select(F.col(word_col).alias("word")).where("word is not null").distinct()
+        if self.parts:
+            new = new.join(self.table().select("word"), "word", "left_anti")
+        # written before it is stemmed: nothing but the scan lies below the stemmer
+        new = materialize(new, "new-words")
+        if self.parts == 0 or not new.isEmpty():
+            tx.with_stem(new, "word", "stem").write.parquet(f"{self.path}/part={uuid.uuid4().hex}")
+            self.parts += 1
+        return self.table()
+
+
+def join_stems(tokens: DataFrame, tok_col: str, out_col: str, dictionary: StemDictionary) -> DataFrame:
+    """``tokens`` plus ``out_col``, the stem of ``tok_col``; ``tokens`` is read twice.
+
+    The dictionary is broadcast up to ``BROADCAST_WORDS`` counted rows; a larger one is
+    joined as adaptive execution sees fit, which splits frequent words.
+    """
+    stems = dictionary.add(tokens, tok_col).select(F.col("word").alias("_word"), F.col("stem").alias(out_col))
+    side = F.broadcast(stems) if stems.count() <= BROADCAST_WORDS else stems
+    return tokens.join(side, F.col(tok_col) == F.col("_word"), "left").drop("_word")
+
+
 def stem_token_lists(df: DataFrame, keys: Sequence[str], tokens_col: str = "stopped",
-                     out_col: str = "terms", drop_empty: bool = False) -> DataFrame:
+                     out_col: str = "terms", drop_empty: bool = False,
+                     dictionary: StemDictionary | None = None) -> DataFrame:
     """Stem every token of ``tokens_col``; one output row per row of ``df``.
 
-    The token lists are exploded with their positions, stemmed by the code-generated
-    step columns and gathered back in order by ``_row``, the number that ``with_row_key``
-    gave to each row, so rows with equal or missing ``keys`` stay apart. The rows are
-    partitioned by it already, and the gather adds no shuffle. Rows whose list is empty
-    keep an empty list.
+    The token lists are written once. Their distinct words are stemmed into the dictionary;
+    the tokens, exploded with their positions, are joined with it and gathered back in order
+    by ``_row``, the number that ``with_row_key`` gave to each row, so rows with equal or
+    missing ``keys`` stay apart. Rows whose list is empty keep an empty list.
     """
-    ex = df.select("_row", *keys, tx.explode_tokens(F.col(tokens_col), "_pos", "_tok", outer=True))
-    ex = tx.with_stem(ex, "_tok", "_stem")
+    lists = materialize(df.select("_row", *keys, F.col(tokens_col).alias("_tokens")), "tokens")
+    ex = lists.select("_row", *keys, tx.explode_tokens(F.col("_tokens"), "_pos", "_tok", outer=True))
+    ex = join_stems(ex, "_tok", "_stem", dictionary or StemDictionary(df.sparkSession))
     item = F.when(F.col("_pos").isNotNull(), F.struct("_pos", "_stem"))
     g = ex.groupBy("_row", *keys).agg(F.sort_array(F.collect_list(item)).alias("_s"))
     terms = F.transform("_s", lambda s: s["_stem"])
@@ -121,21 +179,28 @@ def with_row_key(df: DataFrame) -> DataFrame:
 
 
 def exploded_terms(df: DataFrame, keys: Sequence[str], tokens_col: str = "stopped",
-                   term_col: str = "term", stem: bool = True, outer: bool = False) -> DataFrame:
+                   term_col: str = "term", stem: bool = True, outer: bool = False,
+                   dictionary: StemDictionary | None = None) -> DataFrame:
     """One row per (keys, position, stemmed term): the input of term counting.
 
-    With ``outer`` a row without tokens gives one row with a null term.
+    With ``outer`` a row without tokens gives one row with a null term. To stem, the token
+    lists are written once and joined with the dictionary, so the terms may be filtered,
+    joined and grouped like any column.
     """
-    ex = df.select(*keys, tx.explode_tokens(F.col(tokens_col), "pos", "_tok", outer=outer))
-    if stem:
-        return tx.with_stem(ex, "_tok", term_col).drop("_tok")
-    return ex.withColumnRenamed("_tok", term_col)
+    def exploded(lists: DataFrame) -> DataFrame:
+        return lists.select(*keys, tx.explode_tokens(F.col(tokens_col), "pos", "_tok", outer=outer))
+
+    if not stem:
+        return exploded(df).withColumnRenamed("_tok", term_col)
+    ex = exploded(materialize(df.select(*keys, tokens_col), "tokens"))
+    return join_stems(ex, "_tok", term_col, dictionary or StemDictionary(df.sparkSession)).drop("_tok")
 
 
 def clean_tweets(df: DataFrame, keys: Sequence[str], text_col: str = "text",
-                 out_col: str = "terms", opts: CleanOptions = CleanOptions()) -> DataFrame:
+                 out_col: str = "terms", opts: CleanOptions = CleanOptions(),
+                 dictionary: StemDictionary | None = None) -> DataFrame:
     """``keys`` plus ``out_col``: the cleaned, de-duplicated, stop-filtered, stemmed terms."""
     t = clean_stages(with_row_key(df.select(*keys, text_col)), text_col, opts, upto="stopped")
     if not opts.stem:
         return t.select(*keys, F.col("stopped").alias(out_col))
-    return stem_token_lists(t, keys, "stopped", out_col, opts.drop_empty)
+    return stem_token_lists(t, keys, "stopped", out_col, opts.drop_empty, dictionary)

@@ -1,15 +1,13 @@
 """DuckDB SQL for the cleaning chain (used only as the correctness oracle).
 
 Written with DuckDB's own list lambdas and RE2 regexes, independently of the Spark
-column code, except for the stemmer, whose expression both sides generate from one rule
-table (``sentimill.functions.porter``); the stemmer is checked against published word
-pairs in the unit tests instead.
+column code; the stemmer too is written apart from the engine's, from the published rules.
 """
 
 from __future__ import annotations
 
 from ..functions.lexicons import ACRONYMS, DEFAULT_STOP_WORDS, EMOTICONS, html_entities
-from ..functions.porter import IRREGULAR_FORMS, stem_sql
+from ..functions.porter import IRREGULAR_FORMS
 from ..functions.sqlgen import DUCKDB as D
 from ..functions.sqlgen import ascii_lower, ascii_upper
 from ..sources.tweets import MARKUP_SUFFIXES
@@ -65,10 +63,9 @@ def squeeze_sql(s: str) -> str:
 
 
 def chain_ctes(source: str, text_col: str = "text", id_col: str = "id",
-               stop_words=None, stem: bool = True) -> str:
-    """CTEs u, e, p, k, q, d, s, f over ``source`` (must expose ``id_col``, ``text_col``)."""
+               stop_words=None) -> str:
+    """CTEs u, e, p, k, q, d, s over ``source`` (must expose ``id_col``, ``text_col``)."""
     stop = _list(stop_words if stop_words is not None else DEFAULT_STOP_WORDS)
-    stem_expr = stem_sql(D, "tok", "p")
     return f"""
 u AS (SELECT *, {unescape_sql(text_col)} AS unescaped FROM {source}),
 e AS (SELECT *, {replace_first_sql("string_split(unescaped, ' ')", EMOTICONS)} AS emoticons FROM u),
@@ -78,8 +75,17 @@ k AS (SELECT *, trim(regexp_replace(regexp_replace({ascii_lower(D, 'preprocessed
       '[ \\t]+', ' ', 'g'), ' ') AS tokenized FROM p),
 q AS (SELECT *, {squeeze_sql('tokenized')} AS squeezed FROM k),
 d AS (SELECT *, list_filter(string_split(squeezed, ' '), lambda x, i: list_position(string_split(squeezed, ' '), x) = i) AS deduped FROM q),
-s AS (SELECT *, list_filter(deduped, lambda x: NOT list_contains({stop}, x)) AS stopped FROM d),
-f AS (SELECT *, {"list_transform(stopped, lambda tok: " + stem_expr + ")" if stem else "stopped"} AS terms FROM s)
+s AS MATERIALIZED (SELECT *, list_filter(deduped, lambda x: NOT list_contains({stop}, x)) AS stopped FROM d)
+"""
+
+
+def stemmed_ctes(id_col: str = "id") -> str:
+    """CTEs tok, t0..t9, f behind those of ``chain_ctes``: f is s with its list of stemmed terms."""
+    return f""",
+tok AS MATERIALIZED (SELECT {id_col}, unnest(stopped) AS term, unnest(range(0, len(stopped))) AS pos FROM s),
+{plain_stem_ctes('tok', 'term')},
+f AS MATERIALIZED (SELECT s.*, coalesce(x.terms, []) AS terms FROM s LEFT JOIN (
+  SELECT {id_col}, list(stem ORDER BY pos) AS terms FROM tok JOIN t9 ON t9.word = tok.term GROUP BY {id_col}) x USING ({id_col}))
 """
 
 

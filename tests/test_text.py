@@ -105,3 +105,26 @@ def test_porter_sql_dialects_agree(spark):
     con = duckdb.connect()
     rows = con.execute(f"SELECT w, {stem_sql(DUCKDB, 'w')} FROM unnest(?) t(w)", [list(PORTER)]).fetchall()
     assert {w: s for w, s in rows if s != PORTER[w]} == {}
+
+
+def test_a_filter_on_stemmed_terms_is_planned(spark):
+    import time
+
+    from sentimill.operators.clean import StemDictionary, clean_stages, exploded_terms
+
+    df = spark.createDataFrame([(1, "running runs :) ran"), (2, "")], "id long, text string")
+    t = clean_stages(df, "text", CleanOptions(stop_words=[]))
+    start = time.time()
+    terms = exploded_terms(t, ["id"])
+    begun = time.time()
+    kept = terms.where("term <> '' and term like 'run%'")
+    kept._jdf.queryExecution().executedPlan()
+    assert time.time() - begun < 5 and start
+    assert sorted(r.term for r in kept.collect()) == ["run", "run"]
+    # words that a dictionary has are not stemmed again, and it outlives the job that began it
+    first = StemDictionary(spark)
+    first.add(df.selectExpr("explode(split('running cats running', ' ')) AS w"), "w")
+    again = StemDictionary(spark, first.path)
+    got = again.add(df.selectExpr("explode(split('cats ponies', ' ')) AS w"), "w")
+    assert sorted(tuple(r) for r in got.collect()) == [("cats", "cat"), ("ponies", "poni"), ("running", "run")]
+    assert spark.read.parquet(first.path).count() == 3
