@@ -15,9 +15,9 @@ from ..functions import text as tx
 from ..operators import features as fx
 from ..operators import naive_bayes as nb
 from ..operators import kmeans as km
-from ..operators import positional, sampling
-from ..operators.clean import (CleanOptions, clean_stages, clean_tweets, drop_stop_terms, exploded_terms, load_lexicon, partition_by,
-                               stop_word_table, with_row_key)
+from ..operators import pca, positional, sampling
+from ..operators.clean import (CleanOptions, StemDictionary, clean_stages, clean_tweets, drop_stop_terms, exploded_terms,
+                               load_lexicon, partition_by, stop_word_table, with_row_key)
 from ..functions.lexicons import ACRONYMS, DEFAULT_STOP_WORDS, EMOTICONS
 from ..sources import sinks, wire
 from ..sources import tweets as tw
@@ -120,14 +120,14 @@ def q_stop_filter(spark, sf_dir):
 
 @query("stem_vocab")
 def q_stem_vocab(spark, sf_dir):
-    """Stem of every distinct term of the corpus (after stop-word removal).
+    """Stem of every distinct term of the corpus (after stop-word removal): its dictionary.
 
     ``distinct`` pre-aggregates in every task before the shuffle, so a term occurring in
     a third of all rows still moves once per task.
     """
-    t = clean_stages(_marked_docs(spark, sf_dir), "text", CleanOptions(), upto="stopped")
-    vocab = t.select(tx.explode_tokens(F.col("stopped"), "pos", "term")).select("term").distinct()
-    return tx.with_stem(vocab, "term", "stem")
+    t = clean_stages(partition_by(_marked_docs(spark, sf_dir), "id"), "text", CleanOptions(), upto="stopped")
+    words = t.select(tx.explode_tokens(F.col("stopped"), "pos", "term"))
+    return StemDictionary(spark).add(words, "term").withColumnRenamed("word", "term")
 
 
 @query("process_tweet")
@@ -181,10 +181,8 @@ TRAIN_PERCENT = 70
 def _terms(spark, sf_dir, outer: bool = False) -> DataFrame:
     """(id, pos, term): stemmed terms of every document, one row per kept token.
 
-    Documents are partitioned by id before they are cleaned, and the aggregates by id
-    (and bucket) that follow use this partitioning. With ``outer`` a document without
-    tokens has a row with a null term. Do not filter on the term before it is written: the
-    optimizer would push the filter below the stemmer and unfold all its steps.
+    Documents are partitioned by id before they are cleaned. With ``outer`` a document
+    without tokens has a row with a null term.
     """
     docs = partition_by(_marked_docs(spark, sf_dir), "id")
     t = clean_stages(docs, "text", CleanOptions(), upto="stopped")
@@ -359,9 +357,12 @@ def _projected(spark, sf_dir) -> DataFrame:
 
 
 def _kmeans_results(spark, sf_dir) -> DataFrame:
-    """Result rows (x, y, gt, predicted) of the projecting output mode."""
-    a = km.assign(_projected(spark, sf_dir), _initial_centers(spark, sf_dir))
-    return a.select("x", "y", "gt", "predicted")
+    """Result rows (x, y, gt, predicted) of the projecting output mode: the cluster is that of
+    the written point, with the first k points as centres."""
+    p = materialize(_projected(spark, sf_dir).withColumn("point", F.array("x", "y").cast("array<double>")), "projected")
+    centers = p.where(F.col("vec_id") < KMEANS_K).select(
+        F.col("vec_id").cast("int").alias("cluster"), F.col("point").alias("center"), F.lit(1.0).alias("weight"))
+    return km.assign(p, centers, "point").select("x", "y", "gt", "predicted")
 
 
 @query("kmeans_assign")
@@ -443,6 +444,30 @@ def q_kmeans_text_stream(spark, sf_dir):
     return _classified(spark, msgs, predict, TEXT_FEATURES).select("id", "gt", "predicted")
 
 
+@query("kmeans_text_pca")
+def q_kmeans_text_pca(spark, sf_dir):
+    """Tweets clustered by text in two dimensions (L9, P17, P18, A12): principal components of
+    the training part's sparse TF-IDF, seeded random centres of dimension 2, one training
+    batch of the projected training part; then the test part from a stream, projected,
+    assigned and written as (x, y, gt, predicted) batch by batch."""
+    w, m, tf, _ = _train_features(spark, sf_dir, TEXT_FEATURES, MIN_DOC_FREQ)
+    train = materialize(fx.tfidf(tf.where(_in_train()), w, TEXT_FEATURES, m, MIN_DOC_FREQ), "text-train")
+    axes = pca.fit(train, m, TEXT_FEATURES)
+    points = materialize(pca.project(train, axes, ["id"]), "text-points")
+    start = km.random_centers(spark, KMEANS_K, 2, 1.0, seed=0)
+    model = km.update(start, km.batch_stats(km.assign(points, start, "pc"), "pc"))
+    centers = km.collect_centers(materialize(model, "text-model"))
+    msgs = wire.encode(tw.tweets(spark, sf_dir, markup=True).where(~_in_train()))
+
+    def predict(batch_tf: DataFrame) -> DataFrame:
+        x = pca.project(fx.tfidf(batch_tf, w, TEXT_FEATURES, m, MIN_DOC_FREQ), axes, BATCH_KEYS)
+        at = [F.col("pc")[j].cast("float").alias(n) for j, n in enumerate("xy")]
+        return km.assign(x, centers, "pc").select("id", *at, "gt", "predicted")
+
+    rows = _classified(spark, msgs, predict, TEXT_FEATURES)
+    return rows.select("id", *[(F.round(n, 2) + 0.0).cast("float").alias(n) for n in "xy"], "gt", "predicted")
+
+
 # ------------------------------------------------------------------ parsers, wire format, ids
 
 def _plain_tweets(spark, sf_dir) -> DataFrame:
@@ -514,18 +539,20 @@ def q_replay_order(spark, sf_dir):
 BATCH_KEYS = ["row_key", "id", "gt"]
 
 
-def _batch_tf(good: DataFrame, num_features: int) -> DataFrame:
-    """Hashed TF of a decoded batch by row; the texts move once, by row key."""
+def _batch_tf(good: DataFrame, num_features: int, stems: StemDictionary) -> DataFrame:
+    """Hashed TF of a decoded batch by row; the texts move once, by row key. Words that no
+    earlier batch of the stream had are added to its dictionary."""
     docs = good.select("row_key", "id", F.col("polarity").alias("gt"), "text")
     docs = partition_by(docs, "row_key")
     t = clean_stages(docs, "text", CleanOptions(), upto="stopped")
-    return fx.hashed_tf(exploded_terms(t, BATCH_KEYS, "stopped", "term", outer=True), BATCH_KEYS, num_features)
+    return fx.hashed_tf(exploded_terms(t, BATCH_KEYS, "stopped", "term", outer=True, dictionary=stems), BATCH_KEYS, num_features)
 
 
 def _classified(spark, msgs: DataFrame, predict, num_features: int) -> DataFrame:
     out, bad, checkpoint = (scratch_path(spark, n) for n in ("classified", "quarantine", "classify-job"))
+    stems = StemDictionary(spark)
     jobs.classify_stream(_stream_files(spark, msgs), wire.decode, predict, out, bad, checkpoint,
-                         featurize=lambda good: _batch_tf(good, num_features))
+                         featurize=lambda good: _batch_tf(good, num_features, stems))
     return spark.read.parquet(out)
 
 

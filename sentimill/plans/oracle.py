@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from .oracle_text import chain_ctes, docs_source, plain_stem_ctes, unescape_sql
+from .oracle_text import chain_ctes, docs_source, plain_stem_ctes, stemmed_ctes, unescape_sql
 
 ORACLE: dict[str, str] = {}
 
@@ -42,6 +42,7 @@ SELECT 4, n44 / nullif(n44 + n04, 0), n44 / nullif(n44 + n40, 0),
 # ------------------------------------------------------------------ text chain
 
 _CHAIN = "WITH " + chain_ctes(docs_source(markup=True))
+_STEMMED = _CHAIN + stemmed_ctes()
 
 ORACLE["html_unescape"] = f"SELECT page_id, {unescape_sql('html')} AS unescaped FROM pages"
 ORACLE["emoticon_replace"] = _CHAIN + "SELECT id, array_to_string(emoticons, ' ') AS emoticons FROM e"
@@ -55,14 +56,14 @@ ORACLE["stem_vocab"] = (_CHAIN + ", v AS (SELECT DISTINCT unnest(stopped) AS ter
                         + plain_stem_ctes("v", "term") + "SELECT word AS term, stem FROM t9")
 
 _POLARITY = ("CASE l.quality WHEN 1 THEN 4 WHEN 0 THEN 0 ELSE 2 END::INTEGER")
-ORACLE["process_tweet"] = (_CHAIN + f"SELECT f.id, {_POLARITY} AS polarity, array_to_string(terms, ' ') AS terms "
+ORACLE["process_tweet"] = (_STEMMED + f"SELECT f.id, {_POLARITY} AS polarity, array_to_string(terms, ' ') AS terms "
                            "FROM f LEFT JOIN labels l ON l.doc_id = f.id")
 
 # ------------------------------------------------------------------ features and Naive Bayes
 
 _BUCKET = "(('0x' || substr(md5(term), 1, 8))::UBIGINT % 1024)::INTEGER"
 _HASH_PCT = "(('0x' || substr(md5('0:' || d.doc_id::VARCHAR), 1, 8))::UBIGINT % 100)"
-_FEAT = _CHAIN + f""",
+_FEAT = _STEMMED + f""",
 terms AS (SELECT id, unnest(terms) AS term FROM f),
 htf AS (SELECT id, {_BUCKET} AS bucket, count(*) AS tf FROM terms GROUP BY ALL),
 split AS (SELECT d.doc_id AS id, CASE l.quality WHEN 1 THEN 4 WHEN 0 THEN 0 ELSE 2 END::INTEGER AS polarity,
@@ -102,7 +103,7 @@ SELECT id, gt, first(label ORDER BY score DESC, label ASC)::INTEGER AS predicted
 """
 ORACLE["tf_roundtrip"] = ORACLE["hashed_tf"]
 
-ORACLE["process_tweet_keys"] = (_CHAIN + "SELECT CASE WHEN id % 3 > 0 THEN id // 2 END AS id, "
+ORACLE["process_tweet_keys"] = (_STEMMED + "SELECT CASE WHEN id % 3 > 0 THEN id // 2 END AS id, "
                                 "array_to_string(terms, ' ') AS terms FROM f")
 ORACLE["stop_filter_file"] = _CHAIN + "SELECT id, unnest(stopped) AS term FROM s"
 ORACLE["lexicon_file"] = ORACLE["acronym_expand"]
@@ -145,6 +146,71 @@ SELECT te.id, te.gt, p.predicted FROM te JOIN ({near('te', 'c1')}) p USING (id)
 
 ORACLE["kmeans_text_stream"] = _text_clusters(4096, 2)
 
+
+def _gram_axis(name: str, matrix: str, steps: int = 24) -> str:
+    """CTE ``name`` (u, l): first eigenvector of a symmetric matrix (i, v: its row as a list), unit
+    length, and its eigenvalue, by repeated multiplication."""
+    out = [f"{name}0 AS MATERIALIZED (SELECT list(1.0::DOUBLE + (i * 7919 % 101) / 100.0 ORDER BY i) AS u FROM {matrix})"]
+    for k in range(steps):
+        out.append(f"{name}p{k} AS MATERIALIZED (SELECT list(list_dot_product(v, (SELECT u FROM {name}{k})) ORDER BY i) AS w FROM {matrix})")
+        out.append(f"{name}{k + 1} AS MATERIALIZED (SELECT list_transform(w, lambda x: x / s) AS u, s AS l "
+                   f"FROM (SELECT w, sqrt(list_dot_product(w, w)) AS s FROM {name}p{k}))")
+    return ",\n".join(out) + f",\n{name} AS MATERIALIZED (SELECT u, l FROM {name}{steps})"
+
+
+def _text_pca_clusters(dim: int, k: int) -> str:
+    """Principal axes of the training TF-IDF, through the matrix of the products of the (centred)
+    documents, which has the same ones; then one training batch in two dimensions."""
+    centers = np.random.RandomState(0).randn(k, 2)
+    rows = ", ".join(f"({i}, {float(x)!r}::DOUBLE, {float(y)!r}::DOUBLE)" for i, (x, y) in enumerate(centers))
+
+    def near(model: str) -> str:
+        return (f"SELECT p.id, first(m.cluster ORDER BY (p.x - m.x) * (p.x - m.x) + (p.y - m.y) * (p.y - m.y), m.cluster)::INTEGER "
+                f"AS predicted FROM pr p CROSS JOIN {model} m GROUP BY p.id")
+
+    def square(a: str) -> str:
+        return (f"SELECT i, list(d / m ORDER BY j) AS v FROM (SELECT p.i, q.i AS j, list_dot_product(p.v, q.v) AS d "
+                f"FROM {a} p CROSS JOIN {a} q) CROSS JOIN (SELECT max(list_max(v)) AS m FROM {a}) GROUP BY i")
+
+    def axis(name: str, u: str) -> str:
+        return f"""
+{name}r AS (SELECT x.bucket, sum(x.v * d.c) AS c FROM xtr x JOIN (SELECT unnest((SELECT ids FROM ord)) AS id, unnest(u) AS c FROM {u}) d
+  USING (id) GROUP BY x.bucket),
+{name}c AS MATERIALIZED (SELECT bucket, {name}r.c - mu * (SELECT list_sum(u) FROM {u}) AS c FROM {name}r JOIN mu USING (bucket)),
+{name} AS MATERIALIZED (SELECT bucket, c / sqrt((SELECT sum(c * c) FROM {name}c)) * (SELECT sign(arg_max(c, abs(c))) FROM {name}c) AS c FROM {name}c)"""
+
+    return _features(dim) + f""",
+xall AS MATERIALIZED (SELECT t.id, t.bucket, t.tf * i.idf AS v FROM htf t JOIN idf_tr i USING (bucket) WHERE i.idf <> 0),
+xtr AS MATERIALIZED (SELECT x.* FROM xall x JOIN tr USING (id)),
+ord AS MATERIALIZED (SELECT list(id ORDER BY id) AS ids FROM tr),
+mu AS MATERIALIZED (SELECT bucket, sum(v) / (SELECT count(*) FROM tr) AS mu FROM xtr GROUP BY bucket),
+rm AS MATERIALIZED (SELECT tr.id, coalesce(sum(v * mu), 0) AS r FROM tr LEFT JOIN xtr USING (id) LEFT JOIN mu USING (bucket) GROUP BY tr.id),
+dots AS (SELECT p.id AS i, q.id AS j, sum(p.v * q.v) AS d FROM xtr p JOIN xtr q USING (bucket) GROUP BY ALL),
+g0 AS MATERIALIZED (SELECT a.id AS i, list(coalesce(d, 0) - a.r - b.r + (SELECT sum(mu * mu) FROM mu) ORDER BY b.id) AS v
+  FROM rm a CROSS JOIN rm b LEFT JOIN dots ON dots.i = a.id AND dots.j = b.id GROUP BY a.id),
+g1 AS MATERIALIZED ({square('g0')}),
+g2 AS MATERIALIZED ({square('g1')}),
+g3 AS MATERIALIZED ({square('g2')}),
+{_gram_axis('va', 'g3')},
+g4 AS MATERIALIZED (SELECT i, list_transform(v, lambda c, k: c - w.l * w.c * w.u[k]) AS v FROM g3 JOIN (
+  SELECT unnest((SELECT ids FROM ord)) AS i, unnest(u) AS c, u, l FROM va) w USING (i)),
+{_gram_axis('vb', 'g4')},
+{axis('ax', 'va')},
+{axis('ay', 'vb')},
+pr AS MATERIALIZED (SELECT s.id, coalesce(sum(x.v * ax.c), 0) AS x, coalesce(sum(x.v * ay.c), 0) AS y FROM split s LEFT JOIN xall x USING (id)
+  LEFT JOIN ax USING (bucket) LEFT JOIN ay USING (bucket) GROUP BY s.id),
+c0 AS (SELECT * FROM (VALUES {rows}) t(cluster, x, y)),
+a0 AS (SELECT n.* FROM ({near('c0')}) n JOIN tr USING (id)),
+c1 AS MATERIALIZED (SELECT c0.cluster, (any_value(c0.x) + coalesce(sum(p.x), 0)) / (1 + count(p.id)) AS x,
+  (any_value(c0.y) + coalesce(sum(p.y), 0)) / (1 + count(p.id)) AS y
+  FROM c0 LEFT JOIN (SELECT pr.*, predicted FROM pr JOIN a0 USING (id)) p ON p.predicted = c0.cluster GROUP BY c0.cluster)
+SELECT te.id, (round(p.x, 2) + 0.0)::FLOAT AS x, (round(p.y, 2) + 0.0)::FLOAT AS y, te.gt, n.predicted
+FROM te JOIN pr p USING (id) JOIN ({near('c1')}) n USING (id)
+"""
+
+
+ORACLE["kmeans_text_pca"] = _text_pca_clusters(4096, 2)
+
 from .oracle_more import register as _register_more  # noqa: E402
 
 _register_more(ORACLE)

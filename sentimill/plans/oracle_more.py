@@ -58,6 +58,14 @@ pr AS (SELECT el.vec_id, (round(sum(el.x * ax.x), 3) + 0.0)::FLOAT AS x, (round(
 """
 
 
+#: clusters of the written points, the first two points as centres
+KMEANS_XY = """,
+xy AS (SELECT p.vec_id, p.x, p.y, v.gt, first(q.vec_id::INTEGER ORDER BY (p.x::DOUBLE - q.x) * (p.x::DOUBLE - q.x)
+         + (p.y::DOUBLE - q.y) * (p.y::DOUBLE - q.y), q.vec_id) AS predicted
+       FROM pr p JOIN v USING (vec_id) CROSS JOIN (SELECT * FROM pr WHERE vec_id < 2) q GROUP BY p.vec_id, p.x, p.y, v.gt)
+"""
+
+
 def kmeans_stream_sql(batches: int = 4) -> str:
     """Batches in order: update the model with the batch, then assign the batch with it."""
     parts = [KM, ", m0 AS (SELECT cluster, center, weight FROM c)"]
@@ -120,12 +128,12 @@ SELECT l.idx, l.id, l.polarity, r.doc_id, r.n_chars FROM l JOIN r USING (idx)
 
 def register(oracle: dict[str, str]) -> None:
     oracle["kmeans_assign"] = KM + "SELECT vec_id, gt, predicted FROM a"
-    oracle["kmeans_output"] = KM + PCA + "SELECT x, y, gt, predicted FROM a JOIN pr USING (vec_id)"
+    oracle["kmeans_output"] = KM + PCA + KMEANS_XY + "SELECT x, y, gt, predicted FROM xy"
     oracle["pca_project"] = KM + PCA + "SELECT vec_id, x, y, gt FROM v JOIN pr USING (vec_id)"
     oracle["unique_ids"] = "SELECT doc_id AS id, 1::BIGINT AS rows_with_uid FROM documents"
     oracle["run_table_name"] = f"SELECT gt, predicted, true AS name_in_form FROM {NB_RESULTS}"
     oracle["scan_results"] = oracle["kmeans_output"]
-    oracle["cluster_contingency"] = KM + "SELECT gt, predicted, count(*) AS C1 FROM a WHERE gt <> 1 AND gt <> 3 GROUP BY ALL"
+    oracle["cluster_contingency"] = KM + PCA + KMEANS_XY + "SELECT gt, predicted, count(*) AS C1 FROM xy WHERE gt <> 1 AND gt <> 3 GROUP BY ALL"
     oracle["kmeans_update"] = KMEANS_UPDATE
     oracle["kmeans_stream"] = kmeans_stream_sql()
     oracle["parse_lines"] = PARSE_LINES

@@ -125,3 +125,37 @@ def test_zip_with_index_is_contiguous(spark):
     idx = positional.zip_with_index(df, ["k"]).orderBy("k").collect()
     assert [r.idx for r in idx] == list(range(1000))
     assert [r.k for r in idx] == list(range(1000))
+
+
+def test_sparse_pca_equals_the_dense_one(spark):
+    import numpy as np
+
+    from sentimill.operators import pca
+
+    rng = np.random.RandomState(3)
+    dense = rng.rand(60, 20) * (rng.rand(60, 20) < 0.3) * np.linspace(4, 1, 20)
+    dense[7] = 0  # a document without features
+    rows = [(i, j, float(dense[i, j])) for i in range(60) for j in range(20) if dense[i, j]] + [(7, None, None)]
+    x = spark.createDataFrame(rows, "id long, bucket int, tfidf double")
+    got = pca.fit(x, 60, 32, k=3)
+    _, s, axes = np.linalg.svd(dense - dense.mean(axis=0), full_matrices=False)
+    assert np.allclose(got.variances, s[:3] ** 2 / 59, rtol=1e-9)
+    found = {r.bucket: [r.pc0, r.pc1, r.pc2] for r in got.axes.collect()}
+    want = axes[:3] * np.sign([a[np.abs(a).argmax()] for a in axes[:3]])[:, None]
+    assert np.allclose([found[j] for j in range(20)], want.T, atol=1e-7)
+    at = {r.id: r.pc for r in pca.project(x, got, ["id"]).collect()}
+    assert np.allclose([at[i] for i in range(60)], dense @ want.T, atol=1e-6) and at[7] == [0.0, 0.0, 0.0]
+
+
+def test_sparse_pca_of_few_documents(spark, tmp_path):
+    from sentimill.operators import pca
+
+    x = spark.createDataFrame([(0, 3, 1.0), (1, 3, 3.0), (2, None, None)], "id long, bucket int, tfidf double")
+    got = pca.fit(x, 3, 8)
+    assert got.variances == [pytest.approx(7 / 3), pytest.approx(0.0, abs=1e-12)]
+    assert [tuple(r) for r in got.axes.collect()] == [(3, 1.0, 0.0)]
+    none = pca.fit(x.where("id = 2"), 1, 8)
+    assert none.variances == [0.0, 0.0] and none.axes.count() == 0
+    assert [r.pc for r in pca.project(x.where("id = 2"), none, ["id"]).collect()] == [[0.0, 0.0]]
+    got.save(str(tmp_path / "pca"))
+    assert pca.Components.load(spark, str(tmp_path / "pca")).axes.collect() == got.axes.collect()
