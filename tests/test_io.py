@@ -53,6 +53,77 @@ def test_jdbc_sink_create_append_scan(spark):
     assert rows == [(0, 1, None), (4, 0, None)]
 
 
+DERBY = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+
+
+def test_jdbc_batch_is_there_once(spark, monkeypatch):
+    at = {"jdbc_url": "jdbc:derby:memory:sentimill_ledger;create=true", "table": "NBM", "properties": DERBY}
+    sinks.create_table(spark, sinks.NB_RESULT_SCHEMA, **at)
+    rows = spark.createDataFrame([(0, 4), (4, 4), (4, 0)], sinks.NB_RESULT_SCHEMA).repartition(3)
+    assert sinks.append(rows, batch="job-0", **at)
+    assert not sinks.append(rows, batch="job-0", **at)  # tried again behind the ledger
+    assert sinks.scan(spark, **at).count() == 3
+
+    # a failure between the delete and the insert
+    execute = sinks._execute
+
+    def fails_behind(*args):
+        execute(*args)
+        raise RuntimeError("lost")
+    monkeypatch.setattr(sinks, "_execute", fails_behind)
+    with pytest.raises(RuntimeError):
+        sinks.append(rows, batch="job-1", **at)
+    monkeypatch.setattr(sinks, "_execute", execute)
+    # a failure between the insert and the ledger: rows that no scan shows
+    rows.limit(2).withColumn("batch", F.lit("job-1")).write.jdbc(at["jdbc_url"], "NBM", mode="append", properties=DERBY)
+    assert sinks.scan(spark, **at).count() == 3
+    assert sinks.append(rows, batch="job-1", **at)
+    assert sinks.scan(spark, **at).count() == 6
+    assert spark.read.jdbc(at["jdbc_url"], "NBM", properties=DERBY).count() == 6
+
+    # a task that inserts twice: the batch is deleted and inserted again, then given up on
+    inserted = []
+
+    def twice(*args):
+        inserted.append(args)
+        execute(*args)
+        if len(inserted) == 1:
+            rows.limit(1).withColumn("batch", F.lit("it's")).write.jdbc(at["jdbc_url"], "NBM", mode="append", properties=DERBY)
+    monkeypatch.setattr(sinks, "_execute", twice)
+    assert sinks.append(rows, batch="it's", **at) and len(inserted) == 2
+    assert sinks.scan(spark, **at).count() == 9
+
+
+def test_scans_see_whole_batches_only(spark):
+    path = scratch_path(spark, "published")
+    sinks.create_table(spark, sinks.KMEANS_RESULT_SCHEMA, path=path)
+
+    def rows(*pairs):
+        return spark.createDataFrame(pairs, sinks.NB_RESULT_SCHEMA)
+
+    def seen():
+        return sorted((r.gt, r.predicted) for r in sinks.scan(spark, path=path).collect())
+    assert seen() == [] and sinks.scan(spark, path=path).columns == ["x", "y", "gt", "predicted"]
+    sinks.append(rows((0, 0), (0, 4)), path=path, batch="b0")
+    before = sinks.scan(spark, path=path)
+    attempt = sinks._write_aside(rows((4, 4)), path)  # the first of the two writes of a batch
+    assert seen() == [(0, 0), (0, 4)]
+    sinks._publish(spark, path, "b0", attempt)         # the second: it replaces the batch at once
+    assert seen() == [(4, 4)]
+    assert before.count() == 2                         # a scan that began earlier goes on with what it saw
+    for i in range(1, 5):
+        sinks.append(rows((i, 0)), path=path, batch=f"b{i}")
+    sinks._write_aside(rows((9, 9)), path)             # a failed attempt
+    late = sinks._log(spark, path)
+    assert sinks.merge(spark, path) == 6 and sinks.merge(spark, path) == 0
+    assert seen() == [(1, 0), (2, 0), (3, 0), (4, 0), (4, 4)] and late.count() == 7
+    assert not sinks.append(rows((1, 1)), path=path, batch="b1")  # merged: it is there already
+    sinks.append(rows((5, 0)), path=path, batch="b5")
+    assert len(seen()) == 6
+    assert sinks.vacuum(spark, path, 3600) == 0 and sinks.vacuum(spark, path, 0) == 7
+    assert len(seen()) == 6 and spark.read.parquet(f"{path}/rows").select("attempt").distinct().count() == 2
+
+
 def test_wire_marks_failed_casts(spark):
     rows = [('["x","7","d","q","s","t"]',), ('["4","seven","d","q","s","t"]',), ('["4","7","d","q","s","t"]',)]
     got = wire.decode(spark.createDataFrame(rows, "value string")).collect()
