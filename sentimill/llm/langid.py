@@ -8,9 +8,9 @@ the smallest hashes of id and text; equal rows count once). The executors turn t
 driver gets at most ``BINS`` numbers for each, whatever the length of the text.
 
 A fifth of the sample is held back: it sets the temperature of the softmax and the
-rejection thresholds, one for each octave of the number of subwords. The held-back texts
-count whole and cut to ``CUTS`` bytes, and so do up to ``CALIBRATE`` more texts of each
-language, which the executors score; the threshold of an octave is the score that rejects
+rejection thresholds, one for each octave of the number of subwords. For these the
+executors score the held-back texts whole and cut to ``CUTS`` bytes, and so up to
+``CALIBRATE`` more texts of each language; the threshold of an octave is the score that rejects
 ``REJECT_RIGHT`` of those classified right, and rises with the octave, so that clean short
 texts stay. Texts below it are rejected; texts without a letter
 are ``und`` and rejected. Half of the training steps see a random part of a text's
@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .words import _LOWER, buffers
 
 BINS = 1 << 15
@@ -44,6 +45,7 @@ REJECT_RIGHT = 0.001
 CUTS = (4, 8, 16, 32, 64, 128, 256, 512)  # bytes of the shortened texts of the calibration
 LEVELS = 64  # octaves of the number of subwords
 LEAST_RIGHT = 200  # texts that set the threshold of an octave
+SEED = 7
 _PIECE = 1 << 18
 UNKNOWN = "und"
 
@@ -151,26 +153,22 @@ def _cuts(raw: np.ndarray, start: int, end: int) -> Iterator[tuple[int, int]]:
 
 
 def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, text) -> (lang, cut, bins, counts): the subwords of each sampled text, then of its cuts."""
+    """(lang, h, text) -> (lang, h, bins, counts): the subwords of each sampled text."""
     for batch in batches:
-        raw, offsets = buffers(batch.column(1))
-        text, cut, bins, counts = [], [], [], []
+        raw, offsets = buffers(batch.column(2))
+        bins, counts = [], []
         for k in range(len(offsets) - 1):
-            for i, (a, b) in enumerate(_cuts(raw, int(offsets[k]), int(offsets[k + 1]))):
-                total = np.zeros(BINS + 1, np.int64)
-                for piece, ends, _, _ in _pieces(raw, np.array([a, b])):
-                    full = np.concatenate([ends, np.zeros(len(piece) - len(ends), ends.dtype)])
-                    for g in GRAMS:
-                        total += np.bincount(gram_bins(piece, full, g)[:len(ends)], minlength=BINS + 1)
-                at = np.flatnonzero(total[:BINS])
-                text.append(k)
-                cut.append(i > 0)
-                bins.append(at.astype(np.int32))
-                counts.append(total[at].astype(np.float32))
+            total = np.zeros(BINS + 1, np.int64)
+            for piece, ends, _, _ in _pieces(raw, offsets[k:k + 2]):
+                full = np.concatenate([ends, np.zeros(len(piece) - len(ends), ends.dtype)])
+                for g in GRAMS:
+                    total += np.bincount(gram_bins(piece, full, g)[:len(ends)], minlength=BINS + 1)
+            at = np.flatnonzero(total[:BINS])
+            bins.append(at.astype(np.int32))
+            counts.append(total[at].astype(np.float32))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).take(pa.array(text, pa.int64())), pa.array(cut, pa.bool_()),
-             pa.array(bins, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.float32()))],
-            names=["lang", "cut", "bins", "counts"])
+            [batch.column(0), batch.column(1), pa.array(bins, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.float32()))],
+            names=["lang", "h", "bins", "counts"])
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -178,16 +176,19 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def train(rows: list[tuple], seed: int = 7) -> Model:
-    """Model from (language, bins, counts, cuts) of labelled texts; texts without subwords are left out.
+def held_back(n: int) -> int:
+    """How many of n texts set temperature and thresholds: the first of the order of training."""
+    return n // 5 if n >= 50 else 0
 
-    ``cuts``: (bins, counts) of shortened forms of the text, for the thresholds.
-    """
+
+def train(rows: list[tuple], seed: int = SEED) -> Model:
+    """Model from (language, bins, counts, ...) of labelled texts; texts without subwords are
+    left out. No threshold is set yet."""
     rows = [r for r in rows if len(r[1])]
     languages = sorted({r[0] for r in rows})
     rng = np.random.RandomState(seed)
     order = rng.permutation(len(rows))
-    held = order[:len(rows) // 5] if len(rows) >= 50 else order[:0]
+    held = order[:held_back(len(rows))]
     learn = order[len(held):]
     n = len(languages)
     label = np.array([languages.index(r[0]) for r in rows], np.int64)
@@ -215,17 +216,14 @@ def train(rows: list[tuple], seed: int = 7) -> Model:
             embed[at] -= (rate * 20.0) * np.outer(w, back)
     table = np.concatenate([embed @ out, np.zeros((1, n), np.float32)]).astype(np.float32)
     logits = np.array([weight[i] @ table[rows[i][1]] for i in held]).reshape(len(held), n) + bias
-    temperature, right = 1.0, np.zeros((0, 2))
+    temperature = 1.0
     if len(held):
         truth = label[held]
         grid = np.exp(np.linspace(0.0, np.log(5), 33))
         loss = [-np.log(np.maximum(_softmax(logits / t)[np.arange(len(held)), truth], 1e-12)).mean() for t in grid]
         temperature = float(grid[int(np.argmin(loss))])
-        forms = [(label[i], at, c) for i in held for at, c in [rows[i][1:3], *(rows[i][3] if len(rows[i]) > 3 else ())] if len(at)]
-        truth, count = np.array([f[0] for f in forms]), np.array([f[2].sum() for f in forms])
-        p = _softmax((np.array([c / c.sum() @ table[at] for _, at, c in forms]) + bias) / temperature)
-        right = np.stack([p.max(axis=1), count], axis=1)[p.argmax(axis=1) == truth]
-    return Model(languages, table, bias, temperature, thresholds(right[:, 0], right[:, 1]), right)
+    none = np.zeros((0, 2))
+    return Model(languages, table, bias, temperature, thresholds(none[:, 0], none[:, 1]), none)
 
 
 def _scorer(model: Model):
@@ -258,33 +256,31 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     drawn = F.pmod(F.col("h"), F.lit(1 << 40)) / F.lit(float(1 << 40))
     rows = rows.where("text is not null").withColumn("h", F.xxhash64("id", "text")).drop("id")
     # the draw bounds the rows that move; equal ids with equal texts would come all or none
-    near = rows.where(drawn < F.element_at(share, F.col("lang"))).dropDuplicates(["lang", "h"])
+    some = rows.where(drawn < F.element_at(more, F.col("lang"))).dropDuplicates(["lang", "h"])
     place = F.row_number().over(Window.partitionBy("lang").orderBy(drawn, "h"))
-    sample = near.withColumn("place", place).where(F.col("place") <= per_language)
-    rest = rows.where((drawn >= F.element_at(share, F.col("lang"))) & (drawn < F.element_at(more, F.col("lang"))))
-    rest = rest.dropDuplicates(["lang", "h"])
-    found = sample.select("lang", "text").mapInArrow(
-        _sparse, "lang string, cut boolean, bins array<int>, counts array<float>")
-    got = found.toArrow().combine_chunks()
-    lang, cut, bins, counts = (got.column(i).combine_chunks() if got.num_rows else None for i in range(4))
-    if bins is None:
-        return None
-    edge = bins.offsets.to_numpy()
-    flat, weight = bins.values.to_numpy(), counts.values.to_numpy()  # views, no Python objects
-    rows = []
-    for name, short, a, b in zip(lang.to_pylist(), cut.to_pylist(), edge[:-1], edge[1:]):
-        if short:  # follows its text
-            rows[-1][3].append((flat[a:b], weight[a:b]))
-        else:
-            rows.append((name, flat[a:b], weight[a:b], []))
-    rows.sort(key=lambda r: (r[0], len(r[1]), float(r[2].sum()), r[1][:8].tolist()))
-    if not any(len(r[1]) for r in rows):
+    some = some.select("lang", "text", "h", place.alias("place"), (drawn >= F.element_at(share, F.col("lang"))).alias("rest"))
+    some = materialize(some.where((F.col("place") <= per_language) | F.col("rest")), "language-sample")
+    sample = F.col("place") <= per_language
+    # whole texts only, batch by batch as they came: views, no Python objects and no second copy
+    got = some.where(sample).select("lang", "h", "text").mapInArrow(
+        _sparse, "lang string, h bigint, bins array<int>, counts array<float>").toArrow()
+    texts = []
+    for batch in got.to_batches():
+        lang, h, bins, counts = batch.columns
+        edge, flat, weight = bins.offsets.to_numpy(), bins.values.to_numpy(), counts.values.to_numpy()
+        texts += [(name, flat[a:b], weight[a:b], x) for name, x, a, b in zip(lang.to_pylist(), h.to_pylist(), edge[:-1], edge[1:])]
+    texts = [r for r in texts if len(r[1])]
+    if not texts:
         return None
-    model = train(rows)
-    if any(r.n > 2 * per_language for r in sizes):
-        got = rest.select("lang", "text").mapInArrow(_scorer(model), "score double, count bigint").toArrow()
-        right = np.concatenate([model.right, np.stack([got.column(0).to_numpy(), got.column(1).to_numpy()], axis=1)])
-        model.threshold = thresholds(right[:, 0], right[:, 1])
+    texts.sort(key=lambda r: (r[0], len(r[1]), float(r[2].sum()), r[1][:8].tolist()))
+    model = train(texts)
+    aside = np.random.RandomState(SEED).permutation(len(texts))[:held_back(len(texts))]  # as in train
+    aside = [texts[i][3] for i in aside]
+    del texts, got
+    scores = some.where(F.col("h").isin(aside) | F.col("rest") & ~sample).select("lang", "text").mapInArrow(
+        _scorer(model), "score double, count bigint").toArrow()
+    model.right = np.stack([scores.column(0).to_numpy(), scores.column(1).to_numpy()], axis=1)
+    model.threshold = thresholds(model.right[:, 0], model.right[:, 1])
     return model
 
 
@@ -349,7 +345,13 @@ def _keeper(model: Model | None, at: int):
 
 def keep_accepted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   lang_col: str = "lang") -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose language is not rejected."""
+    """The rows of ``docs``, with all their columns, whose language is not rejected.
+
+    Null and empty texts, and those without a letter, go, and so does every row when there is
+    nothing to learn from. Texts are scored whole; repeated rows stay or go together; ids may
+    be null or repeat. Columns are read by name, so others may have any name. An empty table
+    gives an empty table.
+    """
     model = fit(docs.where(~held_out(F.col(f"`{id_col}`"))), id_col, text_col, lang_col)
     letters = F.coalesce(F.col(f"`{text_col}`").rlike(r"\p{L}"), F.lit(False))
     cols = docs.columns
