@@ -5,8 +5,11 @@ Texts are lower-cased (A-Z), cut at ``[.,;:!?\\x0A-\\x0D]`` into pieces and thos
 
 1. numpy prefix polynomials hash every word (over its bytes) and every run of words (over
    the words' hashes), with the language mixed in, to a 64-bit fingerprint. A task adds up
-   equal ones; the shuffle sums (fingerprint, occurrences, pointer) and keeps those that are
-   frequent enough. The pointer is the smallest id of a document that holds the phrase.
+   equal ones and sends them as arrays, one for each range of fingerprints; there are as many
+   ranges as the texts have ``RANGE`` bytes, so they grow in number and not in size, and a
+   frequent phrase is one entry of each array. The task of a range sums (fingerprint,
+   occurrences, pointer) and keeps those that are frequent enough. The pointer is the
+   smallest id of a document that holds the phrase.
 2. A run of k words can only be frequent if both its runs of k - 1 words are. These are in a
    Bloom filter (16 bits each, at most ``MAX_BITS``), so from three words on only runs that
    pass it are hashed and shuffled. A full filter lets more rows through, not fewer.
@@ -16,7 +19,8 @@ Texts are lower-cased (A-Z), cut at ``[.,;:!?\\x0A-\\x0D]`` into pieces and thos
    out. The pointer comes back from step 1 by fingerprint.
 4. The scores are integer arithmetic on decimals of 38 digits.
 
-Texts are read three times (with phrases of up to three words); they are not shuffled.
+Texts are read three times (with phrases of up to three words), and once to add up their
+sizes; they are not shuffled.
 """
 
 from __future__ import annotations
@@ -32,9 +36,11 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from .words import _BASE, _INVERSE, _LOWER, _power, buffers, mix, ranges
 
-PIECE = 2 << 20           # bytes of text hashed at once (a longer text is hashed in parts)
-GRAMS = 3_000_000         # fingerprints that a task adds up before it sends them on
-PHRASES = 400_000         # phrases that a task counts before it sends them on
+PIECE = 1 << 20           # bytes of text hashed at once (a longer text is hashed in parts)
+GRAMS = 500_000           # fingerprints that a task adds up before it sends them on
+PHRASES = 80_000          # phrases that a task counts before it sends them on
+ROWS = 500                # rows of a batch that are looked at together
+RANGE = 8 << 20           # bytes of text for each range of fingerprints
 MAX_BITS = 1 << 28        # of the filter: 32 MB
 _MAP_BITS = 32768
 NO_DOC = np.int64((1 << 63) - 1)
@@ -135,13 +141,15 @@ def _salts(langs: list[str]) -> np.ndarray:
 def _runs(batch: pa.RecordBatch) -> Iterator[tuple[Run, np.ndarray, np.ndarray, np.ndarray, list[str], np.ndarray, np.ndarray]]:
     """(words, language number, salt and id of each text, languages, bytes, offsets) of runs of
     the rows (id, lang, text)."""
-    lang = batch.column(1).fill_null("und").dictionary_encode()
-    langs, code = lang.dictionary.to_pylist(), lang.indices.to_numpy()
-    salts = _salts(langs)
-    ids = batch.column(0).fill_null(int(NO_DOC)).to_numpy()
-    raw, offsets = buffers(batch.column(2))
-    for i, j in ranges(offsets, PIECE):
-        yield Run(raw, offsets[i:j + 1]), code[i:j], salts[code[i:j]], ids[i:j], langs, raw, offsets[i:j + 1]
+    for at in range(0, batch.num_rows, ROWS):  # a view of a few rows: no second copy of the batch
+        part = batch.slice(at, ROWS)
+        lang = part.column(1).fill_null("und").dictionary_encode()
+        langs, code = lang.dictionary.to_pylist(), lang.indices.to_numpy()
+        salts = _salts(langs)
+        ids = part.column(0).fill_null(int(NO_DOC)).to_numpy()
+        raw, offsets = buffers(part.column(2))
+        for i, j in ranges(offsets, PIECE):
+            yield Run(raw, offsets[i:j + 1]), code[i:j], salts[code[i:j]], ids[i:j], langs, raw, offsets[i:j + 1]
 
 
 def _summed(fp: np.ndarray, n: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -151,8 +159,9 @@ def _summed(fp: np.ndarray, n: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray,
     return fp[first], np.add.reduceat(n[order], first), np.minimum.reduceat(doc[order], first)
 
 
-def _counted(orders: tuple[int, ...], bits):
-    """(fp, n, doc) of the runs of words of these lengths whose shorter runs are in ``bits``."""
+def _counted(orders: tuple[int, ...], n_ranges: int, bits):
+    """(range, sums) of the runs of words of these lengths whose shorter runs are in ``bits``:
+    ``sums`` holds fingerprints, occurrences and pointers one behind the other, 64 bits each."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size = 0
@@ -160,7 +169,10 @@ def _counted(orders: tuple[int, ...], bits):
         def out() -> pa.RecordBatch:
             fp, n, doc = _summed(*(np.concatenate(x) for x in zip(*held)))
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(fp.view(np.int64)), pa.array(n), pa.array(doc)], names=["fp", "n", "doc"])
+            at = ((fp >> np.uint64(32)) * np.uint64(n_ranges) >> np.uint64(32)).astype(np.int32)  # rises with fp
+            first = np.flatnonzero(np.diff(at, prepend=-1))
+            sums = [fp[i:j].tobytes() + n[i:j].tobytes() + doc[i:j].tobytes() for i, j in zip(first, np.append(first[1:], len(fp)))]
+            return pa.RecordBatch.from_arrays([pa.array(at[first]), pa.array(sums, pa.binary())], names=["range", "sums"])
 
         for batch in batches:
             for run, _, salt, ids, *_ in _runs(batch):
@@ -183,6 +195,17 @@ def _counted(orders: tuple[int, ...], bits):
     return count
 
 
+def _often(min_count: int):
+    """(fp, n, doc) of a range that occur at least ``min_count`` times."""
+    def often(key, table):
+        parts = [np.frombuffer(b, np.uint64).reshape(3, -1) for b in table.column("sums").to_pylist()]
+        fp, n, doc = (np.concatenate([p[i] for p in parts]) for i in range(3))
+        fp, n, doc = _summed(fp, n.view(np.int64), doc.view(np.int64))
+        keep = n >= min_count
+        return pa.table([pa.array(x[keep].view(np.int64)) for x in (fp, n, doc)], names=["fp", "n", "doc"])
+    return often
+
+
 def _verified(longest: int, bits):
     """(lang, words, phrase, fp, n) of the runs in ``bits``, grouped by their words; with each
     language's number of words under the empty phrase."""
@@ -257,10 +280,12 @@ def frequent_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     t = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{lang_col}`").cast("string").alias("lang"),
                     F.col(f"`{text_col}`").alias("text"))
 
+    size = t.agg(F.sum(F.octet_length("text")).alias("size")).first().size or 0
+    n_ranges = max(8, size // RANGE)
+
     def often(orders: tuple[int, ...], bits=None) -> DataFrame:
-        rows = t.mapInArrow(_counted(orders, bits), "fp bigint, n bigint, doc bigint")
-        sums = rows.groupBy("fp").agg(F.sum("n").alias("n"), F.min("doc").alias("doc"))
-        return materialize(sums.where(F.col("n") >= min_count), "grams")
+        sums = t.mapInArrow(_counted(orders, n_ranges, bits), "range int, sums binary")
+        return materialize(sums.groupBy("range").applyInArrow(_often(min_count), "fp bigint, n bigint, doc bigint"), "grams")
 
     frequent = last = often((1, 2) if max_words > 1 else (1,))
     for k in range(3, max_words + 1):
