@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .lexicons import ACRONYMS, DEFAULT_STOP_WORDS, EMOTICONS, html_entities
-from .porter import stem_steps
+from .porter import stem_sql, stem_steps
 from .sqlgen import LOWER, SPARK, UPPER
 
 # Regular expressions (Java syntax). Classes are spelled out so that they mean the same
@@ -178,3 +178,12 @@ def with_stem(df: DataFrame, word_col: str, out_col: str) -> DataFrame:
     for name, expr in steps:
         df = df.withColumn(name, F.expr(expr))
     return df.withColumn(out_col, F.col(cols[-1])).drop(*cols)
+
+
+def stem_each(tokens_col: str) -> Column:
+    """The array column with each word stemmed in place, by one nested expression.
+
+    For rows that cannot be regrouped, such as those of a streaming plan. It runs interpreted:
+    over a whole corpus a dictionary (``operators.clean.StemDictionary``) is far faster.
+    """
+    return F.expr(f"transform({tokens_col}, _tok -> {stem_sql(SPARK, '_tok', '_st')})")

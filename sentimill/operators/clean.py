@@ -22,6 +22,7 @@ from ..functions.lexicons import ACRONYMS, DEFAULT_STOP_WORDS, EMOTICONS
 from ..session import materialize, scratch_path
 
 BROADCAST_WORDS = 500_000  # rows of a table of words that are broadcast (some 40 MB)
+LITERAL_WORDS = 50_000     # entries of a list that may become a constant of the plan
 
 
 @dataclass(frozen=True)
@@ -42,10 +43,17 @@ STAGES = ("unescaped", "emoticons", "preprocessed", "tokenized", "squeezed", "de
 def load_stop_words(spark, path: str) -> list[str]:
     """Stop-word list from a one-word-per-line text file, as one hash set for the filter.
 
-    For lists that do not fit an expression use ``stop_word_table`` with
+    For lists of more than ``LITERAL_WORDS`` (an error here) use ``stop_word_table`` with
     ``drop_stop_terms``, which join instead.
     """
-    return [r.word for r in stop_word_table(spark, path).collect()]
+    return [r.word for r in _few(stop_word_table(spark, path), path)]
+
+
+def _few(table: DataFrame, path: str) -> list:
+    rows = table.limit(LITERAL_WORDS + 1).collect()
+    if len(rows) > LITERAL_WORDS:
+        raise ValueError(f"{path} has more than {LITERAL_WORDS} entries: join it as a table")
+    return rows
 
 
 def stop_word_table(spark, path: str) -> DataFrame:
@@ -58,11 +66,50 @@ def drop_stop_terms(terms: DataFrame, stop_words: DataFrame, term_col: str = "te
     return terms.join(stop_words.select(F.col("word").alias("_stop")), F.col(term_col) == F.col("_stop"), "left_anti")
 
 
-def load_lexicon(spark, path: str, sep: str = "\t") -> list[tuple[str, str]]:
-    """``token<sep>replacement`` lines, quotes taken literally; one literal map of the chain."""
+def _lexicon_lines(spark, path: str, sep: str) -> DataFrame:
     parts = F.split("value", f"\\Q{sep}\\E", 2)
-    lex = spark.read.text(path).where(F.instr("value", sep) > 0).select(parts[0].alias("k"), parts[1].alias("v"))
-    return [(r.k, r.v) for r in lex.collect()]
+    return spark.read.text(path).where(F.instr("value", sep) > 0).select(parts[0].alias("token"), parts[1].alias("replacement"))
+
+
+def load_lexicon(spark, path: str, sep: str = "\t") -> list[tuple[str, str]]:
+    """``token<sep>replacement`` lines, quotes taken literally; one literal map of the chain.
+
+    For more than ``LITERAL_WORDS`` entries (an error here) use ``lexicon_table``.
+    """
+    return [(r.token, r.replacement) for r in _few(_lexicon_lines(spark, path, sep), path)]
+
+
+def lexicon_table(spark, path: str, sep: str = "\t") -> DataFrame:
+    """(token, replacement) of ``token<sep>replacement`` lines, of any number; of a token that
+    occurs twice, the smallest replacement."""
+    return _lexicon_lines(spark, path, sep).groupBy("token").agg(F.min("replacement").alias("replacement"))
+
+
+def replace_first_by_table(df: DataFrame, tokens_col: str, lexicon: DataFrame, out_col: str) -> DataFrame:
+    """``df`` plus ``out_col``: its tokens with the first occurrence of each lexicon key replaced.
+
+    ``df`` has ``_row`` (see ``with_row_key``), is read twice and so should be a written table.
+    The exploded tokens are joined with the lexicon (broadcast or not, as its size says), and
+    only those that hit go on: the first position of each (row, token), gathered by row.
+    """
+    ex = df.select("_row", tx.explode_tokens(F.col(tokens_col), "_pos", "_tok"))
+    hit = ex.join(lexicon.select(F.col("token").alias("_key"), F.col("replacement").alias("_new")), F.col("_tok") == F.col("_key"))
+    first = hit.groupBy("_row", "_tok").agg(F.min("_pos").alias("_pos"), F.min("_new").alias("_new"))
+    at = first.groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("_pos", "_new"))).alias("_at"))
+    new = F.transform(tokens_col, lambda t, i: F.coalesce(F.col("_at")[i], t))
+    return df.join(at, "_row", "left").withColumn(out_col, new).drop("_at")
+
+
+def preprocess_by_tables(df: DataFrame, keys: Sequence[str], text_col: str, emoticons: DataFrame, acronyms: DataFrame,
+                         opts: CleanOptions = CleanOptions()) -> DataFrame:
+    """``keys`` and ``preprocessed``: the chain up to acronyms (C1-C6) with lexicons of any size,
+    given as (token, replacement) tables."""
+    t = clean_stages(with_row_key(df.select(*keys, text_col)), text_col, opts, upto="unescaped")
+    t = materialize(t.select("_row", *keys, tx.split_space(F.col("unescaped")).alias("_tokens")), "lexicon-tokens")
+    t = replace_first_by_table(t, "_tokens", emoticons, "_emoticons")
+    t = materialize(t.select("_row", *keys, F.transform("_emoticons", tx.ascii_upper).alias("_upper")), "lexicon-upper")
+    t = replace_first_by_table(t, "_upper", acronyms, "_acronyms")
+    return t.select(*keys, tx.ascii_lower(F.array_join("_acronyms", " ")).alias("preprocessed"))
 
 
 def clean_stages(df: DataFrame, text_col: str = "text", opts: CleanOptions = CleanOptions(),

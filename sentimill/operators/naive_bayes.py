@@ -119,19 +119,34 @@ def predict(scorer: Scorer, features: DataFrame, keys: Sequence[str], value_col:
 
 # ------------------------------------------------------------------ pyspark.ml form
 
-def label_index(label):
-    """0/2/4 polarity -> class position 0/1/2 (``pyspark.ml`` wants 0..C-1)."""
-    return (label / 2).cast("double")
+def label_indexer(data: DataFrame, label_col: str):
+    """The classes of ``label_col`` numbered 0..C-1 (``pyspark.ml`` wants that): any codes."""
+    from pyspark.ml.feature import StringIndexer
 
+    return StringIndexer(inputCol=label_col, outputCol="label_index", stringOrderType="alphabetAsc").fit(data)
 
-def ml_pipeline(num_features: int, min_doc_freq: int = 0, smoothing: float = 1.0,
-                terms_col: str = "terms"):
-    """HashingTF -> IDF -> NaiveBayes(multinomial) as one ``Pipeline``."""
+
+def ml_pipeline(num_features: int, labels: Sequence[str], min_doc_freq: int = 0, smoothing: float = 1.0,
+                terms_col: str = "terms", hashing: str = "murmur3"):
+    """Hashed TF -> IDF -> NaiveBayes(multinomial) -> class code, as one ``Pipeline``.
+
+    ``labels`` are the codes by class number (``label_indexer(...).labels``); they are saved
+    with the fitted pipeline, whose ``predicted`` column holds codes. ``hashing`` chooses the
+    buckets: ``murmur3`` (``HashingTF``) or ``md5``, the buckets of the relational operators,
+    counted by name; these names are part of the model, so the latter suits small sizes.
+    """
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import NaiveBayes
+    from pyspark.ml.feature import CountVectorizerModel, IndexToString, SQLTransformer
 
     from .features import ml_tfidf_stages
 
+    stages = ml_tfidf_stages(num_features, min_doc_freq, terms_col)
+    if hashing == "md5":
+        name = f"string(pmod(bigint(conv(substr(md5(t), 1, 8), 16, 10)), {num_features}))"
+        stages[0:1] = [SQLTransformer(statement=f"SELECT *, transform({terms_col}, t -> {name}) AS buckets FROM __THIS__"),
+                       CountVectorizerModel.from_vocabulary([str(i) for i in range(num_features)], "buckets", "tf")]
     nb = NaiveBayes(smoothing=smoothing, modelType="multinomial", featuresCol="features",
                     labelCol="label_index", predictionCol="prediction_index")
-    return Pipeline(stages=ml_tfidf_stages(num_features, min_doc_freq, terms_col) + [nb])
+    code = IndexToString(inputCol="prediction_index", outputCol="predicted", labels=list(labels))
+    return Pipeline(stages=[*stages, nb, code])

@@ -15,9 +15,10 @@ from ..functions import text as tx
 from ..operators import features as fx
 from ..operators import naive_bayes as nb
 from ..operators import kmeans as km
+from ..operators import sparse_kmeans as skm
 from ..operators import pca, positional, sampling
 from ..operators.clean import (CleanOptions, StemDictionary, clean_stages, clean_tweets, drop_stop_terms, exploded_terms,
-                               load_lexicon, partition_by, stop_word_table, with_row_key)
+                               lexicon_table, partition_by, preprocess_by_tables, stop_word_table, with_row_key)
 from ..functions.lexicons import ACRONYMS, DEFAULT_STOP_WORDS, EMOTICONS
 from ..sources import sinks, wire
 from ..sources import tweets as tw
@@ -159,15 +160,14 @@ def q_stop_filter_file(spark, sf_dir):
 
 @query("lexicon_file")
 def q_lexicon_file(spark, sf_dir):
-    """Emoticon and acronym lexicons read from files, then the chain up to acronyms."""
+    """Emoticon and acronym lexicons read from files as tables and joined: the chain up to
+    acronyms (S16, J6)."""
     loaded = {}
     for name, pairs in (("emoticons", EMOTICONS), ("acronyms", ACRONYMS)):
         path = scratch_path(spark, name)
         spark.createDataFrame([(f"{k}\t{v}",) for k, v in pairs], "value string").write.text(path)
-        loaded[name] = load_lexicon(spark, path)
-    opts = CleanOptions(emoticons=loaded["emoticons"], acronyms=loaded["acronyms"])
-    t = clean_stages(_marked_docs(spark, sf_dir), "text", opts, upto="preprocessed")
-    return t.select("id", "preprocessed")
+        loaded[name] = lexicon_table(spark, path)
+    return preprocess_by_tables(_marked_docs(spark, sf_dir), ["id"], "text", loaded["emoticons"], loaded["acronyms"])
 
 
 # ------------------------------------------------------------------ features and Naive Bayes
@@ -299,24 +299,31 @@ def q_tf_roundtrip(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+def _ml_model(spark, sf_dir):
+    """(pyspark.ml pipeline fitted on the training part, cleaned terms of all documents)."""
+    split = _split(spark, sf_dir)
+    terms = clean_tweets(_marked_docs(spark, sf_dir), ["id"])
+    data = materialize(terms.join(split, "id"), "ml-terms")
+    train = data.where("is_train")
+    classes = nb.label_indexer(train, "polarity")
+    pipeline = nb.ml_pipeline(NUM_FEATURES, classes.labels, MIN_DOC_FREQ, SMOOTHING, hashing="md5")
+    return pipeline.fit(classes.transform(train)), data
+
+
 @query("nb_ml_roundtrip")
 def q_nb_ml_roundtrip(spark, sf_dir):
-    """pyspark.ml pipeline (HashingTF, IDF, NaiveBayes): fit, save, load, predict."""
+    """pyspark.ml pipeline (hashed TF, IDF, NaiveBayes, class codes): fit, save, load, predict
+    (S7, S8, P15, L10); the loaded model's predictions, and whether the fitted one agrees."""
     from pyspark.ml import PipelineModel
 
-    split = _split(spark, sf_dir)
-    terms = clean_tweets(_marked_docs(spark, sf_dir), ["id"])
-    data = materialize(terms.join(split, "id").withColumn("label_index", nb.label_index(F.col("polarity"))), "ml-terms")
-    model = nb.ml_pipeline(NUM_FEATURES, MIN_DOC_FREQ, SMOOTHING).fit(data.where("is_train"))
+    model, data = _ml_model(spark, sf_dir)
     path = scratch_path(spark, "nb-pipeline")
     model.write().save(path)
-    test = data.where("not is_train")
-    probability = "probability"
-    a = model.transform(test).select("id", F.col("polarity").alias("gt"), F.col("prediction_index").alias("p"), probability)
-    b = PipelineModel.load(path).transform(test).select("id", F.col("prediction_index").alias("q"),
-                                                        F.col(probability).alias("loaded_probability"))
-    same = (F.col("p") == F.col("q")) & (F.col(probability) == F.col("loaded_probability"))
-    return a.join(b, "id").select("id", "gt", same.alias("loaded_agrees"), F.col("q").isin(0.0, 1.0, 2.0).alias("is_class"))
+    test = data.where("not is_train").select("id", F.col("polarity").alias("gt"), "terms")
+    a = model.transform(test).select("id", F.col("predicted").alias("p"), F.col("probability").alias("before"))
+    b = PipelineModel.load(path).transform(test).select("id", "gt", "predicted", "probability")
+    same = (F.col("p") == F.col("predicted")) & (F.col("before") == F.col("probability"))
+    return b.join(a, "id").select("id", "gt", F.col("predicted").cast("int").alias("predicted"), same.alias("loaded_agrees"))
 
 
 # ------------------------------------------------------------------ k-means
@@ -468,6 +475,29 @@ def q_kmeans_text_pca(spark, sf_dir):
     return rows.select("id", *[(F.round(n, 2) + 0.0).cast("float").alias(n) for n in "xy"], "gt", "predicted")
 
 
+@query("kmeans_text_learn")
+def q_kmeans_text_learn(spark, sf_dir):
+    """A stream of texts that k-means learns from, over 2**20 buckets (A11, L6, L7, T5): the
+    training tweets arrive in four batches, each of which updates the model; the coordinates
+    of its centres in the buckets that were met. The job is started anew for each batch."""
+    w, m, _, _ = _train_features(spark, sf_dir, WIDE_FEATURES, MIN_DOC_FREQ)
+    model = skm.start_model(spark, KMEANS_K, WIDE_FEATURES, seed=0, spread=1 / 1024)
+    train = tw.tweets(spark, sf_dir, markup=True).where(_in_train())
+    msgs = train.select(F.pmod("id", F.lit(KMEANS_BATCHES)).alias("part"), wire.message().alias("value"))
+    staged, src = scratch_path(spark, "texts"), scratch_path(spark, "texts-in")
+    msgs.write.partitionBy("part").text(staged)
+    out, checkpoint, stems = scratch_path(spark, "learn-out"), scratch_path(spark, "learn-job"), StemDictionary(spark)
+
+    def featurize(good: DataFrame) -> DataFrame:
+        return fx.tfidf(_batch_tf(good, WIDE_FEATURES, stems), w, WIDE_FEATURES, m, MIN_DOC_FREQ)
+
+    for b in range(KMEANS_BATCHES):
+        spark.read.text(f"{staged}/part={b}").write.mode("append").text(src)
+        jobs.learn_sparse_stream(jobs.file_source(spark, src), wire.decode, featurize, BATCH_KEYS, model, out, checkpoint)
+    learnt = skm.SparseState(spark, checkpoint, model).before(KMEANS_BATCHES + 1)
+    return skm.centers(learnt).select("cluster", "bucket", (F.round("value", 6) + 0.0).alias("value"), "weight")
+
+
 # ------------------------------------------------------------------ parsers, wire format, ids
 
 def _plain_tweets(spark, sf_dir) -> DataFrame:
@@ -490,6 +520,26 @@ def q_parse_csv(spark, sf_dir):
     return tw.read_csv(spark, path, multi_line=True)
 
 
+@query("parse_rejects")
+def q_parse_rejects(spark, sf_dir):
+    """Tweets written as CSV lines, some of them broken (a field short, an id that is no number,
+    an open quote), scanned with a reject channel: all lines, good or with their reason (S2, C21)."""
+    t = _plain_tweets(spark, sf_dir).withColumn("text", F.regexp_replace("text", "[\r\n]", " "))
+
+    def quoted(field: str) -> F.Column:
+        return F.concat(F.lit('"'), F.replace(F.coalesce(F.col(field).cast("string"), F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
+    fields = [quoted(c) for c in wire.FIELDS]
+    case = F.pmod("id", F.lit(50))
+    line = (F.when(case == 0, F.concat_ws(",", *fields[:5]))
+            .when(case == 1, F.concat_ws(",", fields[0], F.concat(F.lit('"x'), F.substring(fields[1], 2, 30)), *fields[2:]))
+            .when(case == 2, F.expr("substring(line, 1, length(line) - 1)")).otherwise(F.col("line")))
+    path = scratch_path(spark, "csv-lines")
+    t.withColumn("line", F.concat_ws(",", *fields)).select(line.alias("value")).write.text(path)
+    good, rejected = tw.read_csv_checked(spark, path)
+    ok = good.select("id", "polarity", "text", F.lit("ok").alias("reason"), F.lit(None).cast("string").alias("record"))
+    return ok.unionByName(rejected.select("reason", "record"), allowMissingColumns=True)
+
+
 @query("wire_encode")
 def q_wire_encode(spark, sf_dir):
     return _plain_tweets(spark, sf_dir).select("id", wire.message().alias("value"))
@@ -572,6 +622,20 @@ def q_stream_classify(spark, sf_dir):
     return _classified(spark, msgs, predict, NUM_FEATURES).select("id", "gt", "predicted")
 
 
+@query("stream_classify_ml")
+def q_stream_classify_ml(spark, sf_dir):
+    """Test tweets streamed as wire messages; decoding, cleaning and the fitted pipeline are one
+    streaming plan, a row for each message (T2, T3, T6)."""
+    model = _ml_model(spark, sf_dir)[0]
+    msgs = wire.encode(tw.tweets(spark, sf_dir, markup=True).where(~_in_train()))
+    good = wire.decode(_stream_files(spark, msgs)).where("valid")
+    t = clean_stages(good.select("id", F.col("polarity").alias("gt"), "text"), "text", CleanOptions(), upto="stopped")
+    rows = t.select("id", "gt", tx.stem_each("stopped").alias("terms"))
+    out, checkpoint = scratch_path(spark, "classified-ml"), scratch_path(spark, "classify-ml-job")
+    jobs.transform_stream(rows, model, out, checkpoint, ["id", "gt", "predicted"])
+    return spark.read.parquet(out).withColumn("predicted", F.col("predicted").cast("int"))
+
+
 @query("sink_roundtrip")
 def q_sink_roundtrip(spark, sf_dir):
     """Result rows streamed and appended per micro-batch to a result table created

@@ -107,7 +107,8 @@ ORACLE["process_tweet_keys"] = (_STEMMED + "SELECT CASE WHEN id % 3 > 0 THEN id
                                 "array_to_string(terms, ' ') AS terms FROM f")
 ORACLE["stop_filter_file"] = _CHAIN + "SELECT id, unnest(stopped) AS term FROM s"
 ORACLE["lexicon_file"] = ORACLE["acronym_expand"]
-ORACLE["nb_ml_roundtrip"] = _FEAT + "SELECT id, gt, true AS loaded_agrees, true AS is_class FROM te"
+ORACLE["nb_ml_roundtrip"] = f"SELECT *, true AS loaded_agrees FROM ({ORACLE['nb_predict']})"
+ORACLE["stream_classify_ml"] = ORACLE["nb_predict"]
 
 
 def _features(buckets: int) -> str:
@@ -211,6 +212,37 @@ FROM te JOIN pr p USING (id) JOIN ({near('c1')}) n USING (id)
 
 ORACLE["kmeans_text_pca"] = _text_pca_clusters(4096, 2)
 
+
+def _text_learning(dim: int, k: int, batches: int, spread: float) -> str:
+    """Batches of the training tweets in order, each updating dense centres over the buckets that
+    occur; the square of the other coordinates only shrinks with the weight."""
+    def start(cluster: str, bucket: str) -> str:
+        h = f"md5('0:' || {cluster} || ':' || {bucket})"
+        u = " + ".join(f"('0x' || substr({h}, {8 * i + 1}, 8))::UBIGINT / 4294967296.0" for i in range(4))
+        return f"(({u}) - 2.0::DOUBLE) * sqrt(3.0::DOUBLE) * {spread!r}::DOUBLE"
+
+    out = [_features(dim) + f""",
+xb AS MATERIALIZED (SELECT t.id, t.id % {batches} AS part, t.bucket, t.tf * i.idf AS v FROM tf_tr t JOIN idf_tr i USING (bucket) WHERE i.idf <> 0),
+bs AS MATERIALIZED (SELECT DISTINCT bucket FROM xb),
+st AS MATERIALIZED (SELECT j AS cluster, b AS bucket, {start('j', 'b')} AS c FROM range({k}) a(j), range({dim}) r(b)),
+rest AS MATERIALIZED (SELECT cluster, sum(c * c) AS q FROM st WHERE bucket NOT IN (SELECT bucket FROM bs) GROUP BY cluster),
+c0 AS MATERIALIZED (SELECT cluster, bucket, c, 1.0::DOUBLE AS w FROM st JOIN bs USING (bucket))"""]
+    for b in range(batches):
+        out.append(f"""
+p{b} AS MATERIALIZED (SELECT id, first(cluster ORDER BY d, cluster) AS cluster FROM (
+  SELECT t.id, n.cluster, n.q - 2 * coalesce(sum(x.v * e.c), 0) AS d FROM tr t CROSS JOIN (
+    SELECT cluster, sum(c * c) + any_value(rest.q) / (max(w) * max(w)) AS q FROM c{b} JOIN rest USING (cluster) GROUP BY cluster) n
+  LEFT JOIN xb x ON x.id = t.id LEFT JOIN c{b} e ON e.bucket = x.bucket AND e.cluster = n.cluster
+  WHERE t.id % {batches} = {b} GROUP BY t.id, n.cluster, n.q) GROUP BY id),
+n{b} AS (SELECT cluster, count(*) AS m FROM p{b} GROUP BY cluster),
+s{b} AS (SELECT cluster, bucket, sum(v) AS s FROM xb JOIN p{b} USING (id) GROUP BY ALL),
+c{b + 1} AS MATERIALIZED (SELECT cluster, bucket, (c * w + coalesce(s, 0)) / (w + coalesce(m, 0)) AS c, w + coalesce(m, 0) AS w
+  FROM c{b} LEFT JOIN n{b} USING (cluster) LEFT JOIN s{b} USING (cluster, bucket))""")
+    return ",".join(out) + f" SELECT cluster::INTEGER AS cluster, bucket, round(c, 6) + 0.0 AS value, w AS weight FROM c{batches}"
+
+
+ORACLE["kmeans_text_learn"] = _text_learning(1 << 20, 2, 4, 1 / 1024)
+
 from .oracle_more import register as _register_more  # noqa: E402
 
 _register_more(ORACLE)

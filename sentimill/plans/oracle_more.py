@@ -117,6 +117,20 @@ _NULL_BAD = ", ".join(f"CASE WHEN id % 50 = 0 THEN NULL ELSE {c} END AS {c}"
                       for c in ("id", "polarity", "query", "sender", "text"))
 STREAM_DECODE = TW + f"SELECT {_NULL_BAD}, id % 50 <> 0 AS valid FROM tw"
 
+_FIELD = "('\"' || replace(coalesce({0}::VARCHAR, ''), '\"', '\"\"') || '\"')"
+_FIVE = [_FIELD.format(c) for c in ("polarity", "id", "date", "query", "sender")]
+_TEXT = "regexp_replace(text, '[\\r\\n]', ' ', 'g')"
+_LINE = "concat_ws(',', " + ", ".join([*_FIVE, _FIELD.format(_TEXT)]) + ")"
+PARSE_REJECTS = TW + f"""
+SELECT CASE WHEN id % 50 > 2 THEN id END AS id, CASE WHEN id % 50 > 2 THEN polarity END AS polarity,
+       CASE WHEN id % 50 > 2 THEN {_TEXT} END AS text,
+       CASE id % 50 WHEN 0 THEN 'fields' WHEN 1 THEN 'cast' WHEN 2 THEN 'quote' ELSE 'ok' END AS reason,
+       CASE id % 50 WHEN 0 THEN concat_ws(',', {', '.join(_FIVE)})
+         WHEN 1 THEN concat_ws(',', {_FIVE[0]}, '"x' || id || '"', {', '.join(_FIVE[2:])}, {_FIELD.format(_TEXT)})
+         WHEN 2 THEN {_LINE}[:-2] END AS record
+FROM tw
+"""
+
 REPLAY_ORDER = TW + ("SELECT id, md5('0:' || id::VARCHAR) AS replay_key, "
                      "row_number() OVER (ORDER BY md5('0:' || id::VARCHAR)) - 1 AS place FROM tw")
 POSITIONAL_JOIN = TW + """,
@@ -138,6 +152,7 @@ def register(oracle: dict[str, str]) -> None:
     oracle["kmeans_stream"] = kmeans_stream_sql()
     oracle["parse_lines"] = PARSE_LINES
     oracle["parse_csv"] = TWEETS
+    oracle["parse_rejects"] = PARSE_REJECTS
     oracle["tweet_fields"] = TWEETS
     oracle["wire_encode"] = WIRE
     oracle["stream_decode"] = STREAM_DECODE

@@ -71,6 +71,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/sentimill/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_written: list[str] = []  # folders of intermediates, in order
+
+
 def materialize(df, name: str):
     """Write ``df`` as parquet under the shared folder and return the table read back.
 
@@ -79,5 +82,34 @@ def materialize(df, name: str):
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    _written.append(path)
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> bool:
+    """Delete a folder of the shared storage, where it exists."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True))
+
+
+class Scratch:
+    """Removes what ``materialize`` wrote since the start of the block, when the block ends.
+
+    For a job whose result is stored elsewhere by then::
+
+        with Scratch(spark):
+            result.write.parquet(path)
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+
+    def __enter__(self) -> "Scratch":
+        self.first = len(_written)
+        return self
+
+    def __exit__(self, *error) -> None:
+        for path in _written[self.first:]:
+            remove(self.spark, path)
+        del _written[self.first:]

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sentimill.operators import kmeans as km
+from sentimill.operators import clean
 from sentimill.operators.clean import load_lexicon
 from sentimill.session import scratch_path
 from sentimill.sources import sinks, tweets as tw, wire
@@ -223,3 +224,70 @@ def test_shared_folder_is_required_on_a_cluster():
     sc = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None, getConf=lambda: conf)
     with pytest.raises(RuntimeError):
         shared_dir(SimpleNamespace(sparkContext=sc))
+
+
+def test_large_lexicons_are_joined(spark, monkeypatch):
+    path = scratch_path(spark, "lex")
+    spark.range(1_000_000).selectExpr("concat('w', id, '\t', 'r', id) AS value").write.text(path)
+    with pytest.raises(ValueError):
+        load_lexicon(spark, path)
+    with pytest.raises(ValueError):
+        clean.load_stop_words(spark, path)
+    none = spark.createDataFrame([], "token string, replacement string")
+    df = spark.createDataFrame([(1, "w5 x w5 w999999  W7"), (1, "w5"), (None, ""), (3, None)], "id long, text string")
+    got = clean.preprocess_by_tables(df, ["id"], "text", clean.lexicon_table(spark, path), none).collect()
+    assert {(r.id, r.preprocessed) for r in got} == {(None, ""), (3, None), (1, "r5"), (1, "r5 x w5 r999999  w7")} and len(got) == 4
+    upper = spark.createDataFrame([("W7", "b"), ("W7", "a")], "token string, replacement string").groupBy("token").agg(F.min("replacement").alias("replacement"))
+    got = clean.preprocess_by_tables(df.limit(1), ["id"], "text", none, upper).first()
+    assert got.preprocessed == "w5 x w5 w999999  a"
+
+
+def test_rejected_lines_and_good_ones_are_all_lines(spark):
+    path = scratch_path(spark, "rejects")
+    lines = ['"4","1","d","q","s","he said ""hi"", ok"', '"4","2","d","q","s"', '"4","x","d","q","s","t"', '"","3","d","q","s","t"',
+             '"4","4","d","q","s","open', "", '"4","5","d","q","s","t","more"', "4,6,d,q,s,plain", '"0","7","","","",""']
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(path)
+    good, rejected = tw.read_csv_checked(spark, path)
+    assert {r.id: r.text for r in good.collect()} == {1: 'he said "hi", ok', 6: "plain", 7: ""}
+    assert {r.record: r.reason for r in rejected.collect()} == {
+        lines[1]: "fields", lines[2]: "cast", lines[3]: "cast", lines[4]: "quote", lines[5]: "fields", lines[6]: "fields"}
+
+
+def test_fitted_pipeline_on_a_stream_restarts(spark):
+    from sentimill.operators import naive_bayes as nb
+
+    data = spark.createDataFrame([(["good"], 10), (["good", "fun"], 10), (["bad"], 7), (["sad", "bad"], 7), (["ok"], 300)],
+                                 "terms array<string>, code int")
+    classes = nb.label_indexer(data, "code")
+    for hashing in ("murmur3", "md5"):
+        model = nb.ml_pipeline(64, classes.labels, hashing=hashing).fit(classes.transform(data))
+        assert [int(r.predicted) for r in model.transform(data).collect()] == [10, 10, 7, 7, 300]
+    src, out, job = (scratch_path(spark, n) for n in ("p-in", "p-out", "p-job"))
+    for rows in ([(1, ["good"]), (1, ["good"]), (None, [])], [(4, ["bad"])]):
+        spark.createDataFrame(rows, "id long, terms array<string>").write.mode("append").parquet(src)
+        for _ in range(2):  # the second start finds nothing new
+            jobs.transform_stream(spark.readStream.schema("id long, terms array<string>").parquet(src), model, out, job, ["id", "predicted"])
+    got = sorted((r.id or 0, r.predicted) for r in spark.read.parquet(out).collect())
+    assert [g[0] for g in got] == [0, 1, 1, 4] and got[1:] == [(1, "10"), (1, "10"), (4, "7")]
+
+
+def test_sample_takes_rows_without_a_key(spark):
+    from sentimill.operators import sampling
+
+    df = spark.range(3000).selectExpr("if(id % 3 = 0, null, id) AS id", "string(id) AS text")
+    parts = df.select(sampling.in_sample(F.col("id"), 70).alias("a"), sampling.in_sample(F.col("id"), 70, 0, F.col("text")).alias("b"),
+                      sampling.replay_key(F.col("id")).alias("k"))
+    assert parts.where("a is null or b is null or k is null").count() == 0
+    n = df.where(sampling.in_sample(F.col("id"), 70, 0, F.col("text"))).count()
+    assert abs(n - 2100) < 3 * 25.1
+
+
+def test_scratch_is_removed(spark):
+    from sentimill.session import Scratch, materialize
+
+    with Scratch(spark):
+        t = materialize(spark.range(5), "short")
+        path = t.inputFiles()[0].rsplit("/", 1)[0]
+        assert spark.read.parquet(path).count() == 5
+    with pytest.raises(Exception):
+        spark.read.parquet(path)

@@ -159,3 +159,80 @@ def test_sparse_pca_of_few_documents(spark, tmp_path):
     assert [r.pc for r in pca.project(x.where("id = 2"), none, ["id"]).collect()] == [[0.0, 0.0]]
     got.save(str(tmp_path / "pca"))
     assert pca.Components.load(spark, str(tmp_path / "pca")).axes.collect() == got.axes.collect()
+
+
+def _dense(model, k):
+    """Centres of a sparse model, over all buckets."""
+    from sentimill.operators import sparse_kmeans as skm
+
+    spark = model.moved.sparkSession
+    every = spark.range(model.num_features).select(F.col("id").cast("int").alias("_b")).join(model.moved, F.col("_b") == F.col("bucket"), "left")
+    rows = every.select("_b", *[v.alias(f"c{j}") for j, v in enumerate(skm._values(model, F.col("_b")))]).orderBy("_b").collect()
+    return [[r[f"c{j}"] * model.clusters[j].scale / model.clusters[j].weight for r in rows] for j in range(k)]
+
+
+@pytest.mark.parametrize("decay,unit", [(1.0, "batches"), (0.5, "batches"), (0.9, "points")])
+def test_sparse_learning_equals_dense(spark, monkeypatch, decay, unit):
+    import numpy as np
+
+    from sentimill.operators import sparse_kmeans as skm
+
+    if decay == 0.5:
+        monkeypatch.setattr(skm, "LEAST_SCALE", 0.3)  # scales are multiplied into the coordinates
+    k, dim = 3, 12
+    model = skm.start_model(spark, k, dim, seed=4)
+    c, w = np.array(_dense(model, k)), np.ones(k)
+    assert [x.square for x in model.clusters] == [pytest.approx(s) for s in (c ** 2).sum(axis=1)]
+    rng = np.random.RandomState(1)
+    for batch in range(3):
+        x = rng.rand(9, dim) * (rng.rand(9, dim) < 0.4) * 3
+        x[4] = 0
+        rows = [(i, j, float(x[i, j])) for i in range(9) for j in range(dim) if x[i, j]] + [(4, None, None)]
+        feats = spark.createDataFrame(rows, "id long, bucket int, tfidf double")
+        got = skm.assign(model, feats, ["id"]).persist()
+        near = ((x[:, None] - c[None]) ** 2).sum(axis=2).argmin(axis=1)
+        assert {r.id: r.predicted for r in got.collect()} == dict(enumerate(near.tolist()))
+        model = skm.update(model, got, decay, unit)
+        a = decay ** 9 if unit == "points" else decay
+        m = np.bincount(near, minlength=k)
+        sums = np.array([x[near == j].sum(axis=0) for j in range(k)])
+        c, w = (c * (w * a)[:, None] + sums) / (w * a + m)[:, None], w * a + m
+        assert [v.weight for v in model.clusters] == [pytest.approx(v) for v in w]
+        assert np.allclose(_dense(model, k), c)
+        assert np.allclose([v.square * (v.scale / v.weight) ** 2 for v in model.clusters], (c ** 2).sum(axis=1))
+        got.unpersist()
+    touched = {(r.cluster, r.bucket): r.value for r in skm.centers(model).collect()}
+    assert all(v == pytest.approx(c[j, b]) for (j, b), v in touched.items())
+
+
+def test_sparse_dying_cluster_starts_beside_the_heaviest(spark):
+    from dataclasses import replace
+
+    from sentimill.operators import sparse_kmeans as skm
+
+    model = skm.start_model(spark, 2, 4, seed=1)
+    light = replace(model.clusters[0], weight=1e-12, scale=1e-12)
+    model = replace(model, clusters=(light, replace(model.clusters[1], weight=100.0, scale=100.0)))
+    none = spark.createDataFrame([], "id long, predicted int, items array<struct<bucket: int, x: double>>")
+    out = skm.update(model, none)
+    a, b = _dense(out, 2)
+    assert out.clusters[0].weight == out.clusters[1].weight == pytest.approx(50.0)
+    assert a == pytest.approx(b) and a != b and b == pytest.approx(_dense(model, 2)[1])
+
+
+def test_sparse_versions_survive_a_lost_write(spark):
+    from sentimill.operators import sparse_kmeans as skm
+    from sentimill.session import scratch_path
+
+    job = scratch_path(spark, "sparse-job")
+    model = skm.start_model(spark, 2, 8)
+    state = skm.SparseState(spark, job, model, keep=2)
+    feats = spark.createDataFrame([(1, 3, 2.0)], "id long, bucket int, tfidf double")
+    for b in range(4):
+        old = state.before(b)
+        state.put(skm.update(old, skm.assign(old, feats, ["id"])), b)
+    model.moved.write.parquet(f"{state.path}/moved/lost")  # no version names it
+    again = skm.SparseState(spark, job, model)
+    assert sum(c.weight for c in again.before(99).clusters) == 2 + 4
+    assert sum(c.weight for c in again.before(3).clusters) == 2 + 3
+    assert again.before(2).clusters and spark.read.parquet(f"{state.path}/versions").count() == 5
