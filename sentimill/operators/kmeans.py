@@ -6,9 +6,9 @@ A model is a small table ``(cluster int, center array<double>, weight double)``
 * ``assign``: the centres (k x dim numbers) are one constant of the expression; each row
   picks the nearest centre by squared Euclidean distance, ties to the lowest cluster. No
   join, no shuffle. ``assign_sparse`` does the same for (keys, bucket, value) rows.
-* ``update``: per-cluster counts and per-(cluster, dimension) sums are grouped
-  aggregates (combined inside each task first, so a cluster holding most rows still
-  moves one partial row per task), then
+* ``update``: per-cluster counts and vector sums are one grouped aggregate (combined
+  inside each task first, so a cluster holding most rows still moves one partial row per
+  task), then
   ``c' = (c * w * a + sum) / (w * a + m)``, ``w' = w * a + m`` with ``a`` the decay
   (``a ** m_total`` for time unit "points"); clusters that receive no point keep their
   centre and get weight ``w * a``. A cluster whose weight falls below 1e-8 of the
@@ -74,15 +74,16 @@ def assign(df: DataFrame, centers: DataFrame | Sequence[Sequence[float]],
 
 def batch_stats(assigned: DataFrame, features_col: str = "features",
                 cluster_col: str = "predicted") -> DataFrame:
-    """``(cluster, m, sum array<double>)`` of one batch."""
-    x = assigned.select(F.col(cluster_col).alias("cluster"),
-                        F.posexplode(F.col(features_col).cast("array<double>")).alias("idx", "v"))
-    sums = x.groupBy("cluster", "idx").agg(F.sum("v").alias("s"))
-    counts = assigned.groupBy(F.col(cluster_col).alias("cluster")).agg(F.count("*").alias("m"))
-    vec = sums.groupBy("cluster").agg(
-        F.sort_array(F.collect_list(F.struct("idx", "s"))).alias("_s"))
-    return counts.join(vec, "cluster", "left").select(
-        "cluster", "m", F.transform("_s", lambda e: e["s"]).alias("sum"))
+    """``(cluster, m, sum array<double>)`` of one batch.
+
+    Each task adds up its rows as vectors; a row for each cluster and task is shuffled.
+    """
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    x = assigned.select(F.col(cluster_col).alias("cluster"), array_to_vector(F.col(features_col).cast("array<double>")).alias("v"))
+    g = x.groupBy("cluster").agg(F.count("*").alias("m"), Summarizer.sum(F.col("v")).alias("v"))
+    return g.select("cluster", "m", vector_to_array("v").alias("sum"))
 
 
 def wide_centers(centers: Sequence[Sequence[float]], spark: SparkSession) -> DataFrame:

@@ -514,10 +514,11 @@ def q_parse_lines(spark, sf_dir):
 
 @query("parse_csv")
 def q_parse_csv(spark, sf_dir):
-    """Tweets written as CSV (quoted, doubled-quote escape) and read back."""
+    """Tweets written as CSV (quoted, doubled-quote escape), one record per line, and read back
+    by a scan that splits files (S2)."""
     path = scratch_path(spark, "tweets-csv")
-    tw.write_csv(_plain_tweets(spark, sf_dir), path)
-    return tw.read_csv(spark, path, multi_line=True)
+    tw.write_csv(_plain_tweets(spark, sf_dir), path, one_line=True)
+    return tw.read_csv(spark, path, one_line=True)
 
 
 @query("parse_rejects")

@@ -112,22 +112,38 @@ def read_raw_lines(spark: SparkSession, path: str) -> DataFrame:
 
 # ------------------------------------------------------------------ CSV files
 
-def write_csv(df: DataFrame, path: str) -> None:
-    (df.select([F.col(f.name).cast("string") for f in RAW_SCHEMA])
+# a record on one line: codes of backslash, line feed and carriage return
+_CODES = (("\\", "\\b"), ("\n", "\\n"), ("\r", "\\r"))
+
+
+def write_csv(df: DataFrame, path: str, one_line: bool = False) -> None:
+    """Quoted CSV. With ``one_line`` line breaks in fields are written as ``\\n`` and ``\\r`` (and
+    a backslash as ``\\b``), so that large files can be split where they are read."""
+    def field(name: str) -> Column:
+        c = F.col(name).cast("string")
+        for mark, code in _CODES if one_line else ():
+            c = F.replace(c, F.lit(mark), F.lit(code))
+        return c.alias(name)
+
+    (df.select([field(f.name) for f in RAW_SCHEMA])
        .write.mode("errorifexists").option("quoteAll", True).option("escape", '"').csv(path))
 
 
-def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, multi_line: bool = False, one_line: bool = False) -> DataFrame:
     """Quote-aware CSV scan (``,`` separator, ``"`` quote, doubled quote escape).
 
-    The scan is split by byte ranges, with one record per line. ``multi_line`` allows line
-    breaks inside quoted texts; such files are read one task per file, so large inputs
-    should be written as many files.
+    The scan is split by byte ranges, with one record per line; ``one_line`` turns the codes
+    of ``write_csv`` back into line breaks. ``multi_line`` reads line breaks inside quoted
+    texts as they are; such files are read one task per file, so large inputs should come as
+    many files, or with ``one_line``.
     """
     raw = (spark.read.schema(RAW_SCHEMA).option("quote", '"').option("escape", '"')
            .option("multiLine", multi_line).option("mode", "PERMISSIVE")
            # CSV has no NULL: an empty field is an empty string, as in Python's csv module
            .option("nullValue", "\u0000\u0001").csv(path))
+    if one_line:
+        for mark, code in reversed(_CODES):
+            raw = raw.select(*[F.replace(F.col(f.name), F.lit(code), F.lit(mark)).alias(f.name) for f in RAW_SCHEMA])
     return raw.select(F.col("polarity").try_cast("int").alias("polarity"),
                       F.col("id").try_cast("bigint").alias("id"),
                       "date", "query", "sender", "text")

@@ -30,6 +30,11 @@ def test_csv_roundtrip_keeps_quotes_and_newlines(spark):
     tw.write_csv(df, path)
     back = sorted(tuple(r) for r in tw.read_csv(spark, path, multi_line=True).collect())
     assert back == sorted(rows)
+    # one record per line: any text comes back, and the file can be split
+    rows += [(4, 4, "d", "q", "s", "a\\nb\nc\r\nd\\\\n,\"x\"\\"), (0, 5, "", "q", "s", "\\b\\\n")]
+    tw.write_csv(spark.createDataFrame(rows, tw.TWEET_SCHEMA).coalesce(1), path + "-lines", one_line=True)
+    assert sorted(tuple(r) for r in tw.read_csv(spark, path + "-lines", one_line=True).collect()) == sorted(rows)
+    assert spark.read.text(path + "-lines").count() == len(rows)
 
 
 def test_wire_decode_quarantines(spark):
