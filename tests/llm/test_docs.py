@@ -117,6 +117,51 @@ def test_model_separates_hard_negatives_and_redacts():
     assert pii.redact(t, pii.find([t], model)[0]) == 'password = "[secret]" and [ip]'
 
 
+def test_generators_propose_the_items_of_a_row():
+    rng = np.random.RandomState(4)
+
+    def card():
+        while True:
+            d = "4" + "".join(map(str, rng.randint(0, 10, 15)))
+            if pii.luhn(d):
+                sep = ["", " ", "-"][rng.randint(3)]
+                return sep.join(d[i:i + 4] for i in range(0, 16, 4))
+
+    def phone():
+        a, b, c = rng.randint(200, 999), rng.randint(200, 999), rng.randint(1000, 9999)
+        return [f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"+1 {a} {b} {c}", f"{a}.{b}.{c}"][rng.randint(4)]
+
+    makers = {"card": card, "phone": phone, "ip": lambda: ".".join(str(x) for x in rng.randint(1, 256, 4))}
+    for _ in range(200):
+        kind = list(makers)[rng.randint(3)]
+        text, want = "x ", []
+        for _ in range(rng.randint(1, 6)):
+            item = makers[kind]()
+            want.append((kind, len(text), len(text) + len(item)))
+            text += item + " "
+        proposed = {s[:3] for s in pii.base_spans(text)} | set(pii.added_candidates(text))
+        assert set(want) <= proposed, text
+    digits = "12 345 6789 01 2345 678 " * 4000  # linear in the text
+    assert len(pii.added_candidates(digits)) < 60 * 4000
+
+
+@pytest.mark.parametrize("text,kind,items", [
+    ("call (212) 555-0100 (646) 555-0199 now", "phone", ["(212) 555-0100", "(646) 555-0199"]),
+    ("card 4111 1111 1111 1111 5500 0000 0000 0004 paid", "card", ["4111 1111 1111 1111", "5500 0000 0000 0004"]),
+    ("cards: 4111111111111111 5500000000000004 340000000000009", "card", ["4111111111111111", "5500000000000004"])])
+def test_items_in_rows_are_found(pii_model, text, kind, items):
+    found = [text[a:b] for k, a, b, *_ in pii.find([text], pii_model)[0] if k == kind]
+    assert set(items) <= set(found)
+
+
+def test_sample_is_bounded_in_candidates(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(pii, "train", lambda examples: seen.append(len(examples)))
+    text = "1.2.3.4, 10.20.30.40, 4111 1111 1111 1111, " * 3000
+    pii.fit(spark.createDataFrame([(1, text), (2, text + "x")], "doc_id long, text string"))
+    assert 0 < seen[0] - len(pii.synthetic()) <= 2 * pii.SAMPLE_CANDIDATES
+
+
 @pytest.fixture(scope="module")
 def pii_model():
     return pii.train([(pii.features(k, t, a, b), y) for k, t, a, b, y in pii.synthetic()])
@@ -357,11 +402,44 @@ def test_packing(docs, texts, messy, empty):
     assert packing.pack(empty).count() == 0
 
 
-def test_length_bins_rise(spark):
-    n = [*range(0, 3_000), 4095, 4096, 4097, 65_535, 65_536, 10 ** 9, 10 ** 12]
-    got = [r.b for r in spark.createDataFrame([(x,) for x in n], "n long").coalesce(1).select(
-        packing.length_bin(F.col("n")).alias("b")).collect()]
-    assert got == sorted(got) and got[:1025] == list(range(1025)) and got[-1] < 12_000
+def least_padding(lengths, k):
+    """By the plain recursion over the distinct lengths, in whole numbers."""
+    n = Counter(lengths)
+    size = sorted(n)
+    docs, toks = [0], [0]
+    for x in size:
+        docs.append(docs[-1] + n[x])
+        toks.append(toks[-1] + x * n[x])
+    best = [0] + [math.inf] * len(size)
+    for _ in range(k):
+        best = [0] + [min(best[i] + size[j - 1] * (docs[j] - docs[i]) - toks[j] + toks[i] for i in range(j)) for j in range(1, len(size) + 1)]
+    return best[-1]
+
+
+def test_padding_of_long_lengths_is_the_least():
+    rng = np.random.RandomState(2)
+    for k in (1, 2, 5, 8):
+        lengths = np.concatenate([rng.randint(0, 3_000, 200), (rng.pareto(1.0, 150) * 900).astype(int).clip(0, 10 ** 7)]).tolist()
+        n = sorted(Counter(lengths).items())
+        ends = packing.boundaries([c for _, c in n], [x * c for x, c in n], [x for x, _ in n], k)
+        tops = [n[e][0] for e in ends]
+        assert len(ends) <= k and sum(min(t for t in tops if t >= x) - x for x in lengths) == least_padding(lengths, k)
+
+
+def test_packing_query_pads_least(spark):
+    rows = [(i, "w " * n) for i, n in enumerate([0, 1, 5, 900, 1023, 1024, 1025, 1026, 1300, 2047, 2048, 2049, 5000, 5001, 9999, 20_000] * 2 + [7] * 30)]
+    got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), buckets=5).collect()
+    assert sum(r.bucket_length - r.n_tokens for r in got) == least_padding([r.n_tokens for r in got], 5)
+    check_packing(got, packing.BUDGET)
+
+
+def test_packing_spreads_a_hot_id(spark, monkeypatch):
+    monkeypatch.setattr(packing, "HOT_ID", 100)
+    df = spark.range(3000).selectExpr("if(id % 3 = 0, null, id) AS doc_id", "'one text' AS text")
+    got = packing.pack(df, budget=64)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert got.count() == 3000 and "_hot" in plan
+    check_packing(got.collect(), 64)
 
 
 # ------------------------------------------------------------------ op7
@@ -398,6 +476,20 @@ def test_poisson_mixing(spark, docs, messy, empty):
     assert mixing.mix(empty).count() == 0
 
 
+def test_mixing_of_null_and_repeated_ids(spark):
+    """Rows that share an id draw apart: the counts are those of independent draws."""
+    n = 6_000
+    for ident in ("if(id % 3 = 0, null, id)", "if(id % 3 = 0, 7000, id)"):
+        df = spark.range(n).selectExpr(f"{ident} AS doc_id", "concat('text ', if(id % 2 = 0, '', string(id))) AS text", "'a' AS source")
+        got = mixing.mix(df)
+        total, hot = got.count(), got.where("doc_id is null or doc_id = 7000").count()
+        assert abs(total - n) < 3 * math.sqrt(n) and abs(hot - n / 3) < 3 * math.sqrt(n / 3)
+        assert got.select("mix_key").distinct().count() == total
+        sizes = [len(p) for p in got.rdd.glom().collect()]
+        assert max(sizes) < 2 * total / len(sizes)
+        assert [tuple(r) for r in mixing.mix(df).orderBy("mix_key").collect()] == [tuple(r) for r in got.orderBy("mix_key").collect()]
+
+
 def test_mixing_query_keeps_whole_documents(spark, docs):
     got = queries.QUERIES["op7_poisson_mixing"](spark, DOCS.rsplit("/", 1)[0])
     assert got.columns == docs.columns + ["mix_rate", "mix_copy", "mix_key"]
@@ -462,6 +554,81 @@ def test_exact_dedup(spark, docs, texts, messy, empty, monkeypatch):
 
 # ------------------------------------------------------------------ op10
 
+def as_expression(markup):
+    """A template as a plain regular expression over words that are each followed by a blank."""
+    out = []
+    for t in re.findall(r"\[\[|\]\]|\{\{[0-9-]+\}\}|[0-9a-z\x80-\U0010FFFF]+", markup.lower()):
+        if t == "[[":
+            out.append("(?:")
+        elif t == "]]":
+            out.append(")?")
+        elif t.startswith("{{"):
+            least, _, most = t[2:-2].rpartition("-")
+            out.append(f"(?:[^ ]+ ){{{least or 1},{most}}}")
+        else:
+            out.append(f"{t} ")
+    return re.compile("(?:^|(?<= ))" + "".join(out))
+
+
+def drawn(markup, rng):
+    """A text that a template describes."""
+    out, depth, skip = [], 0, None
+    for t in re.findall(r"\[\[|\]\]|\{\{[0-9-]+\}\}|[^\s\[\]{}]+", markup):
+        if t == "[[":
+            depth += 1
+            if skip is None and rng.rand() < 0.5:
+                skip = depth
+        elif t == "]]":
+            skip = None if skip == depth else skip
+            depth -= 1
+        elif skip is None and t.startswith("{{"):
+            least, _, most = t[2:-2].rpartition("-")
+            out += [str(rng.randint(1, 9)) for _ in range(rng.randint(int(least or 1), int(most) + 1))]
+        elif skip is None:
+            out.append(t)
+    return out
+
+
+def test_templates_against_regular_expressions(spark):
+    rng = np.random.RandomState(8)
+    expressions = [(label, as_expression(t)) for label, t in license.TEMPLATES]
+    rows = []
+    for _, t in license.TEMPLATES * 4:
+        words = drawn(t, rng)
+        if rng.rand() < 0.4 and len(words) > 3:  # one word is missing or another
+            at = rng.randint(len(words))
+            words[at:at + 1] = [] if rng.rand() < 0.5 else ["other"]
+        rows.append((len(rows), " ".join(["some", "text", *words, *drawn(license.TEMPLATES[rng.randint(len(license.TEMPLATES))][1], rng)])))
+    got = {r.doc_id: r.labels for r in license.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    some = 0
+    for i, text in rows:
+        words = "".join(f"{w} " for w in WORD.findall(lower(text)))
+        want = {label for label, x in expressions if x.search(words)} | {label for phrase, label in license.BASE if f" {phrase} " in f" {words}"}
+        assert got[i] == ",".join(sorted(want)), text
+        some += len(want)
+    assert some > len(rows)
+
+
+@pytest.mark.parametrize("text,label", [
+    ("Licensed under a Creative Commons Attribution 4.0 International License.", "cc-by"),
+    ("This work is under the Creative Commons Attribution-NonCommercial-ShareAlike 4.0 license", "cc-by-nc"),
+    ("a Creative Commons Attribution-ShareAlike 3.0 Unported License", "cc-by-sa"),
+    ("This file is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+     "published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.", "gpl"),
+    ("under the terms of the GNU Lesser General Public License as published", "gpl,lgpl"),
+    ("the GNU Affero General Public License", "agpl,gpl"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy", "mpl-2.0"),
+    ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided "
+     "that the above copyright notice and this permission notice appear in all copies.", "isc"),
+    ("This is free and unencumbered software released into the public domain.", "unlicense"),
+    ("// SPDX-License-Identifier: BSD-2-Clause", "bsd-2-clause"),
+    ("a creative writing class: attribution 4 points, common sense 3", "")])
+def test_common_notices(text, label):
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([text])], names=["id", "text"])
+    out = list(license._scan(license.Scanner.of())(iter([batch])))[0]
+    assert out.column(6).to_pylist() == [label]
+
+
 def test_templates():
     a = license.compile_template("t", "grant [[all of]] rights to {{1-3}} under [[the [[old]] law]] end")
 
