@@ -2,14 +2,15 @@
 
 Texts are equal when they are identical after each run of blanks, tabs and line ends is
 replaced by one space. Pass 1 counts the rows that fall on each of the filter's positions
-(two per text hash; a grouped count, which combines inside the tasks) and keeps a bit for
-the positions that were hit twice. Pass 2 tests every row against these bits: a row with
+(one for each text hash: a grouped count of one number a row, which combines inside the
+tasks) and keeps a bit for the positions that were hit twice. Pass 2 tests every row against these bits: a row with
 an unset bit has no equal, and passes straight through; only the others shuffle by their
 hash. There are no false negatives, so the result is exact for any filter size.
 
-The bits are a table of 4 KB bitmaps. It is broadcast: 16 bits a row, at most ``MAX_BITS``
-(64 MB) at any input size. Beyond ``MAX_BITS / 16`` rows more rows without an equal pass
-through the shuffle too; the result stays the same.
+The bits are a table of 4 KB bitmaps. It is broadcast: 32 to 64 bits a row, so 3 % of the rows
+without an equal at most share a position, in at most ``MAX_BITS`` (64 MB) at any input
+size. Beyond ``MAX_BITS / 32`` rows more rows without an equal pass through the shuffle too;
+the result stays the same.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
-BITS_PER_ROW = 16
+BITS_PER_ROW = 32
 MAX_BITS = 1 << 29
 MIN_BITS = 1 << 15
 _MAP_BITS = 32768  # bits of one bitmap
@@ -35,13 +36,13 @@ def text_digest(text: Column) -> Column:
     return F.sha2(normalised(text), 256)
 
 
-def _positions(digest: Column, n_bits: int) -> list[Column]:
-    return [F.pmod(F.xxhash64(digest, F.lit(seed)), F.lit(n_bits).cast("bigint")) for seed in (1, 2)]
+def _position(digest: Column, n_bits: int) -> Column:
+    return F.pmod(F.xxhash64(digest, F.lit(1)), F.lit(n_bits).cast("bigint"))
 
 
 def repeated_bits(digests: DataFrame, digest: str, n_bits: int) -> DataFrame:
     """(map, bits): bitmaps of the filter positions that at least two rows fall on."""
-    at = digests.select(F.explode(F.array(*_positions(F.col(digest), n_bits))).alias("at"))
+    at = digests.select(_position(F.col(digest), n_bits).alias("at"))
     twice = at.groupBy("at").agg(F.count("*").alias("n")).where("n > 1")
     return twice.groupBy(F.expr(f"at div {_MAP_BITS}").alias("map")).agg(
         F.bitmap_construct_agg(F.expr(f"at % {_MAP_BITS}")).alias("bits"))
@@ -56,24 +57,21 @@ def filter_bits(n_rows: int) -> int:
 def with_maybe_repeated(df: DataFrame, digest: str, bits: DataFrame, n_bits: int,
                         out: str = "_maybe") -> DataFrame:
     """``df`` plus a flag: false where no other row can have the same digest."""
-    flags = []
-    for k, at in enumerate(_positions(F.col(digest), n_bits)):
-        side = F.broadcast(bits.select(F.col("map").alias(f"_map{k}"), F.col("bits").alias(f"_bits{k}")))
-        df = df.withColumn(f"_at{k}", at).withColumn(f"_key{k}", F.expr(f"_at{k} div {_MAP_BITS}"))
-        df = df.join(side, F.col(f"_key{k}") == F.col(f"_map{k}"), "left")
-        byte = F.expr(f"conv(hex(substring(_bits{k}, cast((_at{k} % {_MAP_BITS}) div 8 as int) + 1, 1)), 16, 10)")
-        flags.append(F.coalesce(F.getbit(byte.cast("bigint"), F.expr(f"cast(_at{k} % 8 as int)")) == 1, F.lit(False)))
-    df = df.withColumn(out, flags[0] & flags[1])
-    return df.drop(*[f"{c}{k}" for c in ("_at", "_key", "_map", "_bits") for k in (0, 1)])
+    side = F.broadcast(bits.select(F.col("map").alias("_map"), F.col("bits").alias("_bits")))
+    df = df.withColumn("_at", _position(F.col(digest), n_bits)).withColumn("_key", F.expr(f"_at div {_MAP_BITS}"))
+    df = df.join(side, F.col("_key") == F.col("_map"), "left")
+    byte = F.expr(f"conv(hex(substring(_bits, cast((_at % {_MAP_BITS}) div 8 as int) + 1, 1)), 16, 10)")
+    set_ = F.getbit(byte.cast("bigint"), F.expr("cast(_at % 8 as int)")) == 1
+    return df.withColumn(out, F.coalesce(set_, F.lit(False))).drop("_at", "_key", "_map", "_bits")
 
 
 def dedup_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: (id, keep_id, group_size, kept, text_sha256).
 
     Null texts count as empty. Of rows with the same text and id exactly one is kept; a
-    null id counts as larger than any other. An empty table gives an empty table; other
-    columns are not looked at. Texts are read once: their digests are written to the
-    shared folder, and both passes read those.
+    null id counts as larger than any other; of repeated rows any one stays. Texts of any
+    length are read whole, and once: their digests are written to the shared folder, and both
+    passes read those. An empty table gives an empty table; other columns are not looked at.
     """
     h = materialize(docs.select(F.col(id_col).alias("id"), text_digest(F.col(text_col)).alias("sha"),
                                 F.monotonically_increasing_id().alias("row")), "digests")

@@ -132,3 +132,23 @@ def test_pipeline(spark, tmp_path):
     assert kept[4] == kept[3] <= kept[2]
     assert {r.doc_id for r in cp.run(spark, str(tmp_path)).collect()} == kept[4]
     assert dedup.keep_first(docs.limit(0)).count() == 0
+
+
+def test_pipeline_stages_on_messy_rows(spark, messy, empty):
+    """Null and repeated ids, null texts, empty tables and clashing names, stage by stage."""
+    import corpus_pipeline as cp
+    from pyspark.sql import functions as F
+
+    clash = messy.withColumn("mix_rate", F.lit("mine")).withColumn("a.b", F.lit(1)).withColumn("bucket", F.lit("own"))
+    for name, stage in cp.STAGES:
+        out = stage(spark, clash, "")
+        none = stage(spark, clash.limit(0), "")
+        assert none.count() == 0
+        if name == "packing":
+            assert out.count() == clash.count()
+            continue
+        assert out.columns == clash.columns == none.columns
+        rows = {tuple(r) for r in clash.collect()}
+        assert {tuple(r) for r in out.collect()} <= rows
+    kept = cp.mixing_stage(spark, clash.withColumn("source", F.lit("one")), "")
+    assert kept.where("mix_rate <> 'mine'").count() == 0

@@ -300,6 +300,41 @@ def test_fingerprint_messy(messy, empty, spark):
     assert Counter(r.doc_id for r in fingerprint.fingerprints(messy).collect()) == Counter(r[0] for r in ROWS)
 
 
+def slow_chunks(data):
+    """Byte by byte: the gear hash, and a cut where it has enough zero bits for the size so far."""
+    out, start, h, hashes = [], 0, 0, []
+    for b in data:
+        h = ((h << 1) + int(fingerprint._GEAR[b])) & 0xFFFFFFFF
+        hashes.append(h)
+    for end in range(1, len(data) + 1):
+        size, zeros = end - start, 32 - hashes[end - 1].bit_length()
+        if len(data) - start <= fingerprint.LEAST:
+            break
+        if size >= fingerprint.LEAST and (zeros >= fingerprint.STRICT if size < fingerprint.NORMAL else
+                                          zeros >= fingerprint.LOOSE or size == fingerprint.MOST) or end == len(data):
+            out.append((start, end))
+            start = end
+    return out + [(start, len(data))] * (start < len(data))
+
+
+def test_chunks_against_a_byte_by_byte_chunker(texts):
+    rng = np.random.RandomState(6)
+    made = [rng.bytes(n) for n in (0, 1, 24, 25, 56, 57, 192, 193, 5000)] + [b"a" * 1000, b"ab" * 700]
+    for data in made + [t.encode() for t in list(texts.values())[:40]]:
+        assert fingerprint.chunks(data[:6000]) == slow_chunks(data[:6000])
+
+
+def test_fingerprints_of_a_hot_id_are_spread(spark):
+    rows = spark.range(3000).selectExpr("if(id % 3 = 0, null, id) AS doc_id", "concat('text number ', id) AS text")
+    got = fingerprint.compare_with_next(rows)
+    assert got.count() == 3000
+    edges = fingerprint._edges(rows.selectExpr("coalesce(doc_id, -1L) AS key", "xxhash64(text) AS h"), 8)
+    assert len(edges) >= 7 and sum(e[0] == -1 for e in edges) >= 2
+    # the order is one cycle: each text is the next of exactly one
+    nexts = {r.near_next for r in got.collect()}
+    assert all(0 <= x <= 1 for x in nexts)
+
+
 # ------------------------------------------------------------------ op5
 
 def brute_classes(rows):
@@ -531,6 +566,37 @@ def test_shards_prune(docs):
     assert sum(per) < 0.75 * 8 * len({r.lang for r in got}) * len({r.source for r in got})
 
 
+def test_sharding_against_brute_force(docs):
+    import xxhash
+
+    def key(text):
+        return int.from_bytes(xxhash.xxh64(text.encode(), seed=42).digest(), "big", signed=True)
+
+    rows = docs.select("doc_id", "text", "source", "lang").collect()
+    first = {}
+    for r in sorted(rows, key=lambda r: r.doc_id):
+        first.setdefault(r.text or "", r)
+    digits, states = sharding.curve_table(3)
+
+    def curve(r):
+        f, size = first[r.text or ""], len((r.text or "").encode()) + 1
+        cells = [key("\0" if f.source is None else f.source) % 64, key("\0" if f.lang is None else f.lang) % 64,
+                 min(63, math.floor(math.log2(size) * 2))]
+        h = state = 0
+        for level in range(5, -1, -1):
+            at = state * 8 + sum((c >> level & 1) << k for k, c in enumerate(cells))
+            h, state = h * 8 + digits[at], states[at]
+        return h, key(r.text or ""), r.doc_id
+    order = sorted(rows, key=curve)
+    n, want = len(rows), {}
+    for idx, r in enumerate(order):
+        s = idx * 8 // n
+        data = (r.text or "").encode()
+        want[r.doc_id] = (len(data) + 1, zlib.crc32(data), s, idx - -(-s * n // 8))
+    got = {r.doc_id: (r["size"], r.text_crc32, r.shard, r.slot) for r in sharding.shard(docs, 8).collect()}
+    assert got == want
+
+
 # ------------------------------------------------------------------ op9
 
 def test_exact_dedup(spark, docs, texts, messy, empty, monkeypatch):

@@ -92,6 +92,27 @@ def test_other_tokenizers_get_whole_texts():
     assert ids_of(texts, encoder) == [e.ids for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_runs_are_cut_into_segments_of_whole_documents(monkeypatch):
+    from types import SimpleNamespace
+
+    monkeypatch.setattr(tokenbin, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 3)))
+    monkeypatch.setattr(tokenbin, "SEGMENT", 60)
+    texts = [f"text {i} " * (i % 9) for i in range(50)] + ["a long text " * 30, "", "end"]
+    with open(MODEL, encoding="utf-8") as f:
+        model = SimpleNamespace(value=f.read())
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["id", "text"])
+    rows = list(tokenbin._segments(model, 0)(iter([batch, batch.slice(0, 2)])))
+    assert len(rows) > 20 and [r.column(1)[0].as_py() for r in rows] == list(range(len(rows)))
+    start, seen = 0, []
+    for r in rows:
+        assert r.column(0)[0].as_py() == 3 and r.column(2)[0].as_py() == start
+        start += r.column(3)[0].as_py()
+        for docs, ids, ends, _ in tokenbin._documents(r):
+            seen += zip(docs.to_pylist(), [x.tolist() for x in np.split(ids, ends[:-1])])
+    want = [x + [0] for x in ids_of(texts, _encoder())]
+    assert seen == [*enumerate(want), (0, want[0]), (1, want[1])]
+
+
 def test_files_of_messy_rows(spark, messy):
     path = scratch_path(spark, "tokens")
     tokenbin.write(messy, path, MODEL)
