@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -126,16 +127,38 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
 
-def _number_below(x: Column, edges: list[int]) -> Column:
-    """How many of the sorted ``edges`` are below x, by binary search."""
+_LAST = (1 << 63) - 1
+
+
+def _edges(t: DataFrame, parts: int) -> list[tuple[int, int]]:
+    """At most ``parts`` - 1 cuts of the rows by (key, h): quantiles of the key, and within a key
+    that holds several of them quantiles of h. A row for each such key reaches the driver."""
+    if parts < 2:
+        return []
+    grid, exact = [i / parts for i in range(1, parts)], max(10_000, 20 * parts)
+    cuts = t.agg(F.percentile_approx("key", grid, exact)).first()[0] or []
+    times = Counter(cuts)
+    hot = [k for k, n in times.items() if n > 1]
+    edges = {(k, _LAST) for k in times}
+    if hot:
+        inner = t.where(F.col("key").isin(hot)).groupBy("key").agg(F.percentile_approx("h", grid, exact).alias("cuts"))
+        for k, own in inner.collect():
+            edges |= {(k, own[i * len(own) // times[k]]) for i in range(times[k])}
+    return sorted(edges)
+
+
+def _number_below(key: Column, h: Column, edges: list[tuple[int, int]]) -> Column:
+    """How many of the sorted ``edges`` are below (key, h), by binary search."""
     if not edges:
         return F.lit(0)
-    table = F.array(*[F.lit(e).cast("bigint") for e in edges])
+    keys, hashes = (F.array(*[F.lit(e[i]).cast("bigint") for e in edges]) for i in (0, 1))
     steps = F.sequence(F.lit(len(edges).bit_length() - 1), F.lit(0), F.lit(-1))
 
     def step(at: Column, k: Column) -> Column:
         to = at + F.pow(F.lit(2.0), k).cast("int")
-        return F.when((to <= len(edges)) & (F.get(table, F.least(to, F.lit(len(edges))) - 1) < x), to).otherwise(at)
+        i = F.least(to, F.lit(len(edges))) - 1
+        below = (F.get(keys, i) < key) | ((F.get(keys, i) == key) & (F.get(hashes, i) < h))
+        return F.when((to <= len(edges)) & below, to).otherwise(at)
 
     return F.aggregate(steps, F.lit(0), step)
 
@@ -144,33 +167,34 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """(id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next).
 
     Each text is compared with its edited form and with the next text, in ascending order
-    of id (an integer; null first), then text; the last one's next is the first. A null
-    text counts as empty; repeated rows follow each other. A single row is its own next; an
-    empty table gives an empty table. Other columns are not looked at.
-
-    Quantiles of the ids cut the order into parts; a part goes to one task, sorted, along
-    with one copy of the first row of the part behind it. So every text is shuffled once.
+    of id (an integer; null first), then of a hash of the text. A null text counts as empty;
+    the last one's next is the first; repeated rows follow each other. A single row is its
+    own next; texts of any length are compared whole; an empty table gives an empty table.
+    Other columns are not looked at.
+
+    Quantiles of the ids, and of the hashes within an id that many rows share, cut the order
+    into parts; a part goes to one task, sorted, along with the first row of the part behind
+    it. So every text is shuffled once.
     """
     t = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("bigint"), F.lit(-(1 << 63)).cast("bigint")).alias("key"),
                     F.col(f"`{id_col}`").cast("bigint").alias("id"),
                     F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    edges = []
-    if parts > 1:
-        cuts = t.agg(F.percentile_approx("key", [i / parts for i in range(1, parts)], max(10_000, 20 * parts))).first()[0]
-        edges = sorted(set(cuts or []))
-    part = _number_below(F.col("key"), edges).cast("int")
-    firsts = dict(t.select("key", part.alias("part")).groupBy("part").agg(F.min("key")).collect())  # a row per part
+    t = t.withColumn("h", F.xxhash64("text"))
+    edges = _edges(t, max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    part = _number_below(F.col("key"), F.col("h"), edges).cast("int")
+    # a row for each part
+    firsts = {r.part: tuple(r.first) for r in t.select(part.alias("part"), F.struct("key", "h").alias("row")).groupBy("part")
+              .agg(F.min("row").alias("first")).collect()}
     order = sorted(firsts)
     also = F.lit(None).cast("int")
     if order:
-        ahead = F.create_map(*[x for i, p in enumerate(order) for x in (F.lit(firsts[p]).cast("bigint"), F.lit(order[i - 1]))])
-        also = F.element_at(ahead, F.col("key"))
-    rows = t.select("id", "key", "text", F.explode(F.filter(
+        ahead = F.create_map(*[x for i, p in enumerate(order) for x in (F.lit("{}:{}".format(*firsts[p])), F.lit(order[i - 1]))])
+        also = F.element_at(ahead, F.concat_ws(":", "key", "h"))
+    rows = t.select("id", "key", "h", "text", F.explode(F.filter(
         F.array(F.struct(part.alias("part"), F.lit(False).alias("extra")), F.struct(also.alias("part"), F.lit(True).alias("extra"))),
         lambda x: x["part"].isNotNull())).alias("to"))
-    rows = rows.select(F.col("to.part").alias("part"), F.col("to.extra").alias("extra"), "key", "id", "text")
-    dealt = rows.repartitionById(max(1, len(edges) + 1), "part").sortWithinPartitions("part", "extra", "key", "text")
+    rows = rows.select(F.col("to.part").alias("part"), F.col("to.extra").alias("extra"), "key", "h", "id", "text")
+    dealt = rows.repartitionById(max(1, len(edges) + 1), "part").sortWithinPartitions("part", "extra", "key", "h", "text")
     out = dealt.select("part", "extra", "id", "text").mapInArrow(
         _compare, "id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
                   "near_edited double, near_next double")
