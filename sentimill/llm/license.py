@@ -29,9 +29,17 @@ BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public l
 
 #: fixed values: wording of public licenses and notices, with markup
 TEMPLATES = (
+    ("agpl", "GNU Affero General Public License [[as published by the Free Software Foundation]]"),
     ("apache-2.0", "Licensed under the Apache License, Version 2.0 [[(the \"License\"); you may not use this file except in "
                    "compliance with the License. You may obtain a copy of the License at [[http://www.apache.org/licenses/LICENSE-2.0]]"
                    "[[https://www.apache.org/licenses/LICENSE-2.0]]]]"),
+    ("apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
+    ("bsd-2-clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+                     "the following conditions are met: {{0-4}} Redistributions of source code must retain the above copyright "
+                     "notice, this list of conditions and the following disclaimer. {{0-4}} Redistributions in binary form must "
+                     "reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+                     "documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY"),
+    ("bsd-2-clause", "SPDX-License-Identifier: BSD-2-Clause"),
     ("bsd-3-clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
                      "the following conditions are met: {{0-4}} Redistributions of source code must retain the above copyright "
                      "notice, this list of conditions and the following disclaimer. {{0-4}} Redistributions in binary form must "
@@ -39,10 +47,34 @@ TEMPLATES = (
                      "documentation and/or other materials provided with the distribution. {{0-4}} Neither the name of "
                      "{{1-12}} nor the names of [[its]] contributors may be used to endorse or promote products derived from this "
                      "software without specific prior written permission."),
+    ("bsd-3-clause", "SPDX-License-Identifier: BSD-3-Clause"),
+    ("bsl-1.0", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and "
+                "accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, "
+                "execute, and transmit the Software"),
+    ("bsl-1.0", "Distributed under the Boost Software License, Version 1.0"),
     ("cc-by", "Licensed under [[the]] [[a]] [[Creative Commons]] [[CC]] BY {{1}} 0 [[International]] [[License]]"),
+    ("cc-by", "Creative Commons Attribution {{1}} 0 [[International]] [[Unported]] [[License]]"),
     ("cc-by-nc", "Licensed under [[the]] [[a]] [[Creative Commons]] [[CC]] BY NC [[SA]] [[ND]] {{1}} 0 [[International]] [[License]]"),
+    ("cc-by-nc", "Creative Commons Attribution NonCommercial [[ShareAlike]] [[NoDerivatives]] {{1}} 0 [[International]] [[Unported]] "
+                 "[[License]]"),
+    ("cc-by-nc", "Creative Commons Attribution Non-Commercial [[Share Alike]] [[No Derivatives]] {{1}} 0 [[International]] [[Unported]] "
+                 "[[License]]"),
+    ("cc-by-nd", "Creative Commons Attribution NoDerivatives {{1}} 0 [[International]] [[License]]"),
+    ("cc-by-nd", "Creative Commons Attribution NoDerivs {{1}} 0 [[Unported]] [[License]]"),
+    ("cc-by-sa", "Licensed under [[the]] [[a]] [[Creative Commons]] [[CC]] BY SA {{1}} 0 [[International]] [[License]]"),
+    ("cc-by-sa", "Creative Commons Attribution ShareAlike {{1}} 0 [[International]] [[Unported]] [[License]]"),
+    ("cc-by-sa", "Creative Commons Attribution Share-Alike {{1}} 0 [[International]] [[Unported]] [[License]]"),
+    ("cc0-1.0", "CC0 1.0 Universal"),
+    ("cc0-1.0", "waived all copyright and related or neighboring rights to this work"),
+    ("epl-2.0", "made available under the terms of the Eclipse Public License [[v]] [[version]] 2.0"),
     ("gpl", "Licensed under [[the terms of]] the GNU General Public License [[as published by the Free Software Foundation]] "
             "[[[[either]] version {{1}} [[0]] [[of the License]] [[or (at your option) any later version]]]]"),
+    ("gpl", "redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software "
+            "Foundation[[; either version {{1}} of the License[[, or (at your option) any later version]]]]"),
+    ("isc", "Permission to use, copy, modify, and[[/or]] distribute this software for any purpose with or without fee is hereby "
+            "granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("lgpl", "GNU Lesser General Public License [[as published by the Free Software Foundation]]"),
+    ("lgpl", "GNU Library General Public License [[as published by the Free Software Foundation]]"),
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
             "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation "
             "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to "
@@ -50,6 +82,14 @@ TEMPLATES = (
             "notice and this permission notice [[(including the next paragraph)]] shall be included in all copies or substantial "
             "portions of the Software."),
     ("mit", "[[Released]] [[Licensed]] [[Distributed]] under [[the terms of]] the MIT License"),
+    ("mit", "SPDX-License-Identifier: MIT"),
+    ("mpl-2.0", "subject to the terms of the Mozilla Public License, v. 2.0 [[. If a copy of the MPL was not distributed with this "
+                "file, You can obtain one at [[http://mozilla.org/MPL/2.0/]][[https://mozilla.org/MPL/2.0/]]]]"),
+    ("mpl-2.0", "SPDX-License-Identifier: MPL-2.0"),
+    ("unlicense", "This is free and unencumbered software released into the public domain."),
+    ("zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable "
+             "for any damages arising from the use of this software. Permission is granted to anyone to use this software for any "
+             "purpose, including commercial applications, and to alter it and redistribute it freely"),
 )
 
 _TOKEN = re.compile(r"\[\[|\]\]|\{\{(?:([0-9]+)-)?([0-9]+)\}\}|[0-9a-z\x80-\U0010FFFF]+")
@@ -209,8 +249,9 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     longest) of every place where a template is accepted. ``score`` is 1 with a base phrase
     or an accepted template, otherwise the largest share of a template's mandatory words
     that stands in a row from its beginning. A null text counts as empty (no words, no
-    labels, score 0); repeated rows get the same result; an empty table gives an empty
-    table. Other columns are not looked at.
+    labels, score 0); texts of any length are scanned whole; repeated rows get the same
+    result; ids may be null or repeat; an empty table gives an empty table. Other columns
+    are not looked at.
     """
     t = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     out = t.mapInArrow(_scan(Scanner.of(templates)),
