@@ -37,7 +37,8 @@ from . import simple8b
 from .words import buffers, ranges
 
 END_ID = 0
-RUN = 4 << 20        # bytes of text in a segment (a longer text is a segment of its own)
+RUN = 12 << 20       # bytes of text that are tokenised together
+SEGMENT = 4 << 20    # bytes of text in a segment (a longer text is a segment of its own)
 KNOWN = 600_000      # distinct pieces whose ids a worker remembers, and as many older ones
 ROW_GROUP = 16 << 20
 
@@ -102,7 +103,7 @@ class Encoder:
             known[piece] = len(begin) - 1
             flat.extend(ids)
             begin.append(len(flat))
-        return np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
+        return np.fromiter(map(known.__getitem__, pieces), np.int32, len(pieces))
 
     def ids(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, where each text's ids end) of UTF-8 texts one behind the other."""
@@ -121,7 +122,7 @@ class Encoder:
             cut[1:-1] |= ends[:-1] & _OTHER[data[1:]]
         cut[own] = True  # an empty text adds no piece
         bounds = np.flatnonzero(cut)
-        pieces = pa.LargeStringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(held))
+        pieces = pa.LargeStringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds), pa.py_buffer(held))
         distinct = pieces.dictionary_encode()
         place = self._places(distinct.dictionary.to_pylist(), whole)[distinct.indices.to_numpy()]
         begin, flat = np.array(self.begin, np.int32), np.array(self.flat)
@@ -155,16 +156,19 @@ def _segments(model, end_id: int):
         for batch in batches:
             raw, offsets = buffers(batch.column(1))
             for i, j in ranges(offsets, RUN):
-                ids, ends = with_end(*encoder.ids(raw, offsets[i:j + 1]), end_id)
-                words, blocks, escapes = simple8b.to_bytes(simple8b.pack(ids))
-                docs = pa.ListArray.from_arrays(pa.array([0, j - i], pa.int32()), batch.column(0).slice(i, j - i))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([part], pa.int32()), pa.array([seq], pa.int64()), pa.array([start], pa.int64()),
-                     pa.array([len(ids)], pa.int64()), docs, pa.array([ends.astype("<i8").tobytes()], pa.binary()),
-                     *[pa.array([b], pa.binary()) for b in (words, blocks, escapes)]],
-                    names=["part", "seq", "start", "n_ids", "docs", "ends", "words", "blocks", "escapes"])
-                seq += 1
-                start += len(ids)
+                every, stops = with_end(*encoder.ids(raw, offsets[i:j + 1]), end_id)
+                stops = np.concatenate([[0], stops])
+                for a, b in ranges(offsets[i:j + 1], SEGMENT):
+                    ids, ends = every[stops[a]:stops[b]], stops[a + 1:b + 1] - stops[a]
+                    words, blocks, escapes = simple8b.to_bytes(simple8b.pack(ids))
+                    docs = pa.ListArray.from_arrays(pa.array([0, b - a], pa.int32()), batch.column(0).slice(i + a, b - a))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([part], pa.int32()), pa.array([seq], pa.int64()), pa.array([start], pa.int64()),
+                         pa.array([len(ids)], pa.int64()), docs, pa.array([ends.astype("<i8").tobytes()], pa.binary()),
+                         *[pa.array([x], pa.binary()) for x in (words, blocks, escapes)]],
+                        names=["part", "seq", "start", "n_ids", "docs", "ends", "words", "blocks", "escapes"])
+                    seq += 1
+                    start += len(ids)
     return write
 
 
