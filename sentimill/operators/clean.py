@@ -171,8 +171,11 @@ class StemDictionary:
             new = new.join(self.table().select("word"), "word", "left_anti")
         # written before it is stemmed: nothing but the scan lies below the stemmer
         new = materialize(new, "new-words")
-        if self.parts == 0 or not new.isEmpty():
-            tx.with_stem(new, "word", "stem").write.parquet(f"{self.path}/part={uuid.uuid4().hex}")
+        n = new.count()
+        if self.parts == 0 or n:
+            # a small file is one split, but stemming is bound by CPU: spread it
+            tasks = min(int(self.spark.conf.get("spark.sql.shuffle.partitions")), n // 2000 + 1)
+            tx.with_stem(new.repartition(tasks), "word", "stem").write.parquet(f"{self.path}/part={uuid.uuid4().hex}")
             self.parts += 1
         return self.table()
 
