@@ -9,8 +9,9 @@ hash. There are no false negatives, so the result is exact for any filter size.
 
 The bits are a table of 4 KB bitmaps. It is broadcast: 32 to 64 bits a row, so 3 % of the rows
 without an equal at most share a position, in at most ``MAX_BITS`` (64 MB) at any input
-size. Beyond ``MAX_BITS / 32`` rows more rows without an equal pass through the shuffle too;
-the result stays the same.
+size. Beyond ``MAX_BITS / 32`` rows (16.7 million) the rows are dealt by ranges of their hash
+to folders, and each range, with a filter of its own, is deduplicated after the other; so
+neither the broadcast nor the share of rows that shuffle without need grows.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, scratch_path
 
 BITS_PER_ROW = 32
 MAX_BITS = 1 << 29
@@ -65,6 +66,25 @@ def with_maybe_repeated(df: DataFrame, digest: str, bits: DataFrame, n_bits: int
     return df.withColumn(out, F.coalesce(set_, F.lit(False))).drop("_at", "_key", "_map", "_bits")
 
 
+def n_ranges(n_rows: int) -> int:
+    """Ranges of hashes that have a filter each."""
+    return max(1, -(-n_rows * BITS_PER_ROW // MAX_BITS))
+
+
+def _by_range(rows: DataFrame, digest: Column, ranges: int, one) -> DataFrame:
+    """``one(part)`` of the rows of each range of hashes; equal digests are in one range."""
+    spark = rows.sparkSession
+    dealt, done = scratch_path(spark, "ranges"), scratch_path(spark, "deduplicated")
+    held = rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("_row"),
+                       F.pmod(F.xxhash64(digest, F.lit(2)), F.lit(ranges)).alias("_range"))
+    held.write.partitionBy("_range").parquet(dealt)
+    for r in range(ranges):
+        part = spark.read.parquet(dealt).where(F.col("_range") == r)
+        part = part.select(*[F.col(f"_row.`{c}`").alias(c) for c in rows.columns])
+        one(part).write.mode("append").parquet(done)
+    return spark.read.parquet(done)
+
+
 def dedup_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: (id, keep_id, group_size, kept, text_sha256).
 
@@ -75,7 +95,14 @@ def dedup_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     h = materialize(docs.select(F.col(id_col).alias("id"), text_digest(F.col(text_col)).alias("sha"),
                                 F.monotonically_increasing_id().alias("row")), "digests")
-    n_bits = filter_bits(h.count())
+    n = h.count()
+    out = _by_range(h, F.col("sha"), n_ranges(n), _reported) if n_ranges(n) > 1 else _reported(h, n)
+    return out.select(F.col("id").alias(id_col), "keep_id", "group_size", "kept", F.col("sha").alias("text_sha256"))
+
+
+def _reported(h: DataFrame, n: int | None = None) -> DataFrame:
+    """(id, keep_id, group_size, kept, sha) of rows (id, sha, row), by one filter."""
+    n_bits = filter_bits(h.count() if n is None else n)
     flagged = with_maybe_repeated(h, "sha", repeated_bits(h, "sha", n_bits), n_bits)
     alone = flagged.where("not _maybe").select(
         "id", F.col("id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"),
@@ -88,20 +115,28 @@ def dedup_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     grouped = maybe.join(first, "sha").select(
         "id", F.col("first.id").alias("keep_id"), "group_size",
         (F.col("row") == F.col("first.row")).alias("kept"), "sha")
-    out = alone.unionByName(grouped)
-    return out.select(F.col("id").alias(id_col), "keep_id", "group_size", "kept", F.col("sha").alias("text_sha256"))
+    return alone.unionByName(grouped)
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns.
 
     As in ``dedup_report``; of rows equal in text and id, the smallest by raw text stays.
-    Rows that have no equal are neither shuffled nor sorted.
+    Rows that have no equal are neither shuffled nor sorted. Columns may have any name.
     """
+    n = docs.count()
+    if n_ranges(n) > 1:
+        return _by_range(docs, text_digest(F.col(f"`{text_col}`")), n_ranges(n),
+                         lambda part: _kept(part, part.count(), id_col, text_col))
+    return _kept(docs, n, id_col, text_col)
+
+
+def _kept(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
+    """``keep_first`` by one filter."""
     cols = docs.columns
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_row"))
     rows = rows.withColumn("_sha", text_digest(F.col(f"_row.`{text_col}`")))
-    n_bits = filter_bits(docs.count())
+    n_bits = filter_bits(n)
     bits = materialize(repeated_bits(rows.select("_sha"), "_sha", n_bits), "bits")
     flagged = with_maybe_repeated(rows, "_sha", bits, n_bits)
     order = F.struct(F.isnull(f"_row.`{id_col}`").alias("no_id"), F.col(f"_row.`{id_col}`").alias("id"),
