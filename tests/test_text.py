@@ -128,3 +128,42 @@ def test_a_filter_on_stemmed_terms_is_planned(spark):
     got = again.add(df.selectExpr("explode(split('cats ponies', ' ')) AS w"), "w")
     assert sorted(tuple(r) for r in got.collect()) == [("cats", "cat"), ("ponies", "poni"), ("running", "run")]
     assert spark.read.parquet(first.path).count() == 3
+
+
+def test_list_stemmer_is_the_sql_stemmer(spark):
+    import random
+
+    from sentimill.functions.porter import IRREGULAR_FORMS, word_stemmer
+
+    r = random.Random(1)
+    ends = ["", "ational", "alli", "bli", "logi", "ization", "fulness", "ement", "sion", "eed", "ied", "ing", "ed", "sses", "ies", "y", "ll"]
+    words = [*PORTER, *dict(IRREGULAR_FORMS), "yéed", "Kyyying", "a1yed", "__ing",
+             *("".join(r.choices("abcdeyilosztx", k=r.randint(0, 6))) + r.choice(ends) + r.choice(ends) for _ in range(500))]
+    stem = word_stemmer()
+    df = spark.createDataFrame([(w,) for w in dict.fromkeys(words)], "w string")
+    assert [(x.w, x.s) for x in tx.with_stem(df, "w", "s").collect() if stem(x.w) != x.s] == []
+    lists = [["running", None, "ponies", "running"], [], None, [""]]
+    got = spark.createDataFrame([(i, w) for i, w in enumerate(lists)], "i int, w array<string>").select("i", tx.stem_each(F.col("w")).alias("s"))
+    assert [x.s for x in got.orderBy("i").collect()] == [["run", None, "poni", "run"], [], None, [""]]
+
+
+def test_java_noise_classes_delete_the_same(spark):
+    import random
+
+    r = random.Random(2)
+    bits = ["a", "Bc", "9", "_", "@", "://", ":", "/", " ", "\t", "\n", "é", "\u212a", "\U0001f600", "http://x.y/z", "@joe_x", "\u00a0", "!"]
+    texts = ["".join(r.choices(bits, k=r.randint(0, 12))) for _ in range(3000)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    old, new = (F.regexp_replace("t", p, "") for p in (tx.NOISE_RE, tx.JAVA_NOISE_RE))
+    plain_old, plain_new = (F.regexp_replace("t", p, "") for p in (tx.NOISE_NO_URL_RE, tx.JAVA_NOISE_NO_URL_RE))
+    differ = (old != new) | (plain_old != plain_new)
+    assert df.where(differ).collect() == []
+
+
+def test_terms_are_stemmed_in_their_rows(spark):
+    # no table of all words of the corpus is written, joined or gathered by row
+    docs = spark.createDataFrame([(1, "running runs :) ran"), (1, ""), (None, "ponies")], "id long, text string")
+    terms = clean_tweets(docs, ["id"], opts=CleanOptions(stop_words=[]))
+    plan = terms._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    assert sorted((r.id or 0, r.terms) for r in terms.collect()) == [(0, ["poni"]), (1, [""]), (1, ["run", "run", "smile", "ran"])]
