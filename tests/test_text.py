@@ -162,8 +162,8 @@ def test_java_noise_classes_delete_the_same(spark):
 
 def test_terms_are_stemmed_in_their_rows(spark):
     # no table of all words of the corpus is written, joined or gathered by row
-    docs = spark.createDataFrame([(1, "running runs :) ran"), (1, ""), (None, "ponies")], "id long, text string")
+    docs = spark.createDataFrame([(1, "running runs :) ran"), (1, ""), (None, "ponies"), (2, None)], "id long, text string")
     terms = clean_tweets(docs, ["id"], opts=CleanOptions(stop_words=[]))
     plan = terms._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "Join" not in plan
-    assert sorted((r.id or 0, r.terms) for r in terms.collect()) == [(0, ["poni"]), (1, [""]), (1, ["run", "run", "smile", "ran"])]
+    assert sorted((r.id or 0, r.terms) for r in terms.collect()) == [(0, ["poni"]), (1, [""]), (1, ["run", "run", "smile", "ran"]), (2, [])]
