@@ -51,6 +51,14 @@ def test_ascii_case_only(spark):
     assert got == ["strae x elvin"]
 
 
+def test_long_tokens_are_not_upper_cased_before_acronyms(spark):
+    text = "QQ ttyl ÉTTYL lolß \u212aQQ aVeryLongWord Straße LOL lol"
+    df = spark.createDataFrame([(text,)], "t string")
+    old = F.array_join(tx.replace_first(F.transform(F.split("t", " "), lambda x: F.translate(x, tx.LOWER, tx.UPPER)), tx.ACRONYMS), " ")
+    r = df.select(F.translate(old, tx.UPPER, tx.LOWER).alias("old"), tx.acronym_expand(F.split("t", " ")).alias("new")).first()
+    assert r.old == r.new
+
+
 def test_squeeze_and_dedupe(spark):
     got = _run(spark, ["aaaa bbb aa aaaa ddd"], upto="deduped")
     assert got == [["aa", "bb", "dd"]]
