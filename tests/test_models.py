@@ -147,6 +147,26 @@ def test_sparse_pca_equals_the_dense_one(spark):
     assert np.allclose([at[i] for i in range(60)], dense @ want.T, atol=1e-6) and at[7] == [0.0, 0.0, 0.0]
 
 
+def test_sparse_pca_steps_shuffle_no_features(spark, monkeypatch):
+    import numpy as np
+
+    from sentimill.operators import pca
+
+    rng = np.random.RandomState(5)
+    dense = rng.rand(700, 12) * (rng.rand(700, 12) < 0.4) * np.linspace(3, 1, 12)
+    rows = [(None if i == 9 else i, j, float(dense[i, j])) for i in range(700) for j in range(12) if dense[i, j]]
+    x = spark.createDataFrame(rows, "id long, bucket int, tfidf double").repartition(5)
+    written, kept = [], pca.materialize
+    monkeypatch.setattr(pca, "materialize", lambda df, name: written.append(name) or kept(df, name))
+    got = pca.fit(x, 700, 64)
+    assert len(written) <= 5, written  # no table for each step
+    monkeypatch.setattr(pca, "DENSE_CELLS", 0)
+    want = pca.fit(x, 700, 64)
+    assert got.variances == pytest.approx(want.variances, rel=1e-9)
+    a, b = ({r.bucket: (r.pc0, r.pc1) for r in c.axes.collect()} for c in (got, want))
+    assert a.keys() == b.keys() and all(a[j] == pytest.approx(b[j], abs=1e-7) for j in a)
+
+
 def test_sparse_pca_of_few_documents(spark, tmp_path):
     from sentimill.operators import pca
 
